@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyframe.model import KeyModel
-from keyframe.operators.keys import MAX_LISTED, Dimensions, _present
+from keyframe.operators.keys import MAX_LISTED, Dimensions, _present, raise_unmatched
 
 
 class ConstraintViolation(ValueError):
@@ -72,18 +72,63 @@ def require_empty(report: DataFrame, message: str) -> None:
 
 
 def require_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> None:
-    require_empty(null_counts(df, key).filter("nulls > 0"), f"NULL in the primary key of '{table}'")
-    require_empty(duplicate_keys(df, key), f"Duplicate primary keys for table '{table}'")
-
-
-def require_foreign_keys(
-    df: DataFrame, table: str, model: KeyModel, dims: Dimensions, *, not_null: bool = True
-) -> None:
-    """Check encoded foreign keys against their parents, as a database would on write."""
-    if not_null:
-        nulls = foreign_key_nulls(df, table, model).filter("nulls > 0")
-        require_empty(nulls, f"NULL in a foreign key column of '{table}'")
+    """Refuse NULL and duplicate keys, both found by one count per key."""
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in key]).agg(F.count(F.lit(1)).alias("rows"))
+    has_null = reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in key])
     require_empty(
-        orphan_keys(df, table, model, dims),
-        f"insert or update on table '{table}' violates a foreign key constraint",
+        counted.filter(has_null | (F.col("rows") > 1)), f"NULL or duplicate primary keys for table '{table}'"
     )
+
+
+def foreign_key_violations(
+    df: DataFrame,
+    table: str,
+    model: KeyModel,
+    dims: Dimensions,
+    *,
+    readable: Mapping[str, str] | None = None,
+    not_null: bool = True,
+) -> DataFrame:
+    """All rows a database would refuse for their foreign keys: (problem, column, parent, value, rows).
+
+    ``readable`` maps an encoded column to the column holding the value it was
+    encoded from; a NULL key is then an ``unmatched`` value.  Other columns are
+    checked for ``null`` (if ``not_null``) and ``orphan`` keys.
+    """
+    readable = readable or {}
+    shape = ("problem", "column", "parent", "value", "rows")
+    reports = []
+    for fk in _present(df, table, model):
+        if fk.column in readable:
+            given = F.col(f"`{readable[fk.column]}`")
+            bad = df.filter(F.col(f"`{fk.column}`").isNull()).groupBy(given.cast("string").alias("value"))
+            report = bad.agg(F.count(F.lit(1)).alias("rows")).withColumn("problem", F.lit("unmatched"))
+        else:
+            known = dims[fk.parent].select(F.col(f"`{fk.parent_key}`").alias("__known"))
+            kept = df if not_null else df.filter(F.col(f"`{fk.column}`").isNotNull())
+            counts = kept.groupBy(F.col(f"`{fk.column}`").alias("__key")).agg(
+                F.count(F.lit(1)).alias("rows")
+            )
+            report = counts.join(known, F.col("__key") == F.col("__known"), "left_anti").select(
+                F.col("__key").cast("string").alias("value"),
+                "rows",
+                F.when(F.col("__key").isNull(), "null").otherwise("orphan").alias("problem"),
+            )
+        report = report.withColumns({"column": F.lit(fk.column), "parent": F.lit(fk.parent)})
+        reports.append(report.select(*shape))
+    if not reports:
+        return df.sparkSession.createDataFrame(
+            [], "problem string, column string, parent string, value string, rows bigint"
+        )
+    return reduce(DataFrame.unionByName, reports)
+
+
+def require_foreign_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions, **options) -> None:
+    """Raise unless :func:`foreign_key_violations` is empty, in one job."""
+    rows = foreign_key_violations(df, table, model, dims, **options).limit(MAX_LISTED).collect()
+    unmatched = [r for r in rows if r["problem"] == "unmatched"]
+    if unmatched:
+        raise_unmatched(unmatched, table)
+    if rows:
+        listed = "\n".join(f"  {r['problem']}: {r['column']}={r['value']}, rows={r['rows']}" for r in rows)
+        raise ConstraintViolation(f"insert or update on table '{table}' violates a foreign key:\n{listed}")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -39,8 +39,8 @@ def _present(df: DataFrame, table: str, model: KeyModel) -> list[ForeignKey]:
     ]
 
 
-def _to_encode(
-    df: DataFrame, table: str, model: KeyModel, force: Collection[str]
+def to_encode(
+    df: DataFrame, table: str, model: KeyModel, force: Collection[str] = ()
 ) -> list[ForeignKey]:
     """Foreign keys still holding readable values: integer columns count as encoded."""
     return [fk for fk in _present(df, table, model) if fk.column in force or not _is_key(df, fk.column)]
@@ -70,7 +70,7 @@ def unmatched_values(
     value is one row by the time anything is joined.  NULL never matches.
     """
     reports = []
-    for fk in _to_encode(df, table, model, force):
+    for fk in to_encode(df, table, model, force):
         known = dims[fk.parent].select(F.col(f"`{fk.parent_value}`").alias("__known"))
         counts = df.groupBy(F.col(f"`{fk.column}`").alias("__value")).agg(F.count(F.lit(1)).alias("rows"))
         reports.append(
@@ -107,11 +107,12 @@ def encode_keys(
     """
     if check not in ("inline", "listed", "none"):
         raise ValueError(f"check must be 'inline', 'listed' or 'none', not '{check}'")
-    fks = _to_encode(df, table, model, force)
+    fks = to_encode(df, table, model, force)
     if not fks:
         return df
     if check == "listed":
-        raise_unmatched(unmatched_values(df, table, model, dims, force=force), table)
+        report = unmatched_values(df, table, model, dims, force=force)
+        raise_unmatched(report.limit(MAX_LISTED).collect(), table)
     joined, found = _attach(df, dims, fks, by_key=False)
     by_column = {fk.column: fk for fk in fks}
 
@@ -132,14 +133,11 @@ def encode_keys(
     return joined.select(*[output(c) for c in df.columns])
 
 
-def raise_unmatched(report: DataFrame, table: str) -> None:
-    bad = report.limit(MAX_LISTED + 1).collect()
-    if bad:
-        lines = [f"  {r['column']}: '{r['value']}' is not in '{r['parent']}'" for r in bad[:MAX_LISTED]]
-        more = "\n  and more" if len(bad) > MAX_LISTED else ""
-        raise UnmatchedValues(
-            f"Cannot convert these entries of table '{table}' to foreign keys:\n" + "\n".join(lines) + more
-        )
+def raise_unmatched(rows: Sequence[Row], table: str) -> None:
+    """Raise with a list of (column, parent, value) rows, unless there are none."""
+    if rows:
+        lines = "\n".join(f"  {r['column']}: '{r['value']}' is not in '{r['parent']}'" for r in rows)
+        raise UnmatchedValues(f"Cannot convert these entries of table '{table}' to foreign keys:\n{lines}")
 
 
 def decode_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions) -> DataFrame:

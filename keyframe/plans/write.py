@@ -20,7 +20,14 @@ from keyframe.names import (
 )
 from keyframe.operators.constraints import require_empty, require_foreign_keys, require_primary_key
 from keyframe.operators.filters import drop_task_group, keep_values
-from keyframe.operators.keys import Dimensions, decode_keys, encode_column, encode_keys, lookup_keys
+from keyframe.operators.keys import (
+    Dimensions,
+    decode_keys,
+    encode_column,
+    encode_keys,
+    lookup_keys,
+    to_encode,
+)
 from keyframe.operators.matrix import IndexMap, encode_matrices
 from keyframe.operators.tickets import ticket
 from keyframe.operators.upsert import merge_rows
@@ -97,27 +104,37 @@ def upsert(
     rows = df.drop(TABLE_NAME_COL)
     if index_map is not None:
         rows = encode_matrices(rows, index_map, rctypes, retain_zeros=retain_zeros)
-    if in_place:
-        rows = stage(rows, table)
-    receipt = ticket(rows, table, usual=usual, additional=additional, keep_single=keep_single)
-    encoded = drop_task_group(rows)
-    if encode:
-        encoded = encode_keys(encoded, table, model, dims, check="listed" if in_place else "inline")
+    grouping = {"usual": usual, "additional": additional, "keep_single": keep_single}
+    if not in_place:
+        encoded = drop_task_group(rows)
+        if encode:
+            encoded = encode_keys(encoded, table, model, dims)
+        if round_doubles:
+            encoded = round_double_cols(encoded, digits)
+        merged = merge_rows(store[table], encoded, key)
+        if compress:
+            merged = compress_versions(merged, from_col=from_col, to_col=to_col)
+        return Written(merged, ticket(rows, table, **grouping))
+
+    # Keys and the values they stand for are staged side by side: one pass over
+    # the input serves the checks, the merge and the ticket.
+    readable = {fk.column: f"__{fk.column}" for fk in to_encode(rows, table, model)} if encode else {}
+    both = rows.withColumns({copy: F.col(f"`{c}`") for c, copy in readable.items()})
+    both = stage(encode_keys(both, table, model, dims, check="none") if encode else both, table)
+    rows = both.select(*[F.col(f"`{readable.get(c, c)}`").alias(c) for c in rows.columns])
+    encoded = drop_task_group(both.drop(*readable.values()))
     if round_doubles:
         encoded = round_double_cols(encoded, digits)
-    parts: Sequence[str] = ()
-    if in_place:
-        encoded = stage(encoded, table)
-        require_primary_key(encoded, table, key)
-        require_foreign_keys(encoded, table, model, dims, not_null=store.keys_not_null(table))
-        parts = () if compress else store.partition_columns(table)
-    merged = merge_rows(store[table], encoded, key, check_source=not in_place, partitions=parts)
+    require_primary_key(encoded, table, key)
+    require_foreign_keys(
+        both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
+    )
+    parts = () if compress else store.partition_columns(table)
+    merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
     if compress:
         merged = compress_versions(merged, from_col=from_col, to_col=to_col)
-    if not in_place:
-        return Written(merged, receipt)
     store.replace(table, merged)
-    return Written(store[table], receipt)
+    return Written(store[table], ticket(rows, table, **grouping))
 
 
 def compress_table(

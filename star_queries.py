@@ -447,3 +447,566 @@ def round_signif(spark, folder):
         (F.col("l_tax") / 9).alias("small"),
     )
     return round_double_cols(priced, 4)
+
+
+# Upserts
+
+
+def _order_balances(spark, folder):
+    """Order totals per customer number, doubled so that about half the numbers are new."""
+    return (
+        table(spark, folder, "orders")
+        .groupBy((F.col("o_custkey") * 2).alias("c_custkey"))
+        .agg(F.sum(cents("o_totalprice")).alias("balance"))
+    )
+
+
+def _customer_balances(spark, folder):
+    return table(spark, folder, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", cents("c_acctbal").alias("balance")
+    )
+
+
+BALANCES = """fresh AS (
+  SELECT o_custkey * 2 AS c_custkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS balance
+  FROM orders GROUP BY 1),
+base AS (
+  SELECT c_custkey, c_name, c_mktsegment, CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer)"""
+
+
+@query(f"""
+WITH {BALANCES}
+SELECT coalesce(f.c_custkey, b.c_custkey) AS c_custkey,
+       CASE WHEN f.c_custkey IS NULL THEN b.c_name ELSE 'Customer ' || f.c_custkey END AS c_name,
+       CASE WHEN f.c_custkey IS NULL THEN b.c_mktsegment ELSE 'ORDERED' END AS c_mktsegment,
+       CASE WHEN f.c_custkey IS NULL THEN b.balance ELSE f.balance END AS balance
+FROM base b FULL JOIN fresh f ON b.c_custkey = f.c_custkey
+""")
+def upsert_rows(spark, folder):
+    rows = _order_balances(spark, folder).select(
+        "c_custkey",
+        F.concat(F.lit("Customer "), F.col("c_custkey").cast("string")).alias("c_name"),
+        F.lit("ORDERED").alias("c_mktsegment"),
+        "balance",
+    )
+    return upsert.merge_rows(_customer_balances(spark, folder), rows, ["c_custkey"])
+
+
+@query(f"""
+WITH {BALANCES}
+SELECT coalesce(f.c_custkey, b.c_custkey) AS c_custkey, b.c_name, b.c_mktsegment,
+       coalesce(f.balance, b.balance) AS balance
+FROM base b FULL JOIN fresh f ON b.c_custkey = f.c_custkey
+""")
+def upsert_some_columns(spark, folder):
+    return upsert.merge_rows(
+        _customer_balances(spark, folder), _order_balances(spark, folder), ["c_custkey"]
+    )
+
+
+def _account_store(spark, folder, **options):
+    """Accounts per customer and release, uploaded from the customers for release v1."""
+    nation = table(spark, folder, "nation")
+    accounts = table(spark, folder, "customer").select(
+        F.lit("v1").alias("ValidFromVersion"),
+        F.lit("v1").alias("ValidToVersion"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("Country"),
+        F.col("c_custkey").alias("Account"),
+        F.col("c_acctbal").alias("Balance"),
+    )
+    model = KeyModel(
+        {
+            "nation": nation.schema,
+            "release": releases(spark).schema,
+            "account": accounts.select(
+                F.lit(1).alias("ValidFromVersion"),
+                F.lit(1).alias("ValidToVersion"),
+                F.lit(1).alias("Country"),
+                "Account",
+                "Balance",
+            ).schema,
+        },
+        {
+            "nation": ("n_nationkey",),
+            "release": ("ReleaseID",),
+            "account": ("ValidFromVersion", "ValidToVersion", "Country", "Account"),
+        },
+        (
+            ForeignKey("account", "ValidFromVersion", "release", "ReleaseID", "Release"),
+            ForeignKey("account", "ValidToVersion", "release", "ReleaseID", "Release"),
+            ForeignKey("account", "Country", "nation", "n_nationkey", "n_name"),
+        ),
+    )
+    store = new_store(spark)
+    store.upload_dimensions(model, {"nation": nation, "release": releases(spark)}, **options)
+    return store, accounts
+
+
+def _second_release(accounts):
+    """The same accounts in release v2, each with a tiny error in its balance."""
+    return accounts.withColumns(
+        {
+            "ValidFromVersion": F.lit("v2"),
+            "ValidToVersion": F.lit("v2"),
+            "Balance": F.col("Balance") + F.lit(1e-9),
+        }
+    )
+
+
+@query("""
+SELECT 1 AS "ValidFromVersion", 1 AS "ValidToVersion", c_nationkey AS "Country",
+       c_custkey AS "Account", c_acctbal AS "Balance" FROM customer
+UNION ALL
+SELECT 2, 2, c_nationkey, c_custkey, c_acctbal FROM customer
+""")
+def upsert_full(spark, folder):
+    store, accounts = _account_store(spark, folder, partition_by={"account": ["Country"]})
+    write.upsert(store, accounts, "account", in_place=True)
+    return write.upsert(
+        store, _second_release(accounts), "account", in_place=True, round_doubles=True, digits=8
+    ).table
+
+
+@query("""
+SELECT 1 AS "ValidFromVersion", 2 AS "ValidToVersion", c_nationkey AS "Country",
+       c_custkey AS "Account", c_acctbal AS "Balance" FROM customer
+""")
+def upsert_compressed(spark, folder):
+    store, accounts = _account_store(spark, folder)
+    options = {"in_place": True, "round_doubles": True, "digits": 8}
+    write.upsert(store, accounts, "account", **options)
+    return write.upsert(store, _second_release(accounts), "account", compress=True, **options).table
+
+
+@query("""
+SELECT 1 AS "ValidFromVersion", 1 AS "ValidToVersion", c_nationkey AS "Country",
+       c_custkey AS "Account", c_acctbal AS "Balance" FROM customer
+""")
+def upsert_preview(spark, folder):
+    store, accounts = _account_store(spark, folder)
+    return write.upsert(store, accounts, "account").table
+
+
+@query("""
+SELECT 'nation' AS parent, n_nationkey AS id, n_name AS name FROM nation
+UNION ALL SELECT 'region', r_regionkey, r_name FROM region
+""")
+def parent_tables(spark, folder):
+    model = sub_model(star_model(spark, folder), "region", "nation", "customer", "supplier")
+    store = new_store(spark)
+    data = {n: table(spark, folder, n) for n in ("region", "nation", "customer", "supplier")}
+    store.upload_dimensions(model, data)
+    # Keys and columns come back from the catalog here.
+    learned = store.model()
+    nation, region = (store.dimensions(learned)[n] for n in ("nation", "region"))
+    pairs = (nation.select("n_nationkey", "n_name"), region.select("r_regionkey", "r_name"))
+    named = [
+        p.toDF("id", "name").select(F.lit(parent).alias("parent"), "id", "name")
+        for parent, p in zip(("nation", "region"), pairs)
+    ]
+    return named[0].unionByName(named[1])
+
+
+@query("""
+SELECT coalesce(s_suppkey, c_custkey) AS c_custkey, coalesce(s_name, c_name) AS c_name,
+       coalesce(s_nationkey, c_nationkey) AS c_nationkey, coalesce(s_acctbal, c_acctbal) AS c_acctbal,
+       c_mktsegment
+FROM customer FULL JOIN supplier ON c_custkey = s_suppkey
+""")
+def update_dimension(spark, folder):
+    model = sub_model(star_model(spark, folder), "region", "nation", "customer")
+    store = new_store(spark)
+    store.upload_dimensions(model, {n: table(spark, folder, n) for n in ("region", "nation", "customer")})
+    suppliers = table(spark, folder, "supplier").toDF("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    store.update_dimension("customer", suppliers)
+    return store["customer"]
+
+
+_COPIED = """SELECT * FROM sales
+  WHERE "Country" IN (SELECT n_nationkey FROM nation WHERE n_name IN ('NATION_1', 'NATION_3', 'NATION_5'))"""
+
+
+def _sales_copy(spark, folder, **options):
+    store = sales_store(spark, folder)
+    members = ["NATION_1", "NATION_3", "NATION_5"]
+    return write.filter_copy(store, "sales", "sales_copy", members=members, in_place=True, **options)
+
+
+@query(f"WITH {SALES} {_COPIED}")
+def filter_copy(spark, folder):
+    return _sales_copy(spark, folder).table
+
+
+# Tickets
+
+# Cells as the fingerprint writes them, in name order.
+_SALES_CELLS = """md5(concat_ws(';', '=' || "Cents", '=' || "OrderID", '=' || "ValidFromVersion",
+                         '=' || "ValidToVersion"))"""
+
+
+def _hash_sql(names: str, digest: str) -> str:
+    limb = "sum(CAST('0x' || substr({0}, {1}, 15) AS BIGINT)::HUGEINT)"
+    sums = ", ".join(f"CAST({limb.format(digest, n)} AS VARCHAR)" for n in (1, 16))
+    return f"md5(concat_ws(':', '{names}', CAST(count(*) AS VARCHAR), {sums}))"
+
+
+_SALES_NESTED = "Cents,OrderID,ValidFromVersion,ValidToVersion"
+
+
+@query(f"""
+WITH {SALES}, hashed AS (SELECT *, {_SALES_CELLS} AS digest FROM sales)
+SELECT 'sales' AS "DBTableName", "Country", "Year", "Method",
+       {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
+FROM hashed GROUP BY "Country", "Year", "Method"
+""")
+def ticket_groups(spark, folder):
+    return tickets.ticket(sales(spark, folder), "sales")
+
+
+@query(f"""
+WITH {SALES}, hashed AS (SELECT *, {_SALES_CELLS} AS digest FROM sales)
+SELECT 'sales' AS "DBTableName", "Country", "Year", "Method",
+       {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
+FROM hashed GROUP BY "Country", "Year", "Method"
+""")
+def ticket_table(spark, folder):
+    return tickets.ticket(sales_store(spark, folder)["sales"], "sales", probe_rows=write.PROBE_ROWS)
+
+
+_ORDER_CELLS = """md5(concat_ws(';', '=' || CAST(round(o_totalprice * 100) AS BIGINT), '=' || o_custkey,
+    '=' || CAST(o_orderdate AS VARCHAR),
+    '=' || replace(replace(o_orderpriority, '\\', '\\\\'), ';', '\\;')))"""
+
+
+@query(f"""
+WITH hashed AS (SELECT o_orderstatus, {_ORDER_CELLS} AS digest FROM orders)
+SELECT 'orders' AS "DBTableName", 'TPC' AS "Dataset", CAST(NULL AS VARCHAR) AS "Note", o_orderstatus,
+       {_hash_sql("cents,o_custkey,o_orderdate,o_orderpriority", "digest")} AS "NestedDataHash"
+FROM hashed GROUP BY o_orderstatus
+""")
+def ticket_single_values(spark, folder):
+    """Constant columns, one of them all NULL, become group columns by themselves."""
+    rows = table(spark, folder, "orders").select(
+        F.lit("TPC").alias("Dataset"),
+        F.lit(None).cast("string").alias("Note"),
+        "o_custkey",
+        "o_orderstatus",
+        "o_orderdate",
+        "o_orderpriority",
+        cents("o_totalprice").alias("cents"),
+    )
+    return tickets.ticket(rows, "orders", usual=None, additional=["o_orderstatus"])
+
+
+@query("""
+SELECT * FROM (VALUES ('Dataset', true), ('Note', true), ('Half', false), ('o_orderkey', false),
+  ('o_custkey', false), ('o_orderstatus', false), ('o_totalprice', false), ('o_orderdate', false),
+  ('o_orderpriority', false)) t("column", is_single)
+WHERE (SELECT count(*) FROM orders) > 1
+""")
+def single_value_columns(spark, folder):
+    rows = table(spark, folder, "orders").withColumns(
+        {
+            "Dataset": F.lit("TPC"),
+            "Note": F.lit(None).cast("string"),
+            "Half": F.when(F.col("o_orderstatus") == "F", "x"),
+        }
+    )
+    return tickets.single_value_report(rows)
+
+
+@query(f"""
+WITH {SALES}, hashed AS (
+  SELECT *, md5(concat_ws(';', '=' || "Cents", '=' || "OrderID", '=v' || "ValidFromVersion",
+                          '=v' || "ValidToVersion")) AS digest
+  FROM ({_COPIED}))
+SELECT 'sales_copy' AS "DBTableName", n_name AS "Country", "Year", "Method",
+       {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
+FROM hashed JOIN nation ON n_nationkey = "Country" GROUP BY n_name, "Year", "Method"
+""")
+def readable_ticket(spark, folder):
+    """The ticket of the readable rows, as an upsert gives it."""
+    copied = _sales_copy(spark, folder).table
+    model, dims = star_model(spark, folder), star_dims(spark, folder)
+    return tickets.ticket(keys.decode_keys(copied, "sales", model, dims), "sales_copy")
+
+
+@query(f"""
+WITH {SALES}, hashed AS (SELECT *, {_SALES_CELLS} AS digest FROM ({_COPIED}))
+SELECT 'sales_copy' AS "DBTableName", n_name AS "Country", "Year", "Method",
+       {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
+FROM hashed JOIN nation ON n_nationkey = "Country" GROUP BY n_name, "Year", "Method"
+""")
+def filter_copy_ticket(spark, folder):
+    return _sales_copy(spark, folder).ticket
+
+
+def _sales_ticket(spark, folder):
+    model, dims = star_model(spark, folder), star_dims(spark, folder)
+    readable = keys.decode_keys(sales(spark, folder), "sales", model, dims)
+    return tickets.ticket(readable, "sales"), model, dims
+
+
+_DECODED_SALES = """SELECT "OrderID", n_name AS "Country", "Year", "Method",
+       'v' || "ValidFromVersion" AS "ValidFromVersion", 'v' || "ValidToVersion" AS "ValidToVersion", "Cents"
+FROM sales LEFT JOIN nation ON "Country" = n_nationkey"""
+
+
+@query(f"""
+WITH {SALES}, decoded AS ({_DECODED_SALES})
+SELECT 'sales' AS "DBTableName", * FROM decoded
+WHERE ("Country" = 'NATION_7' OR "Method" = '2-HIGH') AND "Year" >= 1997
+""")
+def collect_ticket(spark, folder):
+    ticket, model, dims = _sales_ticket(spark, folder)
+    wanted = ticket.filter("(Country = 'NATION_7' OR Method = '2-HIGH') AND Year >= 1997")
+    tables = {"sales": sales(spark, folder)}
+    return read.collect_ticket(wanted, tables, model=model, dims=dims, keep_table_name=True)
+
+
+@query(f"""
+WITH {SALES}, decoded AS ({_DECODED_SALES}), low AS (SELECT * FROM decoded WHERE "Method" = '5-LOW'),
+v AS (SELECT * FROM sales WHERE "ValidFromVersion" <= 4 AND "ValidToVersion" >= 4)
+SELECT low.* FROM low JOIN v ON low."OrderID" = v."OrderID"
+""")
+def collect_ticket_version(spark, folder):
+    ticket, model, dims = _sales_ticket(spark, folder)
+    wanted = ticket.filter("Method = '5-LOW'")
+    tables = {"sales": sales(spark, folder)}
+    return read.collect_ticket(wanted, tables, model=model, dims=dims, versions="v4")
+
+
+@query(f"""
+WITH {SALES}
+SELECT DISTINCT "Country" AS nation, "Year", "Method" FROM sales WHERE "Method" = '5-LOW'
+""")
+def verify_ticket(spark, folder):
+    """Groups whose rows changed after the ticket was taken."""
+    rows = sales(spark, folder)
+    taken = tickets.ticket(rows, "sales")
+    changed = rows.withColumn("Cents", F.col("Cents") + (F.col("Method") == "5-LOW").cast("int"))
+    differing = read.verify_ticket(taken, changed, "sales")
+    return differing.select(F.col("Country").alias("nation"), "Year", "Method")
+
+
+# Reads
+
+
+@query(f"""
+WITH {SALES}, decoded AS ({_DECODED_SALES})
+SELECT * FROM decoded WHERE "Country" IN ('NATION_0', 'NATION_11') AND "Cents" >= 100000 AND "Year" <= 1999
+""")
+def filter_decoded(spark, folder):
+    return read.filter_table(
+        {"sales": sales(spark, folder)},
+        "sales",
+        F.col("Country").isin("NATION_0", "NATION_11"),
+        "Cents >= 100000 AND Year <= 1999",
+        model=star_model(spark, folder),
+        dims=star_dims(spark, folder),
+    )
+
+
+def _merged_sales(spark, folder):
+    rows = sales(spark, folder).drop("OrderID", "Year").withColumn("Cents", F.floor(F.col("Cents") / 5000000))
+    return versions.compress_versions(rows)
+
+
+@query(f"""
+WITH {SALES}, merged AS (
+  SELECT "Country", "Method", CAST(floor("Cents" / 5000000) AS BIGINT) AS "Cents",
+         min("ValidFromVersion") AS f, max("ValidToVersion") AS t
+  FROM sales GROUP BY 1, 2, 3)
+SELECT n_name AS "Country", "Method", 'v' || f AS "ValidFromVersion", 'v' || t AS "ValidToVersion", "Cents"
+FROM merged JOIN nation ON "Country" = n_nationkey
+WHERE f <= 3 AND t >= 3 AND n_name IN ('NATION_0', 'NATION_11')
+""")
+def release_sales(spark, folder):
+    """Flagship: merge across releases, take one release, decode, filter on readable values."""
+    return read.filter_table(
+        {"sales": _merged_sales(spark, folder)},
+        "sales",
+        F.col("Country").isin("NATION_0", "NATION_11"),
+        versions="v3",
+        model=star_model(spark, folder),
+        dims=star_dims(spark, folder),
+    )
+
+
+@query(f"""
+WITH {SALES}
+SELECT * FROM sales WHERE "Country" IN (1, 2, 3) AND "Year" IN (1996, 1998, 2000)
+""")
+def filter_members_periods(spark, folder):
+    rows = filters.drop_task_group(sales(spark, folder).withColumn("tar_group", F.col("Country") + 1))
+    return filters.filter_members_periods(rows, [1, 2, 3], [1996, 1998, 2000])
+
+
+@query(f"""
+WITH {SALES}
+SELECT * FROM sales WHERE "Country" IN (SELECT s_nationkey FROM supplier)
+""")
+def filter_members_listed(spark, folder):
+    """Members listed in a table, all periods."""
+    listed = table(spark, folder, "supplier").select("s_nationkey")
+    return filters.filter_members_periods(sales(spark, folder), listed, "all")
+
+
+# Matrices
+
+
+def _cells(spark, folder):
+    """Quantity by ship year, return flag (matrix), brand (row) and line status (column)."""
+    items = table(spark, folder, "lineitem").select(
+        "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", F.year("l_shipdate").alias("Year")
+    )
+    parts = table(spark, folder, "part").select("p_partkey", "p_brand")
+    return (
+        items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(
+            "Year",
+            F.col("l_returnflag").alias("matname"),
+            F.col("p_brand").alias("rowname"),
+            F.col("l_linestatus").alias("colname"),
+        )
+        .agg(F.sum("l_quantity").alias("value"))
+    )
+
+
+CELLS = """cells AS (
+  SELECT CAST(year(l_shipdate) AS INT) AS "Year", l_returnflag AS matname, p_brand AS rowname,
+         l_linestatus AS colname, sum(l_quantity) AS value
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3, 4)"""
+
+
+def _index_map(spark, folder):
+    """Brands by their number, line statuses by their letter."""
+    brands = table(spark, folder, "part").select(F.col("p_brand").alias("Brand")).distinct()
+    states = table(spark, folder, "lineitem").select(F.col("l_linestatus").alias("Status")).distinct()
+    return {
+        "Brand": brands.withColumn("BrandID", F.regexp_extract("Brand", r"(\d+)", 1).cast("int")),
+        "Status": states.withColumn("StatusID", F.ascii("Status") - 64),
+    }
+
+
+def _rctypes(spark, folder):
+    flags = table(spark, folder, "lineitem").select(F.col("l_returnflag").alias("matname")).distinct()
+    return flags.withColumns({"rowtype": F.lit("Brand"), "coltype": F.lit("Status")})
+
+
+def _matrices(spark, folder):
+    """One row per year and flag with the matrix as a value."""
+    cell = F.struct("rowname", "colname", "value")
+    return _cells(spark, folder).groupBy("Year", "matname").agg(F.collect_list(cell).alias("matval"))
+
+
+_ENCODED = f"""WITH {CELLS}
+SELECT "Year", matname, CAST(regexp_extract(rowname, '(\\d+)', 1) AS INT) AS i,
+       CAST(ascii(colname) - 64 AS INT) AS j, value
+FROM cells WHERE value <> 0"""
+
+
+@query(_ENCODED)
+def matrix_encode(spark, folder):
+    return matrix.encode_matrices(
+        _matrices(spark, folder), _index_map(spark, folder), _rctypes(spark, folder)
+    )
+
+
+@query(_ENCODED)
+def matrix_encode_wide(spark, folder):
+    wide = _matrices(spark, folder).groupBy("Year").pivot("matname", ["A", "N", "R"]).agg(F.first("matval"))
+    return matrix.encode_matrices(wide, _index_map(spark, folder), _rctypes(spark, folder))
+
+
+@query(_ENCODED)
+def matrix_encode_cells(spark, folder):
+    return matrix.encode_matrices(
+        _cells(spark, folder), _index_map(spark, folder), _rctypes(spark, folder)
+    )
+
+
+@query(f"""WITH {CELLS} SELECT * FROM cells WHERE value <> 0""")
+def matrix_names(spark, folder):
+    encoded = matrix_encode_cells(spark, folder)
+    return matrix.name_cells(encoded, _index_map(spark, folder), _rctypes(spark, folder))
+
+
+def _as_text(column: str):
+    """A matrix as text, to compare it across engines."""
+    cells = F.transform(
+        column, lambda c: F.concat_ws("/", c["rowname"], c["colname"], c["value"].cast("bigint").cast("string"))
+    )
+    return F.when(F.col(column).isNotNull(), F.array_join(cells, ",")).alias(column)
+
+
+_TEXT = """string_agg(rowname || '/' || colname || '/' || CAST(value AS BIGINT), ','
+                      ORDER BY rowname, colname)"""
+
+
+@query(f"""WITH {CELLS} SELECT "Year", matname, {_TEXT} AS matval FROM cells GROUP BY "Year", matname""")
+def matrix_decode_tidy(spark, folder):
+    encoded = matrix_encode_cells(spark, folder)
+    decoded = matrix.decode_matrices(
+        encoded, _index_map(spark, folder), _rctypes(spark, folder), wide=False
+    )
+    return decoded.select("Year", "matname", _as_text("matval"))
+
+
+@query(f"""
+WITH {CELLS}
+SELECT "Year", {", ".join(f"{_TEXT} FILTER (matname = '{m}') AS {m}" for m in "ANR")}
+FROM cells GROUP BY "Year"
+""")
+def matrix_decode_wide(spark, folder):
+    encoded = matrix_encode_cells(spark, folder)
+    decoded = matrix.decode_matrices(encoded, _index_map(spark, folder), _rctypes(spark, folder))
+    return decoded.select("Year", *[_as_text(m) for m in "ANR"])
+
+
+@query(f"""
+WITH {CELLS}
+SELECT "Year", matname, (CAST(regexp_extract(rowname, '(\\d+)', 1) AS BIGINT) - 1) // 10 AS tile_i,
+       (CAST(ascii(colname) AS BIGINT) - 65) // 10 AS tile_j, {_TEXT} AS matval
+FROM cells GROUP BY ALL
+""")
+def matrix_decode_tiles(spark, folder):
+    """Matrices beyond the tile size come in tiles of bounded size."""
+    encoded = matrix_encode_cells(spark, folder)
+    decoded = matrix.decode_matrices(
+        encoded, _index_map(spark, folder), _rctypes(spark, folder), wide=False, tile=10
+    )
+    return decoded.select("Year", "matname", "tile_i", "tile_j", _as_text("matval"))
+
+
+# Snapshots and reference data
+
+
+@query("SELECT * FROM orders")
+def snapshot_roundtrip(spark, folder):
+    root = f"{scratch_dir(spark)}/releases-{uuid.uuid4().hex[:8]}"
+    release_snapshot(table(spark, folder, "orders"), root, "orders", release=True)
+    return read_snapshot(spark, root, "orders")
+
+
+@query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+def snapshot_csv(spark, folder):
+    root = f"{scratch_dir(spark)}/releases-{uuid.uuid4().hex[:8]}"
+    parts = table(spark, folder, "part")
+    release_snapshot(parts, root, "part", format="csv", release=True)
+    return read_snapshot(spark, root, "part", format="csv", schema=parts.schema)
+
+
+@query(f"""
+WITH {SALES}
+SELECT n_name AS "Country", CAST(sum("Cents") AS BIGINT) AS cents
+FROM sales JOIN nation ON "Country" = n_nationkey
+WHERE n_name NOT IN ('NATION_20', 'NATION_21') GROUP BY n_name
+""")
+def canonical_members(spark, folder):
+    """Totals per member, leaving out members that are aggregates of others."""
+    readable = keys.decode_keys(
+        sales(spark, folder), "sales", star_model(spark, folder), star_dims(spark, folder)
+    )
+    counted = refdata.canonical_members(readable, COUNTRY_COL, ["NATION_20", "NATION_21"])
+    return counted.groupBy("Country").agg(F.sum("Cents").alias("cents"))
