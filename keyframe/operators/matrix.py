@@ -34,7 +34,7 @@ ENCODED_FIELDS = (MATNAME_COL, ROW_INDEX_COL, COL_INDEX_COL, VALUE_COL)
 
 # Side length of the largest matrix that is decoded into a single array.  Larger
 # ones come as several tiles, so no array has more than TILE * TILE cells.
-TILE = 1024
+TILE = 512
 
 
 def matrix_columns(df: DataFrame) -> list[str]:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from keyframe.operators.constraints import require_primary_key
 
+# Up to this many touched partitions are named one by one in the scan.
+MAX_LISTED_PARTITIONS = 5_000
+
 
 def merge_rows(
     target: DataFrame,
@@ -49,9 +52,7 @@ def merge_rows(
         outside = [c for c in partitions if c not in key]
         if outside:
             raise ValueError(f"Partition columns {outside} are not part of the primary key {key}")
-        # A semi join on partition columns lets Spark prune partitions at run time.
-        touched = keys.select(*[F.col(f"`{c}`") for c in partitions]).distinct()
-        target = target.join(touched, list(partitions), "left_semi").select(*target.columns)
+        target = _in_touched_partitions(target, keys, list(partitions))
     kept = target.join(keys, key, "left_anti").select(*[F.col(f"`{c}`") for c in target.columns])
     lacking = [c for c in target.columns if c not in source.columns]
     if lacking:
@@ -60,3 +61,22 @@ def merge_rows(
         old = target.select(*[F.col(f"`{c}`") for c in (*key, *lacking)]).join(keys, key, "left_semi")
         source = source.join(old, key, "left")
     return kept.unionByName(source.select(*[F.col(f"`{c}`") for c in target.columns]))
+
+
+def _in_touched_partitions(target: DataFrame, keys: DataFrame, partitions: list[str]) -> DataFrame:
+    """Target rows in partitions the source has rows for.
+
+    The values are listed as literals, which prunes partitions when the query is
+    planned; the list is no longer than the list of partitions in the catalog.  The
+    semi join makes the choice exact for combinations of several columns, and alone
+    does it for very long lists.
+    """
+    columns = [F.col(f"`{c}`") for c in partitions]
+    touched = keys.select(*columns).distinct()
+    rows = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(rows) <= MAX_LISTED_PARTITIONS:
+        for name, column in zip(partitions, columns):
+            target = target.filter(column.isin(sorted({r[name] for r in rows})))
+        if len(partitions) == 1:
+            return target
+    return target.join(touched, partitions, "left_semi").select(*target.columns)

@@ -134,7 +134,7 @@ def upsert(
     if compress:
         merged = compress_versions(merged, from_col=from_col, to_col=to_col)
     store.replace(table, merged)
-    return Written(store[table], ticket(rows, table, **grouping))
+    return Written(store[table], ticket(rows, table, probe_rows=PROBE_ROWS, **grouping))
 
 
 def compress_table(

@@ -24,7 +24,7 @@ from keyframe.names import COUNTRY_COL
 from keyframe.operators import constraints, filters, keys, matrix, tickets, upsert, versions
 from keyframe.plans import read, write
 from keyframe.sources.snapshots import read_snapshot, release_snapshot
-from keyframe.sources.storage import scratch_dir
+from keyframe.sources.storage import scratch_dir, stage
 from keyframe.sources.warehouse import Warehouse
 
 QUERIES = {}
@@ -46,8 +46,15 @@ def query(sql: str | None = None):
 # Input frames
 
 
+_SCHEMAS = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        # Remembered, since reading it from the file footer takes a job.
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cents(column: str):
@@ -880,18 +887,18 @@ CELLS = """cells AS (
 
 
 def _index_map(spark, folder):
-    """Brands by their number, line statuses by their letter."""
+    """Brands by their number, line statuses by their letter, as stored dimensions."""
     brands = table(spark, folder, "part").select(F.col("p_brand").alias("Brand")).distinct()
     states = table(spark, folder, "lineitem").select(F.col("l_linestatus").alias("Status")).distinct()
     return {
-        "Brand": brands.withColumn("BrandID", F.regexp_extract("Brand", r"(\d+)", 1).cast("int")),
-        "Status": states.withColumn("StatusID", F.ascii("Status") - 64),
+        "Brand": stage(brands.withColumn("BrandID", F.regexp_extract("Brand", r"(\d+)", 1).cast("int")), "brand"),
+        "Status": stage(states.withColumn("StatusID", F.ascii("Status") - 64), "status"),
     }
 
 
 def _rctypes(spark, folder):
     flags = table(spark, folder, "lineitem").select(F.col("l_returnflag").alias("matname")).distinct()
-    return flags.withColumns({"rowtype": F.lit("Brand"), "coltype": F.lit("Status")})
+    return stage(flags.withColumns({"rowtype": F.lit("Brand"), "coltype": F.lit("Status")}), "rctypes")
 
 
 def _matrices(spark, folder):
@@ -906,6 +913,11 @@ SELECT "Year", matname, CAST(regexp_extract(rowname, '(\\d+)', 1) AS INT) AS i,
 FROM cells WHERE value <> 0"""
 
 
+def _encoded(spark, folder):
+    maps = _index_map(spark, folder), _rctypes(spark, folder)
+    return matrix.encode_matrices(_cells(spark, folder), *maps), maps
+
+
 @query(_ENCODED)
 def matrix_encode(spark, folder):
     return matrix.encode_matrices(
@@ -921,15 +933,13 @@ def matrix_encode_wide(spark, folder):
 
 @query(_ENCODED)
 def matrix_encode_cells(spark, folder):
-    return matrix.encode_matrices(
-        _cells(spark, folder), _index_map(spark, folder), _rctypes(spark, folder)
-    )
+    return _encoded(spark, folder)[0]
 
 
 @query(f"""WITH {CELLS} SELECT * FROM cells WHERE value <> 0""")
 def matrix_names(spark, folder):
-    encoded = matrix_encode_cells(spark, folder)
-    return matrix.name_cells(encoded, _index_map(spark, folder), _rctypes(spark, folder))
+    encoded, maps = _encoded(spark, folder)
+    return matrix.name_cells(encoded, *maps)
 
 
 def _as_text(column: str):
@@ -946,10 +956,8 @@ _TEXT = """string_agg(rowname || '/' || colname || '/' || CAST(value AS BIGINT),
 
 @query(f"""WITH {CELLS} SELECT "Year", matname, {_TEXT} AS matval FROM cells GROUP BY "Year", matname""")
 def matrix_decode_tidy(spark, folder):
-    encoded = matrix_encode_cells(spark, folder)
-    decoded = matrix.decode_matrices(
-        encoded, _index_map(spark, folder), _rctypes(spark, folder), wide=False
-    )
+    encoded, maps = _encoded(spark, folder)
+    decoded = matrix.decode_matrices(encoded, *maps, wide=False)
     return decoded.select("Year", "matname", _as_text("matval"))
 
 
@@ -959,8 +967,8 @@ SELECT "Year", {", ".join(f"{_TEXT} FILTER (matname = '{m}') AS {m}" for m in "A
 FROM cells GROUP BY "Year"
 """)
 def matrix_decode_wide(spark, folder):
-    encoded = matrix_encode_cells(spark, folder)
-    decoded = matrix.decode_matrices(encoded, _index_map(spark, folder), _rctypes(spark, folder))
+    encoded, maps = _encoded(spark, folder)
+    decoded = matrix.decode_matrices(encoded, *maps)
     return decoded.select("Year", *[_as_text(m) for m in "ANR"])
 
 
@@ -972,10 +980,8 @@ FROM cells GROUP BY ALL
 """)
 def matrix_decode_tiles(spark, folder):
     """Matrices beyond the tile size come in tiles of bounded size."""
-    encoded = matrix_encode_cells(spark, folder)
-    decoded = matrix.decode_matrices(
-        encoded, _index_map(spark, folder), _rctypes(spark, folder), wide=False, tile=10
-    )
+    encoded, maps = _encoded(spark, folder)
+    decoded = matrix.decode_matrices(encoded, *maps, wide=False, tile=10)
     return decoded.select("Year", "matname", "tile_i", "tile_j", _as_text("matval"))
 
 
