@@ -8,29 +8,34 @@ from pyspark.sql.types import DoubleType
 
 # A double carries at most 17 significant decimal digits, so 17 or more change nothing.
 MAX_DIGITS = 17
+# The largest power of ten that a double holds exactly is 1e22.
+EXACT_POWER = 22
 
 
 def signif(col: Column, digits: int = 15) -> Column:
     """Round to ``digits`` significant digits, ties to even.
 
-    NULL, NaN, infinities and zero pass through.  The power of ten is applied by
-    multiplying or dividing with a whole power, which is exact up to 1e22.  For
-    magnitudes below about 1e-285 the scale itself would overflow, so the factor
-    is applied in two steps.
+    NULL, NaN, infinities and zero pass through.  Powers of ten up to 1e22 are
+    exact, so scaling by them rounds correctly.  Beyond, the digits are scaled to
+    a whole number and put together with their exponent as text, which the parser
+    reads as the nearest double.
     """
     if digits >= MAX_DIGITS:
         return col
     exponent = F.lit(max(digits, 1) - 1) - F.floor(F.log10(F.abs(col)))
     ten = F.lit(10.0)
-    up = F.pow(ten, exponent)
-    down = F.pow(ten, -exponent)
-    rest = F.pow(ten, exponent - 300)
+    up, down = F.pow(ten, exponent), F.pow(ten, -exponent)
+    # In two steps where one power would overflow.
+    whole = F.when(exponent > 300, F.rint(col * 1e300 * F.pow(ten, exponent - 300))).otherwise(
+        F.rint(F.when(exponent > 0, col * up).otherwise(col / down))
+    )
+    parts = (whole.cast("bigint").cast("string"), F.lit("E"), (-exponent).cast("string"))
     passes = col.isNull() | F.isnan(col) | (F.abs(col) == float("inf")) | (col == 0)
     return (
         F.when(passes, col)
-        .when(exponent > 300, F.rint(col * 1e300 * rest) / rest / 1e300)
-        .when(exponent >= 0, F.rint(col * up) / up)
-        .otherwise(F.rint(col / down) * down)
+        .when(exponent.between(0, EXACT_POWER), F.rint(col * up) / up)
+        .when(exponent.between(-EXACT_POWER, -1), F.rint(col / down) * down)
+        .otherwise(F.concat(*parts).cast("double"))
     )
 
 

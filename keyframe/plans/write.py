@@ -125,10 +125,11 @@ def upsert(
     encoded = drop_task_group(both.drop(*readable.values()))
     if round_doubles:
         encoded = round_double_cols(encoded, digits)
-    require_primary_key(encoded, table, key)
+    # Foreign keys first: an unmatched value is NULL by now, also in a primary key.
     require_foreign_keys(
         both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
     )
+    require_primary_key(encoded, table, key)
     parts = () if compress else store.partition_columns(table)
     merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
     if compress:
