@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, VariantType
 
-from keyframe.functions.fingerprint import content_hash, row_digest
+from keyframe.functions import fingerprint
 from keyframe.names import HASH_COL, TABLE_NAME_COL, USUAL_GROUP_COLS
 
 
@@ -105,12 +105,9 @@ def hash_groups(
 ) -> DataFrame:
     """The ticket of ``df`` for given group columns."""
     nested = [c for c in df.columns if c not in kept]
-    # The digest is a column of its own so that each row is hashed once.
-    rows = df.select(*[F.col(f"`{c}`") for c in kept], row_digest(df, nested).alias("__digest"))
     # Grouping by the constant name too keeps an empty frame an empty ticket.
-    return rows.groupBy(F.lit(table).alias(table_col), *[F.col(f"`{c}`") for c in kept]).agg(
-        content_hash(F.col("__digest"), nested).alias(hash_col)
-    )
+    keys = [F.lit(table).alias(table_col), *[F.col(f"`{c}`") for c in kept]]
+    return fingerprint.hash_groups(df, keys, nested, hash_col)
 
 
 def ticket_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
