@@ -44,8 +44,9 @@ def single_value_columns(
     """
     columns = [c for c in (columns or df.columns) if _comparable(df.schema[c].dataType)]
     if probe_rows and columns:
-        head = df.select(*[F.col(f"`{c}`") for c in columns]).take(probe_rows)
-        columns = [c for c in columns if all(row[c] == head[0][c] for row in head)] if head else []
+        # Hashes, not values, reach the driver: different hashes mean different values.
+        head = df.select(*[F.xxhash64(F.col(f"`{c}`")) for c in columns]).take(probe_rows)
+        columns = [c for n, c in enumerate(columns) if len({row[n] for row in head}) == 1]
     if not columns:
         return []
     return [r["column"] for r in single_value_report(df, columns).filter("is_single").collect()]

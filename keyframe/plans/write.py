@@ -72,7 +72,7 @@ def upsert(
     keep_single: bool = True,
     in_place: bool = False,
     encode: bool = True,
-    compress: bool = False,
+    compress: bool | str = False,
     round_doubles: bool = False,
     digits: int = 15,
     index_map: IndexMap | None = None,
@@ -89,12 +89,14 @@ def upsert(
     rounded.  The ticket describes the rows before key encoding and rounding.
     Without ``in_place`` nothing is written and ``Written.table`` is the lazy
     result.  With ``compress`` the whole table is compressed by version after the
-    upsert.
+    upsert, with ``compress="touched"`` only the partitions the rows fall into.
 
     In place, the rows are staged once, checked against the primary key and the
     foreign keys, and merged.  A partitioned table is rewritten only where the
-    rows fall, unless it is compressed.
+    rows fall, unless the whole table is compressed.
     """
+    if compress not in (False, True, "touched"):
+        raise ValueError(f"compress must be True, False or 'touched', not {compress!r}")
     table = table or _only_table_name(df)
     if compress:
         _require_not_by_version(store, table, from_col, to_col)
@@ -130,7 +132,7 @@ def upsert(
         both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
     )
     require_primary_key(encoded, table, key)
-    parts = () if compress else store.partition_columns(table)
+    parts = () if compress is True else store.partition_columns(table)
     merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
     if compress:
         merged = compress_versions(merged, from_col=from_col, to_col=to_col)

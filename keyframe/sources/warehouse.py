@@ -22,7 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyframe.model import ForeignKey, KeyModel
-from keyframe.operators.constraints import require_primary_key
+from keyframe.operators.constraints import (
+    foreign_key_nulls,
+    require_empty,
+    require_foreign_keys,
+    require_primary_key,
+)
 from keyframe.operators.upsert import merge_rows
 from keyframe.sources.storage import _file_system, list_names
 
@@ -152,8 +157,14 @@ class Warehouse(Mapping[str, DataFrame]):
             )
 
     def require_keys_not_null(self, tables: Sequence[str]) -> None:
-        """From now on refuse NULL in the foreign-key columns of ``tables``."""
+        """From now on refuse NULL in the foreign-key columns of ``tables``.
+
+        Rows that hold one already are an error.
+        """
+        model = self.model(tables)
         for table in tables:
+            nulls = foreign_key_nulls(self[table], table, model).filter("nulls > 0")
+            require_empty(nulls, f"NULL in a foreign key column of '{table}'")
             self.spark.sql(f"ALTER TABLE {self._id(table)} SET TBLPROPERTIES ({_literal(_NOT_NULL)} = 'true')")
 
     def upload_dimensions(
@@ -165,19 +176,35 @@ class Warehouse(Mapping[str, DataFrame]):
         not_null_keys: bool = True,
         replace: bool = False,
     ) -> None:
-        """Create the tables of the model and fill the given dimensions."""
+        """Create the tables of the model and fill the given dimensions.
+
+        Dimensions may refer to each other, so their foreign keys are checked when
+        all of them are there.
+        """
         for name in dimensions:
             model.primary_key(name)
         self.create(model, partition_by=partition_by, not_null_keys=not_null_keys, replace=replace)
         for name, rows in dimensions.items():
-            self.update_dimension(name, rows)
+            self._merge_dimension(name, rows, model)
+        for name in dimensions:
+            self._require_parents(name, self[name], model)
 
     def update_dimension(self, table: str, rows: DataFrame) -> None:
         """Upsert rows of one dimension by its primary key."""
-        key = self.model([table]).primary_key(table)
+        model = self.model([table])
+        self._require_parents(table, rows, model)
+        self._merge_dimension(table, rows, model)
+
+    def _merge_dimension(self, table: str, rows: DataFrame, model: KeyModel) -> None:
+        key = model.primary_key(table)
         require_primary_key(rows, table, key)
         self.replace(table, merge_rows(self[table], rows, key, check_source=False))
 
+    def _require_parents(self, table: str, rows: DataFrame, model: KeyModel) -> None:
+        if model.foreign_keys_of(table):
+            not_null = self.keys_not_null(table)
+            require_foreign_keys(rows, table, model, self.dimensions(model), not_null=not_null)
+
     # Writing
 
     def _new_folder(self, table: str) -> str:

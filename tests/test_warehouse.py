@@ -180,11 +180,30 @@ def test_upsert_refuses_null_keys(spark, quartet):
         upsert(quartet, nobody, "PlayerPart", in_place=True)
 
 
+def test_dimensions_need_their_parents_too(spark, store):
+    region = spark.createDataFrame([(1, "north")], "RegionID int, Region string")
+    place = spark.createDataFrame([(1, "NZL", 1), (2, "PER", 7)], "PlaceID int, Place string, Region int")
+    model = KeyModel(
+        {"Place": place.schema, "Region": region.schema},
+        {"Place": ("PlaceID",), "Region": ("RegionID",)},
+        (ForeignKey("Place", "Region", "Region", "RegionID", "Region"),),
+    )
+    with pytest.raises(ConstraintViolation, match="orphan: Region=7"):
+        store.upload_dimensions(model, {"Place": place, "Region": region})
+    store.upload_dimensions(model, {"Place": place.filter("PlaceID = 1"), "Region": region}, replace=True)
+    with pytest.raises(ConstraintViolation, match="orphan: Region=7"):
+        store.update_dimension("Place", place)
+    assert store["Place"].count() == 1
+
+
 def test_null_keys_where_allowed(spark, store):
     model, parents = band(spark)
     store.upload_dimensions(model, parents, not_null_keys=False)
     upsert(store, spark.createDataFrame([(1, None)], "Player int, Part int"), "PlayerPart", in_place=True)
     assert rows(store["PlayerPart"]) == [(1, None)]
+    with pytest.raises(ConstraintViolation, match="column=Part, nulls=1"):
+        store.require_keys_not_null(["PlayerPart"])
+    store.empty("PlayerPart")
     store.require_keys_not_null(["PlayerPart"])
     with pytest.raises(ConstraintViolation, match="null: Part"):
         upsert(store, spark.createDataFrame([(2, None)], "Player int, Part int"), "PlayerPart", in_place=True)
@@ -257,6 +276,18 @@ def test_compress(spark, store, partition_by):
     assert rows(store["Fact"].select(*names)) == COMPRESSED
 
 
+def test_compress_only_touched_partitions(spark, store):
+    store.upload_dimensions(versioned_model(spark), dims(spark), partition_by={"Fact": ["Country"]})
+    names = spark.createDataFrame([], VERSIONED).columns
+    upsert(store, spark.createDataFrame(COMPRESSIBLE, VERSIONED), "Fact", in_place=True)
+    third = spark.createDataFrame([(3, 3, 1, 1990, 1.0)], VERSIONED)
+    upsert(store, third, "Fact", in_place=True, compress="touched")
+    untouched = [r for r in COMPRESSIBLE if r[2] != 1]
+    assert rows(store["Fact"].select(*names)) == sorted([(1, 3, 1, 1990, 1.0), *untouched], key=repr)
+    with pytest.raises(ValueError, match="compress must be"):
+        upsert(store, third, "Fact", compress="some")
+
+
 def test_a_table_partitioned_by_version_cannot_be_compressed(spark, store):
     store.upload_dimensions(versioned_model(spark), dims(spark), partition_by={"Fact": ["ValidFromVersion"]})
     with pytest.raises(ValueError, match="partitioned by version"):
