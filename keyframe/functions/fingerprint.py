@@ -8,7 +8,7 @@ group however many rows it has: no group is ever gathered into one list.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -44,19 +44,32 @@ def cell_text(col: Column, dtype: DataType) -> Column:
     return F.coalesce(F.concat(F.lit("="), text), F.lit("~"))
 
 
-def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
-    """md5 of the named cells in name order, so column order does not matter."""
+ALGORITHMS: dict[str, Callable[[Column], Column]] = {
+    "md5": F.md5,
+    "sha1": F.sha1,
+    "sha256": lambda text: F.sha2(text, 256),
+    "sha512": lambda text: F.sha2(text, 512),
+}
+
+
+def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The named cells as one text, in name order, so column order does not matter."""
     cells = [cell_text(F.col(f"`{c}`"), df.schema[c].dataType) for c in sorted(columns)]
-    return F.md5(F.concat_ws(";", *cells) if cells else F.lit(""))
+    return F.concat_ws(";", *cells) if cells else F.lit("")
 
 
-def hash_groups(df: DataFrame, keys: Sequence[Column], columns: Sequence[str], hash_col: str) -> DataFrame:
+def hash_groups(
+    df: DataFrame, keys: Sequence[Column], columns: Sequence[str], hash_col: str, algorithm: str = "md5"
+) -> DataFrame:
     """``keys`` and the content hash of the named columns, per group.
 
     The column names are part of the hash: renaming a column changes the content.
     """
+    if algorithm not in ALGORITHMS:
+        raise ValueError(f"Unknown hash algorithm '{algorithm}', use one of {', '.join(ALGORITHMS)}")
+    digest = ALGORITHMS[algorithm]
     # Digests and slices are columns of their own, so that each is computed once.
-    rows = df.select(*keys, row_digest(df, columns).alias("__digest"))
+    rows = df.select(*keys, digest(row_text(df, columns)).alias("__digest"))
     names = rows.columns[:-1]
     slices = [F.conv(F.substring("__digest", s, 15), 16, 10).cast("bigint") for s in (1, 16)]
     rows = rows.select(*[F.col(f"`{n}`") for n in names], *[s.alias(f"__{k}") for k, s in enumerate(slices)])
@@ -75,4 +88,4 @@ def hash_groups(df: DataFrame, keys: Sequence[Column], columns: Sequence[str], h
         parts = [F.col(f"__{k}_{n}").cast("decimal(20,0)") * F.lit(Decimal(2 ** (20 * n))) for n in range(3)]
         totals.append((parts[0] + parts[1] + parts[2]).cast("string"))
     text = F.concat_ws(":", F.lit(",".join(sorted(columns))), F.col("__rows").cast("string"), *totals)
-    return sums.select(*[F.col(f"`{n}`") for n in names], F.md5(text).alias(hash_col))
+    return sums.select(*[F.col(f"`{n}`") for n in names], digest(text).alias(hash_col))

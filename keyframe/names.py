@@ -21,6 +21,11 @@ ROW_INDEX_COL = "i"
 COL_INDEX_COL = "j"
 VALUE_COL = "value"
 
+# Dimensions that hold matrix indices, and the table of row and column types.
+INDEX_TABLE = "Index"
+INDEX_TABLES_BY_TYPE = ("Industry", "Product", "Other")
+RCTYPE_TABLE = "matnameRCType"
+
 KEY_SUFFIX = "ID"
 
 SCHEMA_TABLE_COLS = (

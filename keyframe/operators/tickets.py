@@ -78,6 +78,7 @@ def ticket(
     additional: Sequence[str] | None = None,
     keep_single: bool = True,
     probe_rows: int = 0,
+    algorithm: str = "md5",
     table_col: str = TABLE_NAME_COL,
     hash_col: str = HASH_COL,
 ) -> DataFrame:
@@ -93,7 +94,9 @@ def ticket(
     kept = group_columns(
         content, usual=usual, additional=additional, keep_single=keep_single, probe_rows=probe_rows
     )
-    return hash_groups(content, table, kept, table_col=table_col, hash_col=hash_col)
+    return hash_groups(
+        content, table, kept, algorithm=algorithm, table_col=table_col, hash_col=hash_col
+    )
 
 
 def hash_groups(
@@ -101,6 +104,7 @@ def hash_groups(
     table: str,
     kept: Sequence[str],
     *,
+    algorithm: str = "md5",
     table_col: str = TABLE_NAME_COL,
     hash_col: str = HASH_COL,
 ) -> DataFrame:
@@ -108,7 +112,7 @@ def hash_groups(
     nested = [c for c in df.columns if c not in kept]
     # Grouping by the constant name too keeps an empty frame an empty ticket.
     keys = [F.lit(table).alias(table_col), *[F.col(f"`{c}`") for c in kept]]
-    return fingerprint.hash_groups(df, keys, nested, hash_col)
+    return fingerprint.hash_groups(df, keys, nested, hash_col, algorithm)
 
 
 def ticket_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:

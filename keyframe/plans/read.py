@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from keyframe.model import KeyModel
 from keyframe.names import (
     HASH_COL,
+    INDEX_TABLE,
+    RCTYPE_TABLE,
     TABLE_NAME_COL,
     TASK_GROUP_COL,
     VALID_FROM_COL,
@@ -18,7 +20,7 @@ from keyframe.names import (
 from keyframe.operators.constraints import require_empty
 from keyframe.operators.filters import drop_task_group
 from keyframe.operators.keys import Dimensions, decode_keys, encode_keys
-from keyframe.operators.matrix import IndexMap, decode_matrices
+from keyframe.operators.matrix import ENCODED_FIELDS, IndexMap, decode_matrices
 from keyframe.operators.sizes import BROADCAST_ROWS
 from keyframe.operators.tickets import hash_groups, ticket_differences
 from keyframe.operators.versions import filter_versions
@@ -48,11 +50,35 @@ def filter_table(
     rows = decode_keys(rows, table, model, dims)
     for condition in conditions:
         rows = rows.filter(condition)
-    if matrices and index_map is not None:
-        rows = decode_matrices(rows, index_map, rctypes)
+    if matrices:
+        rows = as_matrices(rows, tables, model, dims, index_map, rctypes)
     return rows
 
 
+def as_matrices(
+    rows: DataFrame,
+    tables: Mapping[str, DataFrame],
+    model: KeyModel,
+    dims: Dimensions,
+    index_map: IndexMap | None = None,
+    rctypes: DataFrame | None = None,
+) -> DataFrame:
+    """Encoded matrices to one matrix column per name; other rows as they are.
+
+    The index map is by default the index dimension, and the row and column types
+    come from the stored table of them, with readable keys.
+    """
+    if not set(ENCODED_FIELDS) <= set(rows.columns):
+        return rows
+    if index_map is None:
+        if INDEX_TABLE not in dims:
+            raise ValueError(f"Matrices need an index map or a dimension '{INDEX_TABLE}'")
+        index_map = dims[INDEX_TABLE]
+    if rctypes is None:
+        rctypes = decode_keys(tables[RCTYPE_TABLE], RCTYPE_TABLE, model, dims)
+    return decode_matrices(rows, index_map, rctypes)
+
+
 def collect_ticket(
     ticket: DataFrame,
     tables: Mapping[str, DataFrame],
@@ -107,8 +133,8 @@ def collect_ticket(
             verify_ticket(ticket, readable, table), f"Table '{table}' differs from what the ticket describes"
         )
     rows = readable if decode else rows
-    if matrices and index_map is not None:
-        rows = decode_matrices(rows, index_map, rctypes)
+    if matrices:
+        rows = as_matrices(rows, tables, model, dims, index_map, rctypes)
     if keep_table_name:
         rows = rows.select(F.lit(table).alias(TABLE_NAME_COL), "*")
     if set_task_group and grouped:

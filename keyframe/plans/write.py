@@ -12,6 +12,7 @@ from keyframe.functions.numeric import round_double_cols
 from keyframe.model import KeyModel
 from keyframe.names import (
     COUNTRY_COL,
+    INDEX_TABLES_BY_TYPE,
     TABLE_NAME_COL,
     USUAL_GROUP_COLS,
     VALID_FROM_COL,
@@ -28,7 +29,7 @@ from keyframe.operators.keys import (
     lookup_keys,
     to_encode,
 )
-from keyframe.operators.matrix import IndexMap, encode_matrices
+from keyframe.operators.matrix import IndexMap, encode_matrices, matrix_columns
 from keyframe.operators.tickets import ticket
 from keyframe.operators.upsert import merge_rows
 from keyframe.operators.versions import compress_versions
@@ -85,11 +86,12 @@ def upsert(
 ) -> Written:
     """Insert or update the rows of ``df`` in a stored table, by primary key.
 
-    Matrices become (i, j, value) rows and readable keys integers; doubles may be
-    rounded.  The ticket describes the rows before key encoding and rounding.
-    Without ``in_place`` nothing is written and ``Written.table`` is the lazy
-    result.  With ``compress`` the whole table is compressed by version after the
-    upsert, with ``compress="touched"`` only the partitions the rows fall into.
+    Matrices become (i, j, value) rows, by default with the index dimensions of their
+    row and column types, and readable keys become integers; doubles may be rounded.
+    The ticket describes the rows before key encoding and rounding.  Without
+    ``in_place`` nothing is written and ``Written.table`` is the lazy result.  With
+    ``compress`` the whole table is compressed by version after the upsert, with
+    ``compress="touched"`` only the partitions the rows fall into.
 
     In place, the rows are staged once, checked against the primary key and the
     foreign keys, and merged.  A partitioned table is rewritten only where the
@@ -104,7 +106,9 @@ def upsert(
     dims = store.dimensions(model) if dims is None else dims
     key = model.primary_key(table)
     rows = df.drop(TABLE_NAME_COL)
-    if index_map is not None:
+    if index_map is None and matrix_columns(rows):
+        index_map = {kind: dims[kind] for kind in INDEX_TABLES_BY_TYPE if kind in dims}
+    if index_map:
         rows = encode_matrices(rows, index_map, rctypes, retain_zeros=retain_zeros)
     grouping = {"usual": usual, "additional": additional, "keep_single": keep_single}
     if not in_place:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from keyframe.sources.storage import exists, list_names
+from keyframe.sources.storage import CSV_OPTIONS, exists, list_names
 
 FORMATS = ("parquet", "csv")
+# How a CSV snapshot tells NULL from an empty text.
+CSV_NULL = "\\N"
 NOT_RELEASED = "Release not requested."
 
 
@@ -34,7 +36,9 @@ def release_snapshot(
     path = f"{root.rstrip('/')}/{name}/version={_new_version()}"
     writer = df.write.mode("errorifexists")
     if format == "csv":
-        writer = writer.option("header", True)
+        # The writer would trim cells otherwise.
+        whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer = writer.options(**CSV_OPTIONS, **whole, nullValue=CSV_NULL)
     writer.format(format).save(path)
     return path
 
@@ -74,7 +78,7 @@ def read_snapshot(
     if schema is not None:
         reader = reader.schema(schema)
     if format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_OPTIONS, multiLine=True, nullValue=CSV_NULL)
     return reader.load(f"{root.rstrip('/')}/{name}/version={version}")
 
 

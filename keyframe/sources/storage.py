@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Quotes inside of quoted cells are doubled, as in RFC 4180; backslashes mean nothing.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared scratch folder of the cluster, from ``spark.checkpoint.dir``.

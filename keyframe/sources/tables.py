@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from keyframe.functions.casting import apply_types
 from keyframe.model import KeyModel
 from keyframe.names import SCHEMA_TABLE_COLS
-from keyframe.sources.storage import list_names
+from keyframe.sources.storage import CSV_OPTIONS, list_names
 
 FILE_FORMATS = ("parquet", "csv", "orc", "json")
 
@@ -27,7 +27,7 @@ def read_table(spark: SparkSession, source: str, format: str | None = None) -> D
     if format == "table":
         return spark.table(source)
     if format == "csv":
-        return spark.read.csv(source, header=True, inferSchema=False, multiLine=False)
+        return spark.read.options(**CSV_OPTIONS, multiLine=True).csv(source)
     return spark.read.format(format).load(source)
 
 

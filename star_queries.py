@@ -995,12 +995,12 @@ def snapshot_roundtrip(spark, folder):
     return read_snapshot(spark, root, "orders")
 
 
-@query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+@query("SELECT * FROM documents")
 def snapshot_csv(spark, folder):
     root = f"{scratch_dir(spark)}/releases-{uuid.uuid4().hex[:8]}"
-    parts = table(spark, folder, "part")
-    release_snapshot(parts, root, "part", format="csv", release=True)
-    return read_snapshot(spark, root, "part", format="csv", schema=parts.schema)
+    documents = table(spark, folder, "documents")
+    release_snapshot(documents, root, "documents", format="csv", release=True)
+    return read_snapshot(spark, root, "documents", format="csv", schema=documents.schema)
 
 
 @query(f"""

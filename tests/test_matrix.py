@@ -2,9 +2,10 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from keyframe.model import KeyModel
+from keyframe.model import ForeignKey, KeyModel
 from keyframe.operators import matrix
-from keyframe.plans.read import filter_table
+from keyframe.operators.keys import decode_keys
+from keyframe.plans.read import collect_ticket, filter_table
 from keyframe.plans.write import upsert
 from keyframe.sources.warehouse import Warehouse
 from tests.frames import rows
@@ -188,3 +189,43 @@ def test_zero_matrices(spark, tmp_path):
     )
     assert read.columns == ["zero1", "zero2"] and read.count() == 1
     assert [tuple(c) for c in read.first()["zero1"]] == zeros
+
+
+def test_stored_index_and_types_are_the_defaults(spark, tmp_path):
+    """Indices by row/column type on the way in, one index dimension on the way out."""
+    index = spark.createDataFrame([(1, "p1"), (2, "p2"), (7, "i1")], "IndexID int, Index string")
+    kinds = spark.createDataFrame([(1, "Industry"), (2, "Product")], "RCTypeID int, RCType string")
+    matnames = spark.createDataFrame([(1, "U")], "matnameID int, matname string")
+    by_type = {
+        "Product": spark.createDataFrame([(1, "p1"), (2, "p2")], "ProductID int, Product string"),
+        "Industry": spark.createDataFrame([(7, "i1")], "IndustryID int, Industry string"),
+    }
+    stored = spark.createDataFrame([], "Year int, matname int, i int, j int, value double")
+    types = spark.createDataFrame([(1, 2, 1)], "matname int, rowtype int, coltype int")
+    dims = {"Index": index, "RCType": kinds, "matname": matnames, **by_type}
+    model = KeyModel(
+        {"Flow": stored.schema, "matnameRCType": types.schema, **{n: d.schema for n, d in dims.items()}},
+        {"Flow": ("Year", "matname", "i", "j"), "matnameRCType": ("matname",)}
+        | {n: (d.columns[0],) for n, d in dims.items()},
+        (
+            ForeignKey("Flow", "matname", "matname", "matnameID", "matname"),
+            ForeignKey("matnameRCType", "matname", "matname", "matnameID", "matname"),
+            ForeignKey("matnameRCType", "rowtype", "RCType", "RCTypeID", "RCType"),
+            ForeignKey("matnameRCType", "coltype", "RCType", "RCTypeID", "RCType"),
+        ),
+    )
+    store = Warehouse(spark, "stored_index", str(tmp_path))
+    store.upload_dimensions(model, {**dims, "matnameRCType": types})
+    cells = [("p1", "i1", 3.0), ("p2", "i1", 4.0)]
+    flows = spark.createDataFrame(
+        [(1990, cells)], "Year int, U array<struct<rowname string, colname string, value double>>"
+    )
+    rctypes = decode_keys(store["matnameRCType"], "matnameRCType", model, dims)
+    taken = upsert(store, flows, "Flow", rctypes=rctypes, model=model, dims=dims, in_place=True).ticket
+    assert rows(store["Flow"]) == [(1990, 1, 1, 7, 3.0), (1990, 1, 2, 7, 4.0)]
+    read = filter_table(store, "Flow", model=model, dims=dims, matrices=True)
+    assert read.columns == ["Year", "U"] and [tuple(c) for c in read.first()["U"]] == cells
+    fetched = collect_ticket(taken, store, model=model, dims=dims, verify=True)
+    assert fetched.collect() == read.collect()
+    with pytest.raises(ValueError, match="need an index map"):
+        filter_table(store, "Flow", model=model, dims={"matname": matnames}, matrices=True)

@@ -77,6 +77,14 @@ def test_csv_snapshots_and_releases(spark, places, tmp_path):
         read_release(spark, root, "p", "v9", releases)
 
 
+def test_csv_keeps_every_character(spark, tmp_path):
+    texts = ['a "b" c', "back\\slash\\", "two\nlines", "crlf\r\nhere", "  padded ", "", None, ",;'", '"', '\\"', "é"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    release_snapshot(frame, str(tmp_path), "t", format="csv", release=True)
+    read = read_snapshot(spark, str(tmp_path), "t", format="csv", schema=frame.schema)
+    assert rows(read) == rows(frame)
+
+
 def test_countries(spark):
     assert len(refdata.ALL_COUNTRIES) == len(set(refdata.ALL_COUNTRIES)) == 166
     assert len(refdata.CANONICAL_COUNTRIES) == 157

@@ -101,6 +101,15 @@ def test_column_names_are_content(pairs):
     assert hashes(pairs) != hashes(renamed)
 
 
+def test_algorithms(pairs):
+    lengths = {"md5": 32, "sha1": 40, "sha256": 64, "sha512": 128}
+    for name, length in lengths.items():
+        (one,) = hashes(pairs, algorithm=name)
+        assert len(one) == length and [one] == hashes(pairs.repartition(3), algorithm=name)
+    with pytest.raises(ValueError, match="Unknown hash algorithm"):
+        hashes(pairs, algorithm="crc")
+
+
 def test_kinds_of_cells(spark):
     frame = spark.sql(
         "SELECT id, cast(id AS double) / 3 AS x, date'2020-01-01' + cast(id AS int) AS d, "
