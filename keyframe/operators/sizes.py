@@ -1,9 +1,10 @@
-"""Size checks before a broadcast."""
+"""Size checks before a broadcast, and filters that a join implies."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType
 
 # Rows of a few short columns; well below the default broadcast limits in bytes.
 BROADCAST_ROWS = 50_000
@@ -19,3 +20,39 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+# Up to this many rows are listed as literals.
+LISTED_ROWS = 1_000
+
+
+def implied_filter(wanted: DataFrame) -> Column | None:
+    """A filter on the columns of ``wanted`` that holds for every row with a match in it.
+
+    A semi join alone reads all of its left side.  This filter is made of literals, so
+    it prunes partitions and row groups: values for a short ``wanted``, else the range
+    between least and greatest.  The join still decides.
+    """
+    plain = (IntegralType, StringType, BooleanType, DateType)
+    names = [f.name for f in wanted.schema.fields if isinstance(f.dataType, plain)]
+    if not names:
+        return None
+    columns = [F.col(f"`{n}`") for n in names]
+    listed = wanted.select(*columns).limit(LISTED_ROWS + 1).collect()
+    tests = []
+    if len(listed) <= LISTED_ROWS:
+        for name, column in zip(names, columns):
+            values = {row[name] for row in listed}
+            test = column.isin(sorted(values - {None}))
+            tests.append(test | column.isNull() if None in values else test)
+    else:
+        ends = [f(c).alias(f"{n}_{k}") for n, c in enumerate(columns) for k, f in enumerate((F.min, F.max))]
+        gaps = [F.count_if(c.isNull()).alias(f"{n}_null") for n, c in enumerate(columns)]
+        found = wanted.agg(*ends, *gaps).first()
+        for n, column in enumerate(columns):
+            test = column.between(found[f"{n}_0"], found[f"{n}_1"]) if found[f"{n}_0"] is not None else F.lit(False)
+            tests.append(test | column.isNull() if found[f"{n}_null"] else test)
+    combined = tests[0]
+    for test in tests[1:]:
+        combined = combined & test
+    return combined

@@ -21,7 +21,7 @@ from keyframe.operators.constraints import require_empty
 from keyframe.operators.filters import drop_task_group
 from keyframe.operators.keys import Dimensions, decode_keys, encode_keys
 from keyframe.operators.matrix import ENCODED_FIELDS, IndexMap, decode_matrices
-from keyframe.operators.sizes import BROADCAST_ROWS
+from keyframe.operators.sizes import BROADCAST_ROWS, implied_filter
 from keyframe.operators.tickets import hash_groups, ticket_differences
 from keyframe.operators.versions import filter_versions
 
@@ -119,6 +119,8 @@ def collect_ticket(
     wanted = encode_keys(drop_task_group(ticket).drop(TABLE_NAME_COL, HASH_COL), table, model, dims)
     rows = tables[table]
     if wanted.columns:
+        implied = implied_filter(wanted)
+        rows = rows if implied is None else rows.filter(implied)
         # The row count above is what allows the broadcast.
         listed = F.broadcast(wanted) if facts["rows"] <= BROADCAST_ROWS else wanted
         renamed = listed.toDF(*[f"__{c}" for c in wanted.columns])

@@ -235,8 +235,10 @@ class Warehouse(Mapping[str, DataFrame]):
         self.spark.catalog.refreshTable(self._id(table))
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Add the rows of ``df``."""
-        self._aligned(table, df).write.insertInto(self._id(table))
+        """Add the rows of ``df``, regrouped by partition as in :meth:`replace`."""
+        parts = self.partition_columns(table)
+        df = self._aligned(table, df)
+        (df.hint("rebalance", *parts) if parts else df).write.insertInto(self._id(table))
         self.spark.catalog.refreshTable(self._id(table))
 
     def empty(self, table: str) -> None:

@@ -6,9 +6,12 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from keyframe.operators import keys, tickets, versions
+from keyframe.operators import keys, sizes, tickets, versions
+from keyframe.operators.keys import decode_keys
 from keyframe.operators.upsert import merge_rows
 from keyframe.plans.read import collect_ticket, filter_table
+from keyframe.plans.write import upsert
+from keyframe.sources.warehouse import Warehouse
 from tests.frames import LARGE_DATA, VERSIONED, dims, rows, settings, versioned_model
 
 
@@ -74,6 +77,37 @@ def test_a_ticket_is_broadcast_and_the_fact_is_not_shuffled(spark, stored):
     assert "LeftSemi, BuildRight" in plan(fetched)
 
 
+def test_tickets_and_readable_filters_prune_partitions(spark, tmp_path):
+    store = Warehouse(spark, "pruned", str(tmp_path))
+    store.upload_dimensions(versioned_model(spark), dims(spark), partition_by={"Fact": ["Country"]})
+    fact = spark.createDataFrame([(1, 3, c, 1990, 1.0) for c in (1, 2, 3)], VERSIONED)
+    taken = upsert(store, fact, "Fact", in_place=True, additional=["Country"]).ticket
+    options = {"model": store.model(), "dims": store.dimensions()}
+    readable = decode_keys(fact, "Fact", **options)
+    one = tickets.ticket(readable, "Fact", additional=["Country"]).filter("Country = 'PER'")
+    fetched = collect_ticket(one, store, **options)
+    assert fetched.count() == 1 and "PartitionFilters: [isnotnull(Country" in plan(fetched)
+    assert "InMemoryFileIndex(1 paths)" in plan(fetched)
+    filtered = filter_table(store, "Fact", "Country = 'PER'", **options)
+    assert filtered.count() == 1 and "dynamicpruning" in plan(filtered)
+    assert taken.count() == 3
+
+
+@pytest.mark.parametrize("most", [1000, 2])
+def test_implied_filters_keep_every_match(spark, monkeypatch, most):
+    monkeypatch.setattr(sizes, "LISTED_ROWS", most)
+    wanted = spark.sql(
+        "SELECT * FROM VALUES (1, 'a', date'2020-01-01', 1.0D), (5, NULL, NULL, 2.0D), "
+        "(NULL, 'c', date'2020-03-01', NULL), (7, 'a', date'2020-02-01', 1.0D) AS t(n, s, d, x)"
+    )
+    frame = wanted.unionByName(wanted.withColumn("n", F.lit(99)))
+    kept = frame.filter(sizes.implied_filter(wanted))
+    assert rows(kept) == rows(wanted)
+    nothing = wanted.select(F.lit(None).cast("int").alias("n"))
+    assert frame.filter(sizes.implied_filter(nothing)).count() == 1
+    assert sizes.implied_filter(wanted.select("x")) is None
+
+
 def test_hot_groups_in_a_ticket_and_in_compression(spark):
     """A third of the rows share one group; results equal those of an even spread."""
     with settings(spark, LARGE_DATA):
