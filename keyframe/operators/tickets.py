@@ -78,7 +78,7 @@ def ticket(
     additional: Sequence[str] | None = None,
     keep_single: bool = True,
     probe_rows: int = 0,
-    algorithm: str = "md5",
+    algorithm: str = fingerprint.DEFAULT_ALGORITHM,
     table_col: str = TABLE_NAME_COL,
     hash_col: str = HASH_COL,
 ) -> DataFrame:
@@ -104,7 +104,7 @@ def hash_groups(
     table: str,
     kept: Sequence[str],
     *,
-    algorithm: str = "md5",
+    algorithm: str = fingerprint.DEFAULT_ALGORITHM,
     table_col: str = TABLE_NAME_COL,
     hash_col: str = HASH_COL,
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyframe.functions.fingerprint import DEFAULT_ALGORITHM
 from keyframe.model import KeyModel
 from keyframe.names import (
     HASH_COL,
@@ -93,13 +94,14 @@ def collect_ticket(
     index_map: IndexMap | None = None,
     rctypes: DataFrame | None = None,
     verify: bool = False,
+    algorithm: str = DEFAULT_ALGORITHM,
     from_col: str = VALID_FROM_COL,
     to_col: str = VALID_TO_COL,
 ) -> DataFrame | None:
     """The rows a ticket stands for; ``None`` for an empty ticket.
 
-    ``verify`` hashes the rows again and raises if the ticket no longer describes
-    them; it applies to whole, decoded tickets, so not together with ``versions``.
+    ``verify`` hashes the rows again, with the ticket's ``algorithm``, and raises if the
+    ticket no longer describes them; it applies to whole, decoded tickets, so not together with ``versions``.
     """
     grouped = TASK_GROUP_COL in ticket.columns
     facts = ticket.agg(
@@ -132,7 +134,7 @@ def collect_ticket(
         if versions is not None:
             raise ValueError("A ticket covers all versions, so it cannot be verified for some of them")
         require_empty(
-            verify_ticket(ticket, readable, table), f"Table '{table}' differs from what the ticket describes"
+            verify_ticket(ticket, readable, table, algorithm), f"Table '{table}' differs from what the ticket describes"
         )
     rows = readable if decode else rows
     if matrices:
@@ -144,9 +146,11 @@ def collect_ticket(
     return rows
 
 
-def verify_ticket(ticket: DataFrame, rows: DataFrame, table: str) -> DataFrame:
+def verify_ticket(
+    ticket: DataFrame, rows: DataFrame, table: str, algorithm: str = DEFAULT_ALGORITHM
+) -> DataFrame:
     """Ticket rows whose content in ``rows`` (readable keys) is not as hashed."""
     expected = drop_task_group(ticket)
     kept = [c for c in expected.columns if c not in (TABLE_NAME_COL, HASH_COL)]
-    actual = hash_groups(rows, table, kept).select(*expected.columns)
+    actual = hash_groups(rows, table, kept, algorithm=algorithm).select(*expected.columns)
     return ticket_differences(expected, actual)

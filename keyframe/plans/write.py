@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyframe.functions.fingerprint import DEFAULT_ALGORITHM
 from keyframe.functions.numeric import round_double_cols
 from keyframe.model import KeyModel
 from keyframe.names import (
@@ -71,6 +72,7 @@ def upsert(
     additional: Sequence[str] | None = None,
     usual: Sequence[str] | None = USUAL_GROUP_COLS,
     keep_single: bool = True,
+    algorithm: str = DEFAULT_ALGORITHM,
     in_place: bool = False,
     encode: bool = True,
     compress: bool | str = False,
@@ -110,7 +112,12 @@ def upsert(
         index_map = {kind: dims[kind] for kind in INDEX_TABLES_BY_TYPE if kind in dims}
     if index_map:
         rows = encode_matrices(rows, index_map, rctypes, retain_zeros=retain_zeros)
-    grouping = {"usual": usual, "additional": additional, "keep_single": keep_single}
+    grouping = {
+        "usual": usual,
+        "additional": additional,
+        "keep_single": keep_single,
+        "algorithm": algorithm,
+    }
     if not in_place:
         encoded = drop_task_group(rows)
         if encode:
@@ -170,6 +177,7 @@ def filter_copy(
     additional: Sequence[str] | None = None,
     usual: Sequence[str] | None = USUAL_GROUP_COLS,
     keep_single: bool = True,
+    algorithm: str = DEFAULT_ALGORITHM,
     model: KeyModel | None = None,
     dims: Dimensions | None = None,
     member_col: str = COUNTRY_COL,
@@ -220,6 +228,7 @@ def filter_copy(
         usual=usual,
         additional=additional,
         keep_single=keep_single,
+        algorithm=algorithm,
         probe_rows=PROBE_ROWS if in_place else 0,
     )
     return Written(result, decode_keys(receipt, dest, model, dims))

@@ -85,15 +85,15 @@ def test_order_partitions_and_storage_do_not_matter(spark, pairs, tmp_path):
         ([("a", "b"), ("c", "d")], [("a", "d"), ("c", "b")]),
     ],
 )
-def test_different_content_differs(spark, first, second):
+@pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])
+def test_different_content_differs(spark, first, second, algorithm):
     # A third column keeps the others from becoming group columns.
     def frame(cells):
         varying = [(0, "x", "y"), (1, "u", "v")]
         return spark.createDataFrame(varying + [(2, *c) for c in cells], "n int, p string, q string")
 
-    assert hashes(frame(first), usual=["none"], keep_single=False) != hashes(
-        frame(second), usual=["none"], keep_single=False
-    )
+    options = {"usual": ["none"], "keep_single": False, "algorithm": algorithm}
+    assert hashes(frame(first), **options) != hashes(frame(second), **options)
 
 
 def test_column_names_are_content(pairs):
@@ -102,7 +102,7 @@ def test_column_names_are_content(pairs):
 
 
 def test_algorithms(pairs):
-    lengths = {"md5": 32, "sha1": 40, "sha256": 64, "sha512": 128}
+    lengths = {"xxhash64": 32, "md5": 32, "sha1": 40, "sha256": 64, "sha512": 128}
     for name, length in lengths.items():
         (one,) = hashes(pairs, algorithm=name)
         assert len(one) == length and [one] == hashes(pairs.repartition(3), algorithm=name)
@@ -110,17 +110,24 @@ def test_algorithms(pairs):
         hashes(pairs, algorithm="crc")
 
 
-def test_kinds_of_cells(spark):
+def test_widths_of_numbers_do_not_matter(spark):
+    narrow = spark.createDataFrame([(1, 1.5), (2, 2.5)], "n int, x float")
+    wide = spark.createDataFrame([(1, 1.5), (2, 2.5)], "n long, x double")
+    assert hashes(narrow) == hashes(wide)
+
+
+@pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])
+def test_kinds_of_cells(spark, algorithm):
     frame = spark.sql(
         "SELECT id, cast(id AS double) / 3 AS x, date'2020-01-01' + cast(id AS int) AS d, "
         "timestamp'2020-01-01 10:00:00' AS t, array(id, NULL) AS a, struct(id AS k) AS s, "
         "cast('bin' AS binary) AS b, id > 2 AS f FROM range(5)"
     )
-    assert hashes(frame) == hashes(frame.repartition(3))
-    assert hashes(frame) != hashes(frame.withColumn("a", F.array(F.col("id"), F.lit(0).cast("long"))))
+    assert hashes(frame, algorithm=algorithm) == hashes(frame.repartition(3), algorithm=algorithm)
+    assert hashes(frame, algorithm=algorithm) != hashes(frame.withColumn("a", F.array(F.col("id"), F.lit(0).cast("long"))), algorithm=algorithm)
     zero = spark.createDataFrame([(0.0, 1), (1.0, 2)], "x double, n int")
     minus = spark.createDataFrame([(-0.0, 1), (1.0, 2)], "x double, n int")
-    assert hashes(zero) == hashes(minus)
+    assert hashes(zero, algorithm=algorithm) == hashes(minus, algorithm=algorithm)
 
 
 def test_single_value_columns(spark):
