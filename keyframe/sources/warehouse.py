@@ -185,7 +185,7 @@ class Warehouse(Mapping[str, DataFrame]):
             model.primary_key(name)
         self.create(model, partition_by=partition_by, not_null_keys=not_null_keys, replace=replace)
         for name, rows in dimensions.items():
-            self._merge_dimension(name, rows, model)
+            self._fill_dimension(name, rows, model)
         for name in dimensions:
             self._require_parents(name, self[name], model)
 
@@ -195,6 +195,16 @@ class Warehouse(Mapping[str, DataFrame]):
         self._require_parents(table, rows, model)
         self._merge_dimension(table, rows, model)
 
+    def _fill_dimension(self, table: str, rows: DataFrame, model: KeyModel) -> None:
+        """First rows of a new dimension, with NULL in the columns they lack."""
+        fields = self[table].schema.fields
+        unknown = [c for c in rows.columns if c not in {f.name for f in fields}]
+        if unknown:
+            raise ValueError(f"Columns {unknown} do not exist in table '{table}'")
+        require_primary_key(rows, table, model.primary_key(table))
+        lacking = {f.name: F.lit(None) for f in fields if f.name not in rows.columns}
+        self.replace(table, rows.withColumns(lacking) if lacking else rows)
+
     def _merge_dimension(self, table: str, rows: DataFrame, model: KeyModel) -> None:
         key = model.primary_key(table)
         require_primary_key(rows, table, key)

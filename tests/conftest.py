@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(scratch / "warehouse"))

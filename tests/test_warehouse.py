@@ -117,6 +117,14 @@ def test_dimensions_need_a_primary_key(spark, store):
         store.upload_dimensions(KeyModel({"D": frame.schema}), {"D": frame})
 
 
+def test_dimension_columns(spark, store):
+    model, parents = band(spark)
+    with pytest.raises(ValueError, match="do not exist in table 'Part'"):
+        store.upload_dimensions(model, {"Part": parents["Part"].withColumn("more", F.lit(1))})
+    store.upload_dimensions(model, {"Part": parents["Part"].select("PartID")}, replace=True)
+    assert rows(store["Part"]) == [(n, None) for n in (1, 2, 3, 4)]
+
+
 def test_update_dimension(spark, quartet):
     quartet.update_dimension("Part", spark.createDataFrame([(4, "Piano"), (5, "Flute")], "PartID int, Part string"))
     assert rows(quartet["Part"]) == [(1, "Violin"), (2, "Viola"), (3, "Cello"), (4, "Piano"), (5, "Flute")]
