@@ -13,20 +13,25 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
+# Temporary folders of local sessions without the setting, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared scratch folder of the cluster, from ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one disk, may fall
-    back to a temporary folder; it is then set for the rest of the session.
+    Only a local session, where driver and executors share one disk, may leave it
+    out; it then gets one temporary folder.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"Set {CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="keyframe-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="keyframe-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -720,12 +720,20 @@ def ticket_fast(spark, folder):
     return both.groupBy(*keys_of).agg(F.count_distinct("NestedDataHash").cast("int").alias("distinct_hashes"))
 
 
-@query("""
-SELECT * FROM (VALUES ('Dataset', true), ('Note', true), ('Half', false), ('o_orderkey', false),
-  ('o_custkey', false), ('o_orderstatus', false), ('o_totalprice', false), ('o_orderdate', false),
-  ('o_orderpriority', false)) t("column", is_single)
-WHERE (SELECT count(*) FROM orders) > 1
-""")
+def _single_sql(column: str, expression: str) -> str:
+    values = f"count(DISTINCT {expression}) + CAST(count(*) > count({expression}) AS INT)"
+    return f"SELECT '{column}' AS \"column\", {values} = 1 AS is_single FROM orders"
+
+
+_ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+_MADE_COLS = {
+    "Dataset": "'TPC'",
+    "Note": "CAST(NULL AS VARCHAR)",
+    "Half": "CASE WHEN o_orderstatus = 'F' THEN 'x' END",
+}
+
+
+@query(" UNION ALL ".join(_single_sql(c, e) for c, e in [*((c, c) for c in _ORDER_COLS), *_MADE_COLS.items()]))
 def single_value_columns(spark, folder):
     rows = table(spark, folder, "orders").withColumns(
         {

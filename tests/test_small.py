@@ -1,3 +1,6 @@
+from pathlib import Path
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,16 @@ def test_scratch_folder_comes_from_the_session(spark):
     staged = storage.stage(spark.range(5), "five")
     assert staged.count() == 5
     assert storage.scratch_dir(spark) in staged.inputFiles()[0]
+
+
+def test_only_a_local_session_may_leave_the_scratch_folder_out():
+    class Session:
+        def __init__(self, master):
+            self.conf = {}
+            self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+
+    local = Session("local[2]")
+    folder = storage.scratch_dir(local)
+    assert Path(folder).is_dir() and storage.scratch_dir(local) == folder
+    with pytest.raises(RuntimeError, match="Set spark.checkpoint.dir"):
+        storage.scratch_dir(Session("yarn"))
