@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyframe.model import KeyModel
-from keyframe.operators.keys import MAX_LISTED, Dimensions, _present, raise_unmatched
+from keyframe.operators.keys import MAX_LISTED, Dimensions, present_keys, raise_unmatched
 
 
 class ConstraintViolation(ValueError):
@@ -27,7 +27,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def foreign_key_nulls(df: DataFrame, table: str, model: KeyModel) -> DataFrame:
     """NULLs in every foreign-key column of ``table``; no rows if it has none."""
-    return null_counts(df, [fk.column for fk in _present(df, table, model)])
+    return null_counts(df, [fk.column for fk in present_keys(df, table, model)])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def orphan_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions) ->
     so the join sees each key once however many rows hold it.
     """
     reports = []
-    for fk in _present(df, table, model):
+    for fk in present_keys(df, table, model):
         known = dims[fk.parent].select(F.col(f"`{fk.parent_key}`").alias("__known"))
         counts = (
             df.filter(F.col(f"`{fk.column}`").isNotNull())
@@ -98,7 +98,7 @@ def foreign_key_violations(
     readable = readable or {}
     shape = ("problem", "column", "parent", "value", "rows")
     reports = []
-    for fk in _present(df, table, model):
+    for fk in present_keys(df, table, model):
         if fk.column in readable:
             given = F.col(f"`{readable[fk.column]}`")
             bad = df.filter(F.col(f"`{fk.column}`").isNull()).groupBy(given.cast("string").alias("value"))

@@ -31,7 +31,7 @@ def _is_key(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (ByteType, ShortType, IntegerType, LongType))
 
 
-def _present(df: DataFrame, table: str, model: KeyModel) -> list[ForeignKey]:
+def present_keys(df: DataFrame, table: str, model: KeyModel) -> list[ForeignKey]:
     return [
         model.foreign_key(table, c)
         for c in dict.fromkeys(fk.column for fk in model.foreign_keys_of(table))
@@ -43,7 +43,7 @@ def to_encode(
     df: DataFrame, table: str, model: KeyModel, force: Collection[str] = ()
 ) -> list[ForeignKey]:
     """Foreign keys still holding readable values: integer columns count as encoded."""
-    return [fk for fk in _present(df, table, model) if fk.column in force or not _is_key(df, fk.column)]
+    return [fk for fk in present_keys(df, table, model) if fk.column in force or not _is_key(df, fk.column)]
 
 
 def _attach(
@@ -145,7 +145,7 @@ def decode_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions) ->
 
     A key without a parent becomes NULL.  Absent columns are skipped.
     """
-    fks = _present(df, table, model)
+    fks = present_keys(df, table, model)
     if not fks:
         return df
     joined, found = _attach(df, dims, fks, by_key=True)

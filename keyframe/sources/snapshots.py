@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,16 @@ CSV_NULL = "\\N"
 NOT_RELEASED = "Release not requested."
 
 
-def _new_version() -> str:
-    now = datetime.now(timezone.utc)
-    return f"{now:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:5]}"
+_STAMP = "%Y%m%dT%H%M%SZ"
+
+
+def _new_version(earlier: list[str]) -> str:
+    """A version id that sorts after the earlier ones, also within one second."""
+    moment = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    if earlier:
+        last = datetime.strptime(earlier[-1].rsplit("-", 1)[0], _STAMP)
+        moment = max(moment, last + timedelta(seconds=1))
+    return f"{moment.strftime(_STAMP)}-{uuid.uuid4().hex[:5]}"
 
 
 def release_snapshot(
@@ -33,7 +40,8 @@ def release_snapshot(
         raise ValueError(f"Unknown snapshot format '{format}', use one of {FORMATS}")
     if not release:
         return NOT_RELEASED
-    path = f"{root.rstrip('/')}/{name}/version={_new_version()}"
+    version = _new_version(snapshot_versions(df.sparkSession, root, name))
+    path = f"{root.rstrip('/')}/{name}/version={version}"
     writer = df.write.mode("errorifexists")
     if format == "csv":
         # The writer would trim cells otherwise.

@@ -65,3 +65,8 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
         return []
     names = (status.getPath().getName() for status in fs.listStatus(folder))
     return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _file_system(spark, path)
+    fs.delete(folder, True)

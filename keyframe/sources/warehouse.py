@@ -29,7 +29,7 @@ from keyframe.operators.constraints import (
     require_primary_key,
 )
 from keyframe.operators.upsert import merge_rows
-from keyframe.sources.storage import _file_system, list_names
+from keyframe.sources.storage import delete_folder, list_names
 
 _NAME, _KEY, _FOREIGN, _NOT_NULL, _PARTITIONS = (
     f"keyframe.{p}" for p in ("name", "primary_key", "foreign_keys", "not_null", "partitions")
@@ -271,6 +271,5 @@ class Warehouse(Mapping[str, DataFrame]):
         old = [n for n in names if n != current.rsplit("/", 1)[-1]]
         removed = [f"{folder}/{n}" for n in old[: max(0, len(old) - keep)]]
         for path in removed:
-            fs, place = _file_system(self.spark, path)
-            fs.delete(place, True)
+            delete_folder(self.spark, path)
         return removed

@@ -23,7 +23,7 @@ from keyframe.model import ForeignKey, KeyModel
 from keyframe.names import COUNTRY_COL
 from keyframe.operators import constraints, filters, keys, matrix, tickets, upsert, versions
 from keyframe.plans import read, write
-from keyframe.sources.snapshots import read_snapshot, release_snapshot
+from keyframe.sources.snapshots import read_release, read_snapshot, release_snapshot, snapshot_versions
 from keyframe.sources.storage import scratch_dir, stage
 from keyframe.sources.warehouse import Warehouse
 
@@ -1019,6 +1019,19 @@ def snapshot_roundtrip(spark, folder):
     return read_snapshot(spark, root, "orders")
 
 
+@query("SELECT * FROM customer")
+def snapshot_of_release(spark, folder):
+    """The version of a snapshot that belongs to a release, though there is a newer one."""
+    root = f"{scratch_dir(spark)}/releases-{uuid.uuid4().hex[:8]}"
+    customers = table(spark, folder, "customer")
+    release_snapshot(customers, root, "customer", release=True)
+    release_snapshot(customers.withColumn("c_acctbal", F.lit(0.0)), root, "customer", release=True)
+    first, second = snapshot_versions(spark, root, "customer")
+    listed = [("v1.2", "customer", first), ("v1.3", "customer", second)]
+    versions_of = spark.createDataFrame(listed, "database_version string, name string, version string")
+    return read_release(spark, root, "customer", 1.2, versions_of)
+
+
 @query("SELECT * FROM documents")
 def snapshot_csv(spark, folder):
     root = f"{scratch_dir(spark)}/releases-{uuid.uuid4().hex[:8]}"

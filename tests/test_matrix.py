@@ -104,7 +104,8 @@ def test_null_matrix_and_null_cell(spark, tidy, index_map, rctypes):
     without = tidy.withColumn("matval", F.when(F.col("matname") != "U", F.col("matval")))
     assert rows(matrix.encode_matrices(without, index_map, rctypes)) == [r for r in ENCODED if r[2] != "U"]
     cell = spark.createDataFrame(
-        [("U", "g1", "t1", None), ("U", "g2", "t1", 0.0)], "matname string, rowname string, colname string, value double"
+        [("U", "g1", "t1", None), ("U", "g2", "t1", 0.0)],
+        "matname string, rowname string, colname string, value double",
     )
     assert rows(matrix.encode_matrices(cell, index_map, rctypes)) == [("U", 1, 1, None)]
 

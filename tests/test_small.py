@@ -61,6 +61,8 @@ def test_snapshots(spark, places, tmp_path):
     assert len(label) == len("20220218T023112Z-1d9e1")
     release_snapshot(places.filter("n > 1"), root, "p", release=True)
     assert rows(read_snapshot(spark, root, "p", label)) == rows(places)
+    # The newest is the default, also when released within the same second.
+    assert rows(read_snapshot(spark, root, "p")) == rows(places.filter("n > 1"))
     assert read_snapshot(spark, root, "p").columns == places.columns
     with pytest.raises(ValueError, match="has no version x"):
         read_snapshot(spark, root, "p", "x")

@@ -124,7 +124,8 @@ def test_kinds_of_cells(spark, algorithm):
         "cast('bin' AS binary) AS b, id > 2 AS f FROM range(5)"
     )
     assert hashes(frame, algorithm=algorithm) == hashes(frame.repartition(3), algorithm=algorithm)
-    assert hashes(frame, algorithm=algorithm) != hashes(frame.withColumn("a", F.array(F.col("id"), F.lit(0).cast("long"))), algorithm=algorithm)
+    changed = frame.withColumn("a", F.array(F.col("id"), F.lit(0).cast("long")))
+    assert hashes(frame, algorithm=algorithm) != hashes(changed, algorithm=algorithm)
     zero = spark.createDataFrame([(0.0, 1), (1.0, 2)], "x double, n int")
     minus = spark.createDataFrame([(-0.0, 1), (1.0, 2)], "x double, n int")
     assert hashes(zero, algorithm=algorithm) == hashes(minus, algorithm=algorithm)
@@ -201,7 +202,9 @@ def test_collect_readable_rows_and_versions(spark):
 def test_task_group(spark):
     model, parents = band(spark)
     stored = {"PlayerPart": spark.createDataFrame([(1, 2), (2, 3)], "Player int, Part int")}
-    readable = spark.createDataFrame([("Ana", "Viola", 7), ("Bo", "Cello", 7)], "Player string, Part string, tar_group int")
+    readable = spark.createDataFrame(
+        [("Ana", "Viola", 7), ("Bo", "Cello", 7)], "Player string, Part string, tar_group int"
+    )
     taken = tickets.ticket(readable, "PlayerPart")
     fetched = collect_ticket(taken, stored, model=model, dims=parents)
     assert rows(fetched) == [("Ana", "Viola", 7), ("Bo", "Cello", 7)]
