@@ -1,11 +1,19 @@
 """The registered queries of this subpackage, and their SQL."""
 
+from keyframe.llm import secrets
+from keyframe.llm.decontaminate import op6_decontaminate
 from keyframe.llm.language import op7_language
+from keyframe.llm.mixing import op9_mixing
+from keyframe.llm.quality import op5_quality
 from keyframe.llm.token_counts import op8_token_counts
 
 QUERIES = {
+    "op3_secrets": secrets.op3_secrets,
+    "op5_quality": op5_quality,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
     "op8_token_counts": op8_token_counts,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_secrets": secrets.OP3_SQL}
