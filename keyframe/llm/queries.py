@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and their SQL."""
 
-from keyframe.llm import secrets
+from keyframe.llm import licenses, secrets
 from keyframe.llm.decontaminate import op6_decontaminate
 from keyframe.llm.language import op7_language
 from keyframe.llm.mixing import op9_mixing
@@ -9,6 +9,7 @@ from keyframe.llm.token_counts import op8_token_counts
 
 QUERIES = {
     "op3_secrets": secrets.op3_secrets,
+    "op4_licenses": licenses.op4_licenses,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op7_language": op7_language,
@@ -16,4 +17,4 @@ QUERIES = {
     "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {"op3_secrets": secrets.OP3_SQL}
+ORACLES: dict[str, str] = {"op3_secrets": secrets.OP3_SQL, "op4_licenses": licenses.OP4_SQL}
