@@ -1,13 +1,19 @@
 """The registered queries of this subpackage, and their SQL."""
 
+import corpus_pipeline
 from keyframe.llm import licenses, secrets
 from keyframe.llm.decontaminate import op6_decontaminate
+from keyframe.llm.jaccard import op1_jaccard
 from keyframe.llm.language import op7_language
 from keyframe.llm.mixing import op9_mixing
+from keyframe.llm.passages import op2_passages
 from keyframe.llm.quality import op5_quality
+from keyframe.llm.suffix_dedup import op10_suffix_dedup
 from keyframe.llm.token_counts import op8_token_counts
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
+    "op2_passages": op2_passages,
     "op3_secrets": secrets.op3_secrets,
     "op4_licenses": licenses.op4_licenses,
     "op5_quality": op5_quality,
@@ -15,6 +21,8 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op3_secrets": secrets.OP3_SQL, "op4_licenses": licenses.OP4_SQL}
