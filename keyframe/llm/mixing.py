@@ -23,14 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyframe.llm.stage import documents, staged
+from keyframe.llm.stage import boxed, documents, staged, unboxed
 
 DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 BUDGET = 0.5
-TOLERANCE = 1e-6
-MAX_SWEEPS = 30
+TOLERANCE = 1e-4
+MAX_SWEEPS = 15
 SEED = 17
 CELL = [f"_mix_{d}" for d in DIMENSIONS]
 
@@ -141,7 +141,8 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, budget: float = BUDGE
 
 def sample(docs: DataFrame, targets: DataFrame | None = None, budget: float = BUDGET) -> DataFrame:
     """The sampled documents, with their own columns."""
-    return mix(docs, targets, budget).where(F.col("_mix_draw") < F.col("_mix_chance")).select(*docs.columns)
+    rows = boxed(docs, **{name: F.col(name) for name in ("doc_id", "text", "source", "lang")})
+    return unboxed(mix(rows, targets, budget).where(F.col("_mix_draw") < F.col("_mix_chance")), docs.columns)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyframe.llm.stage import documents
+from keyframe.llm.stage import boxed, documents, unboxed
 
 SCOPE = 200
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
@@ -135,7 +135,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def cut(seen: Column, span: Column) -> Column:
         start, end = F.greatest(span["start"], seen["at"]), F.greatest(span["end"], seen["at"])
-        before = F.substring(F.col(text), seen["at"] + 1, start - seen["at"])
+        before = F.substring(F.col("text"), seen["at"] + 1, start - seen["at"])
         mark = F.when(span["end"] > seen["at"], F.lit(PLACEHOLDER)).otherwise(F.lit(""))
         return F.struct(end.alias("at"), F.concat(seen["out"], before, mark).alias("out"))
 
@@ -143,10 +143,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         "_spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         cut,
-        lambda seen: F.concat(seen["out"], F.substring(F.col(text), seen["at"] + 1, F.length(F.col(text)))),
+        lambda seen: F.concat(seen["out"], F.substring(F.col("text"), seen["at"] + 1, F.length("text"))),
     )
-    found = with_spans(docs, text)
-    return found.withColumn(text, F.when(F.size("_spans") > 0, whole).otherwise(F.col(text))).select(*docs.columns)
+    found = with_spans(boxed(docs, text=F.col(text)))
+    return unboxed(found, docs.columns, **{text: F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))})
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,3 +32,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def held_out(doc_id) -> "F.Column":
     """Whether a document belongs to the fifth that nothing is learned from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def boxed(docs: DataFrame, **needed) -> DataFrame:
+    """Whole rows in one column ``_row``, beside the ``needed`` ones, so that no name of a document's column clashes."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("_row"), *[column.alias(name) for name, column in needed.items()])
+
+
+def unboxed(rows: DataFrame, columns: list[str], **replaced) -> DataFrame:
+    """The rows in ``_row`` again, with some columns replaced."""
+    return rows.select(*[replaced.get(c, F.col("_row")[c]).alias(c) for c in columns])
