@@ -31,8 +31,17 @@ from pyspark.sql.types import (
 )
 
 
+def _sized(text: Column) -> Column:
+    """A part of a nested cell with its length in front, so that parts cannot run into each other."""
+    return F.concat(F.length(text).cast("string"), F.lit(":"), text)
+
+
 def cell_text(col: Column, dtype: DataType) -> Column:
-    """One cell as text: ``=`` and the value, or ``~`` for NULL."""
+    """One cell as text: ``=`` and the value, or ``~`` for NULL.
+
+    Arrays, structs and maps are written part by part in the same way, so microseconds count,
+    the session's time zone does not, and neither does the order of map entries.
+    """
     if isinstance(dtype, StringType):
         # ";" ends a cell, so it and the escape character are escaped.
         text = F.replace(F.replace(col, F.lit("\\"), F.lit("\\\\")), F.lit(";"), F.lit("\\;"))
@@ -42,8 +51,23 @@ def cell_text(col: Column, dtype: DataType) -> Column:
         text = F.unix_micros(col).cast("string")  # not bound to a time zone
     elif isinstance(dtype, BinaryType):
         text = F.hex(col)
-    elif isinstance(dtype, (ArrayType, StructType, MapType, VariantType)):
-        return cell_text(F.to_json(col, {"ignoreNullFields": "false"}), StringType())
+    elif isinstance(dtype, ArrayType):
+        text = F.array_join(F.transform(col, lambda x: _sized(cell_text(x, dtype.elementType))), "")
+    elif isinstance(dtype, StructType):
+        # A NULL struct is NULL, not a struct of NULLs.
+        parts = [_sized(cell_text(col[f.name], f.dataType)) for f in dtype.fields]
+        text = F.when(col.isNotNull(), F.concat(F.lit(""), *parts))
+    elif isinstance(dtype, MapType):
+        # Entries have no order, so they are sorted by their texts.
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.concat(
+                _sized(cell_text(e["key"], dtype.keyType)), _sized(cell_text(e["value"], dtype.valueType))
+            ),
+        )
+        text = F.array_join(F.array_sort(entries), "")
+    elif isinstance(dtype, VariantType):
+        return cell_text(F.to_json(col), StringType())
     else:
         text = col.cast("string")
     return F.coalesce(F.concat(F.lit("="), text), F.lit("~"))

@@ -87,7 +87,7 @@ class KeyModel:
     def primary_key(self, table: str) -> tuple[str, ...]:
         self.struct(table)
         if not self.primary_keys.get(table):
-            raise ValueError(f"Table '{table}' has 0 primary keys. 1 is required.")
+            raise ValueError(f"Table '{table}' needs a primary key, and the model names none.")
         return self.primary_keys[table]
 
     def foreign_keys_of(self, table: str) -> tuple[ForeignKey, ...]:

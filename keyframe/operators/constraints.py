@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyframe.model import KeyModel
-from keyframe.operators.keys import MAX_LISTED, Dimensions, present_keys, raise_unmatched
+from keyframe.operators.keys import Dimensions, UnmatchedValues, present_keys, summary
+
+
+# How many problems an error message shows beside their number.
+SHOWN = 20
 
 
 class ConstraintViolation(ValueError):
@@ -36,39 +40,54 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return counted.filter(F.col("rows") > 1)
 
 
+def _key_counts(df: DataFrame, table: str, model: KeyModel, readable: Mapping[str, str]) -> DataFrame:
+    """Rows by foreign key: (column, parent, key, value, rows), all columns in one pass and one shuffle."""
+    entries = [
+        F.struct(
+            F.lit(fk.column).alias("column"),
+            F.lit(fk.parent).alias("parent"),
+            F.lit(fk.parent_key).alias("parent_key"),
+            F.col(f"`{fk.column}`").cast("string").alias("key"),
+            F.col(f"`{readable.get(fk.column, fk.column)}`").cast("string").alias("value"),
+        )
+        for fk in present_keys(df, table, model)
+    ]
+    each = df.select(F.inline(F.array(*entries)))
+    return each.groupBy("column", "parent", "parent_key", "key", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _without_parent(counts: DataFrame, keys: Sequence, dims: Dimensions) -> DataFrame:
+    """Counted keys that no parent has; a NULL key never has one."""
+    known = None
+    for parent, parent_key in sorted({(fk.parent, fk.parent_key) for fk in keys}):
+        own = dims[parent].select(
+            F.lit(parent).alias("parent"),
+            F.lit(parent_key).alias("parent_key"),
+            F.col(f"`{parent_key}`").cast("string").alias("key"),
+        )
+        known = own if known is None else known.unionByName(own)
+    return counts.join(known, ["parent", "parent_key", "key"], "left_anti")
+
+
 def orphan_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions) -> DataFrame:
     """Foreign keys without a parent as (column, parent, value, rows).
 
     NULL keys are not orphans.  Rows are counted per key before the anti join,
     so the join sees each key once however many rows hold it.
     """
-    reports = []
-    for fk in present_keys(df, table, model):
-        known = dims[fk.parent].select(F.col(f"`{fk.parent_key}`").alias("__known"))
-        counts = (
-            df.filter(F.col(f"`{fk.column}`").isNotNull())
-            .groupBy(F.col(f"`{fk.column}`").alias("__key"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-        reports.append(
-            counts.join(known, F.col("__key") == F.col("__known"), "left_anti").select(
-                F.lit(fk.column).alias("column"),
-                F.lit(fk.parent).alias("parent"),
-                F.col("__key").cast("string").alias("value"),
-                "rows",
-            )
-        )
-    if not reports:
+    keys = present_keys(df, table, model)
+    if not keys:
         return df.sparkSession.createDataFrame([], "column string, parent string, value string, rows bigint")
-    return reduce(DataFrame.unionByName, reports)
+    counts = _key_counts(df, table, model, {}).filter(F.col("key").isNotNull())
+    return _without_parent(counts, keys, dims).select("column", "parent", "value", "rows")
 
 
 def require_empty(report: DataFrame, message: str) -> None:
     """Raise with the first rows of ``report`` unless it is empty."""
-    rows = report.limit(MAX_LISTED).collect()
+    rows = report.limit(SHOWN).collect()
     if rows:
         listed = "\n".join("  " + ", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in rows)
-        raise ConstraintViolation(f"{message}:\n{listed}")
+        raise ConstraintViolation(f"{message} ({report.count()} in all):\n{listed}")
 
 
 def require_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> None:
@@ -96,39 +115,24 @@ def foreign_key_violations(
     checked for ``null`` (if ``not_null``) and ``orphan`` keys.
     """
     readable = readable or {}
-    shape = ("problem", "column", "parent", "value", "rows")
-    reports = []
-    for fk in present_keys(df, table, model):
-        if fk.column in readable:
-            given = F.col(f"`{readable[fk.column]}`")
-            bad = df.filter(F.col(f"`{fk.column}`").isNull()).groupBy(given.cast("string").alias("value"))
-            report = bad.agg(F.count(F.lit(1)).alias("rows")).withColumn("problem", F.lit("unmatched"))
-        else:
-            known = dims[fk.parent].select(F.col(f"`{fk.parent_key}`").alias("__known"))
-            kept = df if not_null else df.filter(F.col(f"`{fk.column}`").isNotNull())
-            counts = kept.groupBy(F.col(f"`{fk.column}`").alias("__key")).agg(
-                F.count(F.lit(1)).alias("rows")
-            )
-            report = counts.join(known, F.col("__key") == F.col("__known"), "left_anti").select(
-                F.col("__key").cast("string").alias("value"),
-                "rows",
-                F.when(F.col("__key").isNull(), "null").otherwise("orphan").alias("problem"),
-            )
-        report = report.withColumns({"column": F.lit(fk.column), "parent": F.lit(fk.parent)})
-        reports.append(report.select(*shape))
-    if not reports:
+    keys = present_keys(df, table, model)
+    if not keys:
         return df.sparkSession.createDataFrame(
             [], "problem string, column string, parent string, value string, rows bigint"
         )
-    return reduce(DataFrame.unionByName, reports)
+    bad = _without_parent(_key_counts(df, table, model, readable), keys, dims)
+    encoded, missing = F.col("column").isin(list(readable)), F.col("key").isNull()
+    problem = F.when(encoded & missing, "unmatched").when(missing, "null").otherwise("orphan")
+    if not not_null:
+        bad = bad.filter(~missing | encoded)
+    return bad.select(problem.alias("problem"), "column", "parent", "value", "rows")
 
 
 def require_foreign_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions, **options) -> None:
-    """Raise unless :func:`foreign_key_violations` is empty, in one job."""
-    rows = foreign_key_violations(df, table, model, dims, **options).limit(MAX_LISTED).collect()
-    unmatched = [r for r in rows if r["problem"] == "unmatched"]
-    if unmatched:
-        raise_unmatched(unmatched, table)
-    if rows:
-        listed = "\n".join(f"  {r['problem']}: {r['column']}={r['value']}, rows={r['rows']}" for r in rows)
-        raise ConstraintViolation(f"insert or update on table '{table}' violates a foreign key:\n{listed}")
+    """Raise unless :func:`foreign_key_violations` is empty; all kinds of problems are named."""
+    report = foreign_key_violations(df, table, model, dims, **options)
+    text = summary(report)
+    if "  unmatched: " in text:
+        raise UnmatchedValues(f"Cannot convert these entries of table '{table}' to foreign keys:\n{text}")
+    if text:
+        raise ConstraintViolation(f"insert or update on table '{table}' violates a foreign key:\n{text}")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
@@ -19,8 +19,8 @@ from keyframe.model import ForeignKey, KeyModel
 
 Dimensions = Mapping[str, DataFrame]
 
-# Fixed value: how many offending values an error message lists.
-MAX_LISTED = 20
+# How many offending values of each column an error message shows beside their number.
+SHOWN = 5
 
 
 class UnmatchedValues(ValueError):
@@ -112,32 +112,41 @@ def encode_keys(
         return df
     if check == "listed":
         report = unmatched_values(df, table, model, dims, force=force)
-        raise_unmatched(report.limit(MAX_LISTED).collect(), table)
+        text = summary(report.withColumn("problem", F.lit("unmatched")))
+        if text:
+            raise UnmatchedValues(f"Cannot convert these entries of table '{table}' to foreign keys:\n{text}")
     joined, found = _attach(df, dims, fks, by_key=False)
-    by_column = {fk.column: fk for fk in fks}
-
-    def output(name: str) -> Column:
-        if name not in found:
-            return F.col(f"`{name}`")
-        if check == "inline":
-            fk = by_column[name]
-            problem = F.concat(
-                F.lit(f"No key in '{fk.parent}.{fk.parent_key}' for column '{name}' of table '{table}': '"),
-                F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("NULL")),
-                F.lit("'"),
-            )
-            key_type = dims[fk.parent].schema[fk.parent_key].dataType
-            return F.coalesce(found[name], F.raise_error(problem).cast(key_type)).alias(name)
-        return found[name].alias(name)
+    if check == "inline":
+        for fk in fks:
+            given = F.coalesce(F.col(f"`{fk.column}`").cast("string"), F.lit("NULL"))
+            problem = f"No key in '{fk.parent}.{fk.parent_key}' for column '{fk.column}' of table '{table}': '"
+            joined = require_found(joined, found[fk.column], F.concat(F.lit(problem), given, F.lit("'")))
+    return joined.select(*[found[c].alias(c) if c in found else F.col(f"`{c}`") for c in df.columns])
+
 
-    return joined.select(*[output(c) for c in df.columns])
+def require_found(joined: DataFrame, found: Column, problem: Column) -> DataFrame:
+    """``joined`` as it is, or an error from inside the job for a row without ``found``.
 
+    The check is a filter, so it also runs where nobody reads the column.  It is marked as
+    not deterministic, because Spark would otherwise try it on a row of NULLs while planning.
+    """
+    missing = found.isNull() & (F.rand(0) >= 0)
+    return joined.filter(F.when(missing, F.raise_error(problem).cast("boolean")).otherwise(F.lit(True)))
 
-def raise_unmatched(rows: Sequence[Row], table: str) -> None:
-    """Raise with a list of (column, parent, value) rows, unless there are none."""
-    if rows:
-        lines = "\n".join(f"  {r['column']}: '{r['value']}' is not in '{r['parent']}'" for r in rows)
-        raise UnmatchedValues(f"Cannot convert these entries of table '{table}' to foreign keys:\n{lines}")
+
+def summary(report: DataFrame) -> str:
+    """(problem, column, parent, value, rows) as text: per problem and column how many values and rows, and some of them."""
+    groups = report.groupBy("problem", "column", "parent").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("rows").alias("rows")
+    )
+    found = sorted(groups.collect(), key=lambda r: (r["problem"], r["column"], r["parent"] or ""))
+    lines = []
+    for r in found:
+        own = report.filter((F.col("problem") == r["problem"]) & (F.col("column") == r["column"]))
+        shown = [str(x["value"]) for x in own.select("value").orderBy("value").limit(SHOWN).collect()]
+        lines += [f"  {r['problem']}: {r['column']}: '{v}' is not in '{r['parent']}'" for v in shown]
+        lines.append(f"  {r['problem']}: {r['column']}: {r['values']} values in {r['rows']} rows")
+    return "\n".join(lines)
 
 
 def decode_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions) -> DataFrame:
@@ -176,8 +185,7 @@ def _swap(
     result = F.col("__wanted")
     if strict:
         text = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("NULL"))
-        error = F.raise_error(F.concat(F.lit(f"{problem} in column '{column}': "), text))
-        result = F.coalesce(result, error.cast(dim.schema[wanted].dataType))
+        joined = require_found(joined, result, F.concat(F.lit(f"{problem} in column '{column}': "), text))
     return joined.select(
         *[result.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
     )

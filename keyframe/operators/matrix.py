@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegralType, StringType, StructType
 
-from keyframe.operators.sizes import broadcast_if_small
 from keyframe.names import (
     COL_INDEX_COL,
     COLNAME_COL,
@@ -32,10 +31,6 @@ IndexMap = DataFrame | Mapping[str, DataFrame] | Sequence[DataFrame]
 CELL_FIELDS = (ROWNAME_COL, COLNAME_COL, VALUE_COL)
 ENCODED_FIELDS = (MATNAME_COL, ROW_INDEX_COL, COL_INDEX_COL, VALUE_COL)
 
-# Side length of the largest matrix that is decoded into a single array.  Larger
-# ones come as several tiles, so no array has more than TILE * TILE cells.
-TILE = 512
-
 
 def matrix_columns(df: DataFrame) -> list[str]:
     """Columns that hold matrices, told by their type."""
@@ -106,9 +101,7 @@ def _with_types(df: DataFrame, rctypes: DataFrame | None, needed: bool) -> DataF
         return df
     if rctypes is None:
         raise ValueError("Row and column types are needed to choose the index map: pass rctypes")
-    kinds = broadcast_if_small(
-        rctypes.select(F.col(MATNAME_COL).alias("__matname"), F.col(ROWTYPE_COL), F.col(COLTYPE_COL))
-    )
+    kinds = rctypes.select(F.col(MATNAME_COL).alias("__matname"), F.col(ROWTYPE_COL), F.col(COLTYPE_COL))
     return df.join(kinds, F.col(MATNAME_COL) == F.col("__matname"), "left").drop("__matname")
 
 
@@ -127,16 +120,6 @@ def _look_up(
     return df.join(index, on, "left").drop("__given", "__dimtype")
 
 
-def _fits_tile(index_map: IndexMap, tile: int) -> bool:
-    """Whether the index maps prove that every matrix lies in one tile."""
-    for side in ("row", "col"):
-        idx = index_frame(index_map, side)[0]
-        low, high = idx.agg(F.min("idx"), F.max("idx")).first()
-        if low is not None and (low < 1 or high > tile):
-            return False
-    return True
-
-
 def _found(column: str, given: str, what: str, dtype: str) -> Column:
     text = F.coalesce(F.col(given).cast("string"), F.lit("NULL"))
     return F.coalesce(
@@ -178,20 +161,26 @@ def encode_matrices(
 
 
 def name_cells(
-    encoded: DataFrame, index_map: IndexMap, rctypes: DataFrame | None = None, *, keep_index: bool = False
+    encoded: DataFrame,
+    index_map: IndexMap,
+    rctypes: DataFrame | None = None,
+    *,
+    keep_index: bool = False,
+    keep_types: bool = False,
 ) -> DataFrame:
     """Indices to names, one row per cell: (others, matname, rowname, colname, value).
 
     Only lookups, no grouping: the form to use for further work at scale.
     """
     typed = index_frame(index_map, "row")[1]
-    cells = _with_types(encoded, rctypes, typed)
+    cells = _with_types(encoded, rctypes, typed or keep_types)
     cells = _look_up(cells, index_map, "row", ROW_INDEX_COL, "idx", "name", "__rowname")
     cells = _look_up(cells, index_map, "col", COL_INDEX_COL, "idx", "name", "__colname")
     others = [c for c in encoded.columns if c not in (*ENCODED_FIELDS, ROWTYPE_COL, COLTYPE_COL)]
     return cells.select(
         *[F.col(f"`{c}`") for c in others],
         F.col(MATNAME_COL),
+        *([F.col(ROWTYPE_COL), F.col(COLTYPE_COL)] if keep_types else []),
         *([F.col(ROW_INDEX_COL), F.col(COL_INDEX_COL)] if keep_index else []),
         _found("__rowname", ROW_INDEX_COL, "row name", "string").alias(ROWNAME_COL),
         _found("__colname", COL_INDEX_COL, "column name", "string").alias(COLNAME_COL),
@@ -205,17 +194,21 @@ def decode_matrices(
     rctypes: DataFrame,
     *,
     wide: bool = True,
-    tile: int = TILE,
+    tile: int | None = None,
     unique_cells: bool = False,
+    names: Sequence[str] | None = None,
+    keep_types: bool = False,
 ) -> DataFrame:
     """Rows (others, matname, i, j, value) to matrix columns.
 
-    Wide output has one matrix column per name listed in ``rctypes``, tidy output
-    ``matname`` and ``matval``.  A matrix lists its cells sorted by name; an absent
-    one is NULL.  Frames without the encoded columns are returned as they are.
+    Wide output has one matrix column per name in ``names`` (by default all those listed in
+    ``rctypes``), tidy output ``matname`` and ``matval``, with ``keep_types`` also ``rowtype`` and
+    ``coltype``, so that it can be encoded again as it is.  A matrix lists its cells sorted by name; an
+    absent one is NULL.  Frames without the encoded columns are returned as they are.
 
-    If the index map reaches beyond ``tile`` rows or columns, matrices are split:
-    their tiles are rows told apart by two more columns, ``tile_i`` and ``tile_j``.
+    A matrix is one array, whatever its size, unless ``tile`` is given: then it comes in
+    tiles of that side length, rows told apart by ``tile_i`` and ``tile_j``, also where one tile is enough.  For very
+    large matrices :func:`name_cells` is the form without any grouping.
     Cells given more than once are added up, as sparse matrices do, before
     anything is gathered; ``unique_cells=True`` promises there are none (a primary
     key on group, name and indices) and saves that shuffle.
@@ -230,19 +223,20 @@ def decode_matrices(
         encoded = encoded.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(
             F.sum(VALUE_COL).alias(VALUE_COL)
         )
-    cells = name_cells(encoded, index_map, rctypes, keep_index=True)
+    cells = name_cells(encoded, index_map, rctypes, keep_index=True, keep_types=keep_types and not wide)
     groups = [F.col(f"`{c}`") for c in others]
     keys = list(others)
-    if not _fits_tile(index_map, tile):
+    if tile is not None:
         groups.append(F.floor((F.col(ROW_INDEX_COL) - 1) / tile).alias("tile_i"))
         groups.append(F.floor((F.col(COL_INDEX_COL) - 1) / tile).alias("tile_j"))
         keys += ["tile_i", "tile_j"]
     matrix = F.array_sort(F.collect_list(F.struct(*CELL_FIELDS)))
     if not wide:
-        return cells.groupBy(*groups, F.col(MATNAME_COL)).agg(matrix.alias(MATVAL_COL))
+        kinds = [c for c in (ROWTYPE_COL, COLTYPE_COL) if c in cells.columns]
+        return cells.groupBy(*groups, F.col(MATNAME_COL), *kinds).agg(matrix.alias(MATVAL_COL))
     # The names are one row per kind of matrix; giving them to pivot saves a job
     # over the data.  A name outside of them must not get lost.
-    names = sorted(r[0] for r in rctypes.select(MATNAME_COL).distinct().collect())
+    names = list(names) if names is not None else sorted(r[0] for r in rctypes.select(MATNAME_COL).distinct().collect())
     unknown = F.concat(F.lit("No row and column types for matrix '"), F.col(MATNAME_COL), F.lit("'"))
     known = F.when(F.col(MATNAME_COL).isin(names), F.col(MATNAME_COL)).otherwise(F.raise_error(unknown))
     gathered = cells.withColumn(MATNAME_COL, known).groupBy(*groups).pivot(MATNAME_COL, names).agg(matrix)

@@ -1,4 +1,4 @@
-"""Size checks before a broadcast, and filters that a join implies."""
+"""Filters that a join implies."""
 
 from __future__ import annotations
 
@@ -6,41 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType
 
-# Rows of a few short columns; well below the default broadcast limits in bytes.
-BROADCAST_ROWS = 50_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if counting shows at most ``max_rows`` rows.
-
-    For narrow frames whose size Spark cannot estimate, such as tickets and
-    caller-made lists.  Counting stops after ``max_rows``; a larger frame is left
-    to a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-# Up to this many rows are listed as literals.
-LISTED_ROWS = 1_000
-
-
-def implied_filter(wanted: DataFrame) -> Column | None:
+def implied_filter(wanted: DataFrame, listed_rows: int = 1_000) -> Column | None:
     """A filter on the columns of ``wanted`` that holds for every row with a match in it.
 
     A semi join alone reads all of its left side.  This filter is made of literals, so
-    it prunes partitions and row groups: values for a short ``wanted``, else the range
-    between least and greatest.  The join still decides.
+    it prunes partitions and row groups: values if ``wanted`` has up to ``listed_rows`` rows, else
+    the range between least and greatest.  The join still decides.
     """
     plain = (IntegralType, StringType, BooleanType, DateType)
     names = [f.name for f in wanted.schema.fields if isinstance(f.dataType, plain)]
     if not names:
         return None
     columns = [F.col(f"`{n}`") for n in names]
-    listed = wanted.select(*columns).limit(LISTED_ROWS + 1).collect()
+    listed = wanted.select(*columns).limit(listed_rows + 1).collect()
     tests = []
-    if len(listed) <= LISTED_ROWS:
+    if len(listed) <= listed_rows:
         for name, column in zip(names, columns):
             values = {row[name] for row in listed}
             test = column.isin(sorted(values - {None}))

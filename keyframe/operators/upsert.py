@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from keyframe.operators.constraints import require_primary_key
 
-# Up to this many touched partitions are named one by one in the scan.
-MAX_LISTED_PARTITIONS = 5_000
-
-
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
@@ -20,6 +16,7 @@ def merge_rows(
     *,
     check_source: bool = True,
     partitions: Sequence[str] = (),
+    listed_partitions: int = 5_000,
 ) -> DataFrame:
     """``target`` after upserting ``source`` by ``key``.
 
@@ -33,7 +30,8 @@ def merge_rows(
     joins on the primary key, which has no hot values.
 
     With ``partitions`` (partition columns of the target, part of the key) the
-    result holds just the partitions in which the source has rows.
+    result holds just the partitions in which the source has rows; up to
+    ``listed_partitions`` of them are named one by one in the scan.
     """
     key = list(key)
     unknown = [c for c in source.columns if c not in target.columns]
@@ -52,7 +50,7 @@ def merge_rows(
         outside = [c for c in partitions if c not in key]
         if outside:
             raise ValueError(f"Partition columns {outside} are not part of the primary key {key}")
-        target = _in_touched_partitions(target, keys, list(partitions))
+        target = _in_touched_partitions(target, keys, list(partitions), listed_partitions)
     kept = target.join(keys, key, "left_anti").select(*[F.col(f"`{c}`") for c in target.columns])
     lacking = [c for c in target.columns if c not in source.columns]
     if lacking:
@@ -63,7 +61,9 @@ def merge_rows(
     return kept.unionByName(source.select(*[F.col(f"`{c}`") for c in target.columns]))
 
 
-def _in_touched_partitions(target: DataFrame, keys: DataFrame, partitions: list[str]) -> DataFrame:
+def _in_touched_partitions(
+    target: DataFrame, keys: DataFrame, partitions: list[str], most: int
+) -> DataFrame:
     """Target rows in partitions the source has rows for.
 
     The values are listed as literals, which prunes partitions when the query is
@@ -73,8 +73,8 @@ def _in_touched_partitions(target: DataFrame, keys: DataFrame, partitions: list[
     """
     columns = [F.col(f"`{c}`") for c in partitions]
     touched = keys.select(*columns).distinct()
-    rows = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(rows) <= MAX_LISTED_PARTITIONS:
+    rows = touched.limit(most + 1).collect()
+    if len(rows) <= most:
         for name, column in zip(partitions, columns):
             target = target.filter(column.isin(sorted({r[name] for r in rows})))
         if len(partitions) == 1:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +11,6 @@ from keyframe.model import KeyModel
 from keyframe.names import VALID_FROM_COL, VALID_TO_COL
 from keyframe.operators.keys import Dimensions, UnmatchedValues, encode_column, lookup_keys
 
-# Up to this many requested versions become one expression per row.
-MAX_INLINE_IDS = 64
-
 
 def version_ids(
     labels: Sequence[str],
@@ -72,8 +67,7 @@ def filter_versions(
     ``None`` asks for all versions and an empty list for none.  A row valid in
     several requested versions comes once for each of them, unless ``dedupe``.
     All versions are served by one scan: the interval bounds reach the reader as
-    pushed filters, and multiplicity is decided row by row in generated code.  For
-    very many versions a join with the list of their ids does the same.
+    pushed filters, and a row's multiplicity is the number of listed ids that its interval holds.
     """
     if labels is None:
         return df
@@ -88,17 +82,12 @@ def filter_versions(
     if len(ids) == 1:
         return df
 
-    if len(ids) > MAX_INLINE_IDS:
-        listed = df.sparkSession.createDataFrame([(i,) for i in ids], "__version int")
-        within = (start <= F.col("__version")) & (end >= F.col("__version"))
-        return df.join(F.broadcast(listed), within, "left_semi" if dedupe else "inner").drop("__version")
-    covered = [(start <= i) & (end >= i) for i in ids]
+    listed = F.lit(ids)
     if dedupe:
-        return df.filter(reduce(or_, covered))
-    times = reduce(add, [c.cast("int") for c in covered])
+        return df.filter(F.exists(listed, lambda v: (start <= v) & (end >= v)))
     names = [F.col(f"`{c}`") for c in df.columns]
-    copies = F.explode(F.array_repeat(F.lit(0), times)).alias("__version")
-    return df.select(*names, copies).drop("__version")
+    within = F.explode(F.filter(listed, lambda v: (start <= v) & (end >= v))).alias("__version")
+    return df.select(*names, within).drop("__version")
 
 
 def compress_versions(

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from keyframe.functions.fingerprint import DEFAULT_ALGORITHM
 from keyframe.model import KeyModel
 from keyframe.names import (
+    COL_INDEX_COL,
     HASH_COL,
     INDEX_TABLE,
+    MATNAME_COL,
     RCTYPE_TABLE,
+    ROW_INDEX_COL,
     TABLE_NAME_COL,
     TASK_GROUP_COL,
     VALID_FROM_COL,
@@ -22,21 +25,36 @@ from keyframe.operators.constraints import require_empty
 from keyframe.operators.filters import drop_task_group
 from keyframe.operators.keys import Dimensions, decode_keys, encode_keys
 from keyframe.operators.matrix import ENCODED_FIELDS, IndexMap, decode_matrices
-from keyframe.operators.sizes import BROADCAST_ROWS, implied_filter
+from keyframe.operators.sizes import implied_filter
 from keyframe.operators.tickets import hash_groups, ticket_differences
 from keyframe.operators.versions import filter_versions
+from keyframe.sources.storage import stage
+from keyframe.sources.warehouse import Warehouse
+
+
+def _described(
+    tables: Mapping[str, DataFrame], model: KeyModel | None, dims: Dimensions | None
+) -> tuple[KeyModel, Dimensions]:
+    """The model and dimensions given, or else those of the store that holds the tables."""
+    if model is None or dims is None:
+        if not isinstance(tables, Warehouse):
+            raise ValueError("Tables that are not in a store need model= and dims=")
+        model = model or tables.model()
+        dims = tables.dimensions(model) if dims is None else dims
+    return model, dims
 
 
 def filter_table(
     tables: Mapping[str, DataFrame],
     table: str,
     *conditions: Column | str,
-    model: KeyModel,
-    dims: Dimensions,
+    model: KeyModel | None = None,
+    dims: Dimensions | None = None,
     versions: str | Sequence[str] | None = None,
     matrices: bool = False,
     index_map: IndexMap | None = None,
     rctypes: DataFrame | None = None,
+    tile: int | None = None,
     from_col: str = VALID_FROM_COL,
     to_col: str = VALID_TO_COL,
 ) -> DataFrame:
@@ -44,7 +62,9 @@ def filter_table(
 
     Conditions are on readable values; Spark pushes them into the dimension scans
     and, where versions or plain columns are concerned, into the table scan.
+    The tables of a store need neither ``model`` nor ``dims``.
     """
+    model, dims = _described(tables, model, dims)
     rows = filter_versions(
         tables[table], versions, table, model, dims, from_col=from_col, to_col=to_col
     )
@@ -52,10 +72,17 @@ def filter_table(
     for condition in conditions:
         rows = rows.filter(condition)
     if matrices:
-        rows = as_matrices(rows, tables, model, dims, index_map, rctypes)
+        unique = _unique_cells(table, model) and versions is None
+        rows = as_matrices(rows, tables, model, dims, index_map, rctypes, tile=tile, unique_cells=unique)
     return rows
 
 
+def _unique_cells(table: str, model: KeyModel) -> bool:
+    """Whether the primary key promises that no cell of a matrix comes twice."""
+    key = model.primary_keys.get(table, ())
+    return {MATNAME_COL, ROW_INDEX_COL, COL_INDEX_COL} <= set(key)
+
+
 def as_matrices(
     rows: DataFrame,
     tables: Mapping[str, DataFrame],
@@ -63,6 +90,9 @@ def as_matrices(
     dims: Dimensions,
     index_map: IndexMap | None = None,
     rctypes: DataFrame | None = None,
+    *,
+    tile: int | None = None,
+    unique_cells: bool = False,
 ) -> DataFrame:
     """Encoded matrices to one matrix column per name; other rows as they are.
 
@@ -77,15 +107,15 @@ def as_matrices(
         index_map = dims[INDEX_TABLE]
     if rctypes is None:
         rctypes = decode_keys(tables[RCTYPE_TABLE], RCTYPE_TABLE, model, dims)
-    return decode_matrices(rows, index_map, rctypes)
+    return decode_matrices(rows, index_map, rctypes, tile=tile, unique_cells=unique_cells)
 
 
 def collect_ticket(
     ticket: DataFrame,
     tables: Mapping[str, DataFrame],
     *,
-    model: KeyModel,
-    dims: Dimensions,
+    model: KeyModel | None = None,
+    dims: Dimensions | None = None,
     versions: str | Sequence[str] | None = None,
     decode: bool = True,
     keep_table_name: bool = False,
@@ -93,6 +123,7 @@ def collect_ticket(
     matrices: bool = True,
     index_map: IndexMap | None = None,
     rctypes: DataFrame | None = None,
+    tile: int | None = None,
     verify: bool = False,
     algorithm: str = DEFAULT_ALGORITHM,
     from_col: str = VALID_FROM_COL,
@@ -102,7 +133,12 @@ def collect_ticket(
 
     ``verify`` hashes the rows again, with the ticket's ``algorithm``, and raises if the
     ticket no longer describes them; it applies to whole, decoded tickets, so not together with ``versions``.
+
+    Version columns of a ticket ask for rows that are valid in all of its interval, and the rows come with
+    the ticket's interval: compression may have widened the stored one since.
+    The tables of a store need neither ``model`` nor ``dims``.
     """
+    model, dims = _described(tables, model, dims)
     grouped = TASK_GROUP_COL in ticket.columns
     facts = ticket.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -121,13 +157,23 @@ def collect_ticket(
     wanted = encode_keys(drop_task_group(ticket).drop(TABLE_NAME_COL, HASH_COL), table, model, dims)
     rows = tables[table]
     if wanted.columns:
-        implied = implied_filter(wanted)
+        # Written once: it is read for the filter and the join, and Spark learns its size.
+        wanted = stage(wanted.distinct(), "ticket")
+        interval = {from_col, to_col} <= set(wanted.columns)
+        exact = [c for c in wanted.columns if not (interval and c in (from_col, to_col))]
+        implied = implied_filter(wanted.select(*[F.col(f"`{c}`") for c in exact])) if exact else None
         rows = rows if implied is None else rows.filter(implied)
-        # The row count above is what allows the broadcast.
-        listed = F.broadcast(wanted) if facts["rows"] <= BROADCAST_ROWS else wanted
-        renamed = listed.toDF(*[f"__{c}" for c in wanted.columns])
-        on = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in wanted.columns]
-        rows = rows.join(renamed, on, "left_semi")
+        renamed = wanted.toDF(*[f"__{c}" for c in wanted.columns])
+        on = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in exact]
+        if interval:
+            start, end = F.col(f"`__{from_col}`"), F.col(f"`__{to_col}`")
+            on += [F.col(f"`{from_col}`") <= start, F.col(f"`{to_col}`") >= end]
+            names = {from_col: start, to_col: end}
+            rows = rows.join(renamed, on).select(
+                *[names.get(c, F.col(f"`{c}`")).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]
+            )
+        else:
+            rows = rows.join(renamed, on, "left_semi")
     rows = filter_versions(rows, versions, table, model, dims, from_col=from_col, to_col=to_col)
     readable = decode_keys(rows, table, model, dims)
     if verify:
@@ -138,7 +184,8 @@ def collect_ticket(
         )
     rows = readable if decode else rows
     if matrices:
-        rows = as_matrices(rows, tables, model, dims, index_map, rctypes)
+        unique = _unique_cells(table, model) and versions is None
+        rows = as_matrices(rows, tables, model, dims, index_map, rctypes, tile=tile, unique_cells=unique)
     if keep_table_name:
         rows = rows.select(F.lit(table).alias(TABLE_NAME_COL), "*")
     if set_task_group and grouped:

@@ -14,6 +14,7 @@ from keyframe.model import KeyModel
 from keyframe.names import (
     COUNTRY_COL,
     INDEX_TABLES_BY_TYPE,
+    RCTYPE_TABLE,
     TABLE_NAME_COL,
     USUAL_GROUP_COLS,
     VALID_FROM_COL,
@@ -34,13 +35,9 @@ from keyframe.operators.matrix import IndexMap, encode_matrices, matrix_columns
 from keyframe.operators.tickets import ticket
 from keyframe.operators.upsert import merge_rows
 from keyframe.operators.versions import compress_versions
-from keyframe.sources.storage import stage
+from keyframe.sources.storage import stage, staged
 from keyframe.sources.warehouse import Warehouse
 
-# Stored tables are probed with this many first rows for columns that vary.
-PROBE_ROWS = 1_000
-
-
 @dataclass(frozen=True)
 class Written:
     """What a write gives back: the table as it is or would be, and the ticket."""
@@ -85,13 +82,18 @@ def upsert(
     dims: Dimensions | None = None,
     from_col: str = VALID_FROM_COL,
     to_col: str = VALID_TO_COL,
+    hash_rounded: bool = True,
+    probe_rows: int = 1_000,
 ) -> Written:
     """Insert or update the rows of ``df`` in a stored table, by primary key.
 
     Matrices become (i, j, value) rows, by default with the index dimensions of their
-    row and column types, and readable keys become integers; doubles may be rounded.
-    The ticket describes the rows before key encoding and rounding.  Without
-    ``in_place`` nothing is written and ``Written.table`` is the lazy result.  With
+    row and column types (by default those of the stored table of them), and readable keys
+    become integers; doubles may be rounded.  The ticket describes the rows with readable keys,
+    and as they are stored: after rounding, unless ``hash_rounded`` is False.  It does not
+    change afterwards when it was taken ``in_place``.  ``probe_rows`` first rows rule out columns
+    that vary before the pass for single-valued columns.  Without ``in_place`` nothing is written
+    and ``Written.table`` is the lazy result.  With
     ``compress`` the whole table is compressed by version after the upsert, with
     ``compress="touched"`` only the partitions the rows fall into.
 
@@ -111,6 +113,8 @@ def upsert(
     if index_map is None and matrix_columns(rows):
         index_map = {kind: dims[kind] for kind in INDEX_TABLES_BY_TYPE if kind in dims}
     if index_map:
+        if rctypes is None and RCTYPE_TABLE in store:
+            rctypes = decode_keys(store[RCTYPE_TABLE], RCTYPE_TABLE, model, dims)
         rows = encode_matrices(rows, index_map, rctypes, retain_zeros=retain_zeros)
     grouping = {
         "usual": usual,
@@ -127,28 +131,33 @@ def upsert(
         merged = merge_rows(store[table], encoded, key)
         if compress:
             merged = compress_versions(merged, from_col=from_col, to_col=to_col)
-        return Written(merged, ticket(rows, table, **grouping))
+        hashed = round_double_cols(rows, digits) if round_doubles and hash_rounded else rows
+        return Written(merged, ticket(hashed, table, **grouping))
 
     # Keys and the values they stand for are staged side by side: one pass over
     # the input serves the checks, the merge and the ticket.
     readable = {fk.column: f"__{fk.column}" for fk in to_encode(rows, table, model)} if encode else {}
     both = rows.withColumns({copy: F.col(f"`{c}`") for c, copy in readable.items()})
-    both = stage(encode_keys(both, table, model, dims, check="none") if encode else both, table)
-    rows = both.select(*[F.col(f"`{readable.get(c, c)}`").alias(c) for c in rows.columns])
-    encoded = drop_task_group(both.drop(*readable.values()))
-    if round_doubles:
-        encoded = round_double_cols(encoded, digits)
-    # Foreign keys first: an unmatched value is NULL by now, also in a primary key.
-    require_foreign_keys(
-        both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
-    )
-    require_primary_key(encoded, table, key)
-    parts = () if compress is True else store.partition_columns(table)
-    merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
-    if compress:
-        merged = compress_versions(merged, from_col=from_col, to_col=to_col)
-    store.replace(table, merged)
-    return Written(store[table], ticket(rows, table, probe_rows=PROBE_ROWS, **grouping))
+    both = encode_keys(both, table, model, dims, check="none") if encode else both
+    with staged(both, table) as both:
+        rows = both.select(*[F.col(f"`{readable.get(c, c)}`").alias(c) for c in rows.columns])
+        encoded = drop_task_group(both.drop(*readable.values()))
+        if round_doubles:
+            encoded = round_double_cols(encoded, digits)
+        # Foreign keys first: an unmatched value is NULL by now, also in a primary key.
+        require_foreign_keys(
+            both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
+        )
+        require_primary_key(encoded, table, key)
+        parts = () if compress is True else store.partition_columns(table)
+        merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
+        if compress:
+            merged = compress_versions(merged, from_col=from_col, to_col=to_col)
+        store.replace(table, merged)
+        hashed = round_double_cols(rows, digits) if round_doubles and hash_rounded else rows
+        # The ticket is small and is written once; the staged rows go.
+        receipt = stage(ticket(hashed, table, probe_rows=probe_rows, **grouping), "ticket")
+    return Written(store[table], receipt)
 
 
 def compress_table(
@@ -182,12 +191,13 @@ def filter_copy(
     dims: Dimensions | None = None,
     member_col: str = COUNTRY_COL,
     period_col: str = YEAR_COL,
+    probe_rows: int = 1_000,
 ) -> Written:
     """Copy the rows of some members and periods from one table into another.
 
     Members and periods are readable values; an unknown one is an error and
-    ``None`` means all.  The ticket covers all of ``dest``, with readable keys.
-    Without ``in_place`` nothing is written.
+    ``None`` means all.  The ticket covers all of ``dest`` as it is after the copy, with readable
+    keys; taken ``in_place`` it does not change afterwards.  Without ``in_place`` nothing is written.
     """
     if source == dest:
         raise ValueError("source and dest must be two tables")
@@ -211,12 +221,10 @@ def filter_copy(
     if not in_place:
         result = rows if empty_dest else store[dest].unionByName(rows)
     else:
-        if empty_dest and not store.partition_columns(dest):
-            store.replace(dest, rows)
+        if empty_dest:
+            store.refill(dest, rows)
         else:
-            if empty_dest:
-                store.empty(dest)
-            elif model.primary_keys.get(dest):
+            if model.primary_keys.get(dest):
                 key = list(model.primary_key(dest))
                 taken = store[dest].select(*key)
                 require_empty(rows.select(*key).join(taken, key, "left_semi"), f"Keys already in '{dest}'")
@@ -229,6 +237,7 @@ def filter_copy(
         additional=additional,
         keep_single=keep_single,
         algorithm=algorithm,
-        probe_rows=PROBE_ROWS if in_place else 0,
+        probe_rows=probe_rows if in_place else 0,
     )
-    return Written(result, decode_keys(receipt, dest, model, dims))
+    receipt = decode_keys(receipt, dest, model, dims)
+    return Written(result, stage(receipt, "ticket") if in_place else receipt)

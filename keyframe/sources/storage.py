@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,25 +14,22 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
-# Temporary folders of local sessions without the setting, by application.
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared scratch folder of the cluster, from ``spark.checkpoint.dir``.
+    """The shared scratch folder: ``spark.checkpoint.dir``, or else a folder in Spark's warehouse.
 
-    Only a local session, where driver and executors share one disk, may leave it
-    out; it then gets one temporary folder.
+    Every session has a warehouse, and on a cluster all executors share it.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"Set {CHECKPOINT_CONF} to a folder that all executors share")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="keyframe-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/keyframe-scratch"
+
+
+def _stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -41,10 +39,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and gives Spark the true size, so that a small frame can be broadcast.
     Staged files survive lost executors.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stage(df, label)[0]
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As :func:`stage`, for use within a ``with`` block, at whose end the files are deleted."""
+    frame, path = _stage(df, label)
+    try:
+        yield frame
+    finally:
+        delete_folder(df.sparkSession, path)
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from keyframe.model import ForeignKey, KeyModel
 from keyframe.operators.constraints import (
+    duplicate_keys,
     foreign_key_nulls,
     require_empty,
     require_foreign_keys,
@@ -34,7 +34,8 @@ from keyframe.sources.storage import delete_folder, list_names
 _NAME, _KEY, _FOREIGN, _NOT_NULL, _PARTITIONS = (
     f"keyframe.{p}" for p in ("name", "primary_key", "foreign_keys", "not_null", "partitions")
 )
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# Kept with a partitioned table, so that no setting of the session changes while it is written.
+_BY_PARTITION = "OPTIONS (partitionOverwriteMode 'dynamic')"
 
 
 def _quoted(name: str) -> str:
@@ -45,16 +46,6 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
-
-
 class Warehouse(Mapping[str, DataFrame]):
     """The tables of one database, by name, as lazy DataFrames."""
 
@@ -149,7 +140,7 @@ class Warehouse(Mapping[str, DataFrame]):
             if replace:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._id(table)}")
             if parts:
-                place = f"PARTITIONED BY ({', '.join(map(_quoted, parts))})"
+                place = f"{_BY_PARTITION} PARTITIONED BY ({', '.join(map(_quoted, parts))})"
             else:
                 place = f"LOCATION {_literal(self._new_folder(table))}"
             self.spark.sql(
@@ -202,13 +193,24 @@ class Warehouse(Mapping[str, DataFrame]):
         if unknown:
             raise ValueError(f"Columns {unknown} do not exist in table '{table}'")
         require_primary_key(rows, table, model.primary_key(table))
+        self._require_distinct_values(table, rows)
         lacking = {f.name: F.lit(None) for f in fields if f.name not in rows.columns}
         self.replace(table, rows.withColumns(lacking) if lacking else rows)
 
     def _merge_dimension(self, table: str, rows: DataFrame, model: KeyModel) -> None:
         key = model.primary_key(table)
         require_primary_key(rows, table, key)
-        self.replace(table, merge_rows(self[table], rows, key, check_source=False))
+        merged = merge_rows(self[table], rows, key, check_source=False)
+        self._require_distinct_values(table, merged)
+        self.replace(table, merged)
+
+    def _require_distinct_values(self, table: str, rows: DataFrame) -> None:
+        """Refuse a readable value that two keys have: a lookup by it would multiply rows."""
+        model = self.model()
+        values = {fk.parent_value for fk in model.foreign_keys if fk.parent == table}
+        for value in sorted(values & set(rows.columns)):
+            twice = duplicate_keys(rows.filter(F.col(f"`{value}`").isNotNull()), [value])
+            require_empty(twice, f"Values of '{table}.{value}' that stand for several keys")
 
     def _require_parents(self, table: str, rows: DataFrame, model: KeyModel) -> None:
         if model.foreign_keys_of(table):
@@ -236,14 +238,33 @@ class Warehouse(Mapping[str, DataFrame]):
         parts = self.partition_columns(table)
         df = self._aligned(table, df)
         if parts:
-            with _dynamic_overwrite(self.spark):
-                df.hint("rebalance", *parts).write.insertInto(self._id(table), overwrite=True)
+            df.hint("rebalance", *parts).write.insertInto(self._id(table), overwrite=True)
         else:
             folder = self._new_folder(table)
             df.write.parquet(folder)
             self.spark.sql(f"ALTER TABLE {self._id(table)} SET LOCATION {_literal(folder)}")
         self.spark.catalog.refreshTable(self._id(table))
 
+    def refill(self, table: str, df: DataFrame) -> None:
+        """Replace all rows of ``table`` by ``df``, and leave them as they are if ``df`` cannot be read.
+
+        In a partitioned table the new partitions are written first; then those go that ``df`` lacks.
+        """
+        parts = self.partition_columns(table)
+        if parts:
+            columns = [F.col(f"`{c}`") for c in parts]
+            text = F.array(*[c.cast("string") for c in columns]).alias("values")
+            old = {tuple(r["values"]) for r in self[table].select(text).distinct().collect()}
+            new = {tuple(r["values"]) for r in self._aligned(table, df).select(text).distinct().collect()}
+        self.replace(table, df)
+        if parts:
+            for values in sorted(old - new, key=str):
+                spec = ", ".join(
+                    f"{_quoted(c)} = {'NULL' if v is None else _literal(v)}" for c, v in zip(parts, values)
+                )
+                self.spark.sql(f"ALTER TABLE {self._id(table)} DROP IF EXISTS PARTITION ({spec})")
+            self.spark.catalog.refreshTable(self._id(table))
+
     def append(self, table: str, df: DataFrame) -> None:
         """Add the rows of ``df``, regrouped by partition as in :meth:`replace`."""
         parts = self.partition_columns(table)

@@ -25,6 +25,7 @@ from keyframe.operators import constraints, filters, keys, matrix, tickets, upse
 from keyframe.plans import read, write
 from keyframe.sources.snapshots import read_release, read_snapshot, release_snapshot, snapshot_versions
 from keyframe.sources.storage import scratch_dir, stage
+from keyframe.sources.tables import load_dimensions, load_schema_table
 from keyframe.sources.warehouse import Warehouse
 
 QUERIES = {}
@@ -230,6 +231,35 @@ def typing_losses(spark, folder):
     return cast_losses(raw, model.struct("Order"))
 
 
+@query("""
+SELECT 'supplier' AS name, s_suppkey AS id, s_name AS label, s_nationkey AS parent FROM supplier
+UNION ALL SELECT 'nation', n_nationkey, n_name, n_regionkey FROM nation
+""")
+def load_dimensions_typed(spark, folder):
+    """The schema table and two dimensions, written as CSV and loaded with their declared types."""
+    root = f"{scratch_dir(spark)}/tables-{uuid.uuid4().hex[:8]}"
+    types = {"bigint": "int", "int": "int", "string": "text", "double": "double precision"}
+    listed = []
+    for name, parent in (("nation", ("n_regionkey", "region", "r_regionkey")), ("supplier", ("s_nationkey", "nation", "n_nationkey"))):
+        frame = table(spark, folder, name)
+        frame.write.options(header=True).csv(f"{root}/{name}.csv")
+        for n, (column, kind) in enumerate(frame.dtypes):
+            to = parent[1:] if column == parent[0] else ("NA", "NA")
+            listed.append((name, column, str(n == 0).upper(), types[kind], *to))
+    for column, kind in table(spark, folder, "region").dtypes:
+        listed.append(("region", column, str(column == "r_regionkey").upper(), types[kind], "NA", "NA"))
+    header = "Table string, Colname string, IsPK string, ColDataType string, FKTable string, FKColname string"
+    spark.createDataFrame(listed, header).write.options(header=True).csv(f"{root}/Schema.csv")
+    model = KeyModel.from_schema_table(load_schema_table(spark, f"{root}/Schema.csv"))
+    dims = load_dimensions(spark, root, model)
+    columns = {"supplier": ("s_suppkey", "s_name", "s_nationkey"), "nation": ("n_nationkey", "n_name", "n_regionkey")}
+    parts = [
+        dims[name].select(F.lit(name).alias("name"), F.col(i).cast("bigint").alias("id"), F.col(n).alias("label"), F.col(p).alias("parent"))
+        for name, (i, n, p) in columns.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # Constraints
 
 
@@ -268,6 +298,34 @@ def fk_orphans(spark, folder):
     return customers.unionByName(suppliers)
 
 
+@query("""
+WITH keys AS (
+  SELECT 'l_orderkey' AS "column", 'orders' AS parent, l_orderkey AS k, l_orderkey % 3 = 0 AS gone FROM lineitem
+  UNION ALL SELECT 'l_partkey', 'part', l_partkey, l_partkey % 5 = 0 FROM lineitem
+  UNION ALL SELECT 'l_suppkey', 'supplier', l_suppkey, l_suppkey % 7 = 0 FROM lineitem),
+known AS (
+  SELECT 'orders' AS parent, o_orderkey AS k FROM orders UNION ALL SELECT 'part', p_partkey FROM part
+  UNION ALL SELECT 'supplier', s_suppkey FROM supplier)
+SELECT "column", parent, CAST(k AS VARCHAR) AS value, count(*) AS rows FROM keys
+WHERE gone OR NOT EXISTS (SELECT 1 FROM known WHERE known.parent = keys.parent AND known.k = keys.k) GROUP BY 1, 2, 3
+""")
+def fk_orphans_many(spark, folder):
+    """Three foreign keys of one table, checked in one pass."""
+    items = table(spark, folder, "lineitem")
+    parents = {
+        "orders": ("l_orderkey", "o_orderkey", "o_orderkey % 3 <> 0"),
+        "part": ("l_partkey", "p_partkey", "p_partkey % 5 <> 0"),
+        "supplier": ("l_suppkey", "s_suppkey", "s_suppkey % 7 <> 0"),
+    }
+    dims = {parent: table(spark, folder, parent).filter(kept) for parent, (_, _, kept) in parents.items()}
+    model = KeyModel(
+        {"lineitem": items.schema, **{p: d.schema for p, d in dims.items()}},
+        {p: (key,) for p, (_, key, _) in parents.items()},
+        tuple(ForeignKey("lineitem", c, p, key, key) for p, (c, key, _) in parents.items()),
+    )
+    return constraints.orphan_keys(items, "lineitem", model, dims)
+
+
 # Key codec
 
 
@@ -373,6 +431,44 @@ def version_many(spark, folder):
     return _of_versions(spark, folder, ["v4", "v3", "v7", "v4"])
 
 
+def _hundred(spark, folder, **options):
+    """Orders valid for up to 20 of 120 releases each, in any of the first hundred."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        (F.col("o_orderkey") % 95 + 1).cast("int").alias("vfrom"),
+        (F.col("o_orderkey") % 95 + 1 + F.col("o_custkey") % 20).cast("int").alias("vto"),
+    )
+    ids = spark.range(1, 121).select(F.col("id").cast("int").alias("ReleaseID"))
+    ids = ids.withColumn("Release", F.concat(F.lit("v"), F.col("ReleaseID").cast("string")))
+    model = KeyModel(
+        {"orders": orders.schema, "release": ids.schema},
+        {"orders": ("o_orderkey",), "release": ("ReleaseID",)},
+        tuple(ForeignKey("orders", c, "release", "ReleaseID", "Release") for c in ("vfrom", "vto")),
+    )
+    labels = [f"v{k}" for k in range(1, 101)]
+    return versions.filter_versions(
+        orders, labels, "orders", model, {"release": ids}, from_col="vfrom", to_col="vto", **options
+    )
+
+
+_HUNDRED = """orders_of AS (
+  SELECT o_orderkey, CAST(o_orderkey % 95 + 1 AS INT) AS vfrom,
+         CAST(o_orderkey % 95 + 1 + o_custkey % 20 AS INT) AS vto FROM orders)"""
+
+
+@query(f"""
+WITH {_HUNDRED}
+SELECT orders_of.* FROM orders_of JOIN range(1, 101) AS v(id) ON vfrom <= v.id AND vto >= v.id
+""")
+def version_hundred(spark, folder):
+    return _hundred(spark, folder)
+
+
+@query(f"WITH {_HUNDRED} SELECT * FROM orders_of WHERE vfrom <= 100 AND vto >= 1")
+def version_hundred_once(spark, folder):
+    return _hundred(spark, folder, dedupe=True)
+
+
 @query(f"""
 WITH {ORDERS_V}
 SELECT {_VERSION_COLS} FROM orders_v
@@ -456,6 +552,18 @@ def round_signif(spark, folder):
     return round_double_cols(priced, 4)
 
 
+@query("""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice AS price, l_quantity AS quantity FROM lineitem
+""")
+def round_signif_default(spark, folder):
+    """Noise in the sixteenth digit goes at the default of fifteen."""
+    noisy = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        (F.col("l_extendedprice") * (1 + 2e-16)).alias("price"), (F.col("l_quantity") * (1 - 2e-16)).alias("quantity"),
+    )
+    return round_double_cols(noisy)
+
+
 # Upserts
 
 
@@ -678,7 +786,7 @@ FROM hashed GROUP BY "Country", "Year", "Method"
 """)
 def ticket_table(spark, folder):
     stored = sales_store(spark, folder)["sales"]
-    return tickets.ticket(stored, "sales", probe_rows=write.PROBE_ROWS, algorithm="md5")
+    return tickets.ticket(stored, "sales", probe_rows=1_000, algorithm="md5")
 
 
 _ORDER_CELLS = """md5(concat_ws(';', '=' || CAST(round(o_totalprice * 100) AS BIGINT), '=' || o_custkey,
@@ -708,16 +816,19 @@ def ticket_single_values(spark, folder):
 
 @query(f"""
 WITH {SALES}
-SELECT 'sales' AS "DBTableName", "Country", "Year", "Method", 1 AS distinct_hashes
+SELECT 'sales' AS "DBTableName", "Country", "Year", "Method",
+       1 + CAST(bool_or("OrderID" % 7 = 0) AS INT) AS distinct_hashes
 FROM sales GROUP BY ALL
 """)
 def ticket_fast(spark, folder):
-    """The default algorithm: equal however the rows are spread, as the hashes found show."""
+    """The default algorithm: equal however the rows are spread, and other where some of them changed."""
     rows = sales(spark, folder)
     spread = rows.repartition("Cents").select(*reversed(rows.columns))
-    both = tickets.ticket(rows, "sales").unionByName(tickets.ticket(spread, "sales"))
+    changed = rows.withColumn("Cents", F.col("Cents") + (F.col("OrderID") % 7 == 0).cast("int"))
+    taken = [tickets.ticket(r, "sales") for r in (rows, spread, changed)]
     keys_of = ("DBTableName", "Country", "Year", "Method")
-    return both.groupBy(*keys_of).agg(F.count_distinct("NestedDataHash").cast("int").alias("distinct_hashes"))
+    every = taken[0].unionByName(taken[1]).unionByName(taken[2])
+    return every.groupBy(*keys_of).agg(F.count_distinct("NestedDataHash").cast("int").alias("distinct_hashes"))
 
 
 def _single_sql(column: str, expression: str) -> str:
@@ -745,21 +856,27 @@ def single_value_columns(spark, folder):
     return tickets.single_value_report(rows)
 
 
+_READABLE_CELLS = """md5(concat_ws(';', '=' || "Cents", '=' || "OrderID", '=v' || "ValidFromVersion",
+                         '=v' || "ValidToVersion"))"""
+
+
+def _upserted_sales(spark, folder, change=None, **options):
+    """A store, the readable sales, and what an upsert of them gave back."""
+    store = sales_store(spark, folder)
+    readable = keys.decode_keys(sales(spark, folder), "sales", star_model(spark, folder), star_dims(spark, folder))
+    readable = readable if change is None else change(readable)
+    return store, readable, write.upsert(store, readable, "sales_copy", in_place=True, **options)
+
+
 @query(f"""
-WITH {SALES}, hashed AS (
-  SELECT *, md5(concat_ws(';', '=' || "Cents", '=' || "OrderID", '=v' || "ValidFromVersion",
-                          '=v' || "ValidToVersion")) AS digest
-  FROM ({_COPIED}))
+WITH {SALES}, hashed AS (SELECT *, {_READABLE_CELLS} AS digest FROM sales)
 SELECT 'sales_copy' AS "DBTableName", n_name AS "Country", "Year", "Method",
        {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
 FROM hashed JOIN nation ON n_nationkey = "Country" GROUP BY n_name, "Year", "Method"
 """)
 def readable_ticket(spark, folder):
-    """The ticket of the readable rows, as an upsert gives it."""
-    copied = _sales_copy(spark, folder).table
-    model, dims = star_model(spark, folder), star_dims(spark, folder)
-    readable = keys.decode_keys(copied, "sales", model, dims)
-    return tickets.ticket(readable, "sales_copy", algorithm="md5")
+    """The ticket of readable rows, as the upsert of them gives it."""
+    return _upserted_sales(spark, folder, algorithm="md5")[2].ticket
 
 
 @query(f"""
@@ -820,6 +937,91 @@ def verify_ticket(spark, folder):
     return differing.select(F.col("Country").alias("nation"), "Year", "Method")
 
 
+@query(f"WITH {SALES}, decoded AS ({_DECODED_SALES}) SELECT * FROM decoded")
+def upsert_then_collect(spark, folder):
+    """Written, then fetched by the ticket that the write gave; the store describes its own tables."""
+    store, _, written = _upserted_sales(spark, folder)
+    return read.collect_ticket(written.ticket, store, verify=True)
+
+
+@query("""
+SELECT 1 AS vfrom, 1 AS vto, n_name AS "Country", c_custkey AS "Account", c_acctbal AS "Balance"
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def upsert_rounded_then_verify(spark, folder):
+    """Balances with noise beyond eight digits; the ticket describes the rounded ones."""
+    store, accounts = _account_store(spark, folder)
+    noisy = accounts.withColumn("Balance", F.col("Balance") * (1 + 1e-12))
+    written = write.upsert(store, noisy, "account", in_place=True, round_doubles=True, digits=8)
+    rows = read.collect_ticket(written.ticket, store, verify=True)
+    return rows.select(
+        F.col("ValidFromVersion").substr(2, 9).cast("int").alias("vfrom"),
+        F.col("ValidToVersion").substr(2, 9).cast("int").alias("vto"), "Country", "Account", "Balance",
+    )
+
+
+@query("""
+SELECT 2 AS vfrom, 2 AS vto, n_name AS "Country", c_custkey AS "Account", c_acctbal AS "Balance"
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def upsert_compressed_then_collect(spark, folder):
+    """The second release is merged into the first one's rows, and its ticket still finds it."""
+    store, accounts = _account_store(spark, folder)
+    options = {"in_place": True, "round_doubles": True, "digits": 8}
+    write.upsert(store, accounts, "account", **options)
+    written = write.upsert(store, _second_release(accounts), "account", compress=True, **options)
+    rows = read.collect_ticket(written.ticket, store, verify=True)
+    return rows.select(
+        F.col("ValidFromVersion").substr(2, 9).cast("int").alias("vfrom"),
+        F.col("ValidToVersion").substr(2, 9).cast("int").alias("vto"), "Country", "Account", "Balance",
+    )
+
+
+@query(f"""
+WITH {SALES}, hashed AS (SELECT *, {_SALES_CELLS} AS digest FROM ({_COPIED}))
+SELECT 'sales_copy' AS "DBTableName", n_name AS "Country", "Year", "Method",
+       {_hash_sql(_SALES_NESTED, "digest")} AS "NestedDataHash"
+FROM hashed JOIN nation ON n_nationkey = "Country" GROUP BY n_name, "Year", "Method"
+""")
+def copy_ticket_is_fixed(spark, folder):
+    """The ticket of a copy, after more rows came into the same table."""
+    store = sales_store(spark, folder)
+    options = {"in_place": True, "algorithm": "md5"}
+    taken = write.filter_copy(store, "sales", "sales_copy", members=["NATION_1", "NATION_3", "NATION_5"], **options)
+    write.filter_copy(store, "sales", "sales_copy", members=["NATION_2"], empty_dest=False, **options)
+    return taken.ticket
+
+
+@query(f"""
+WITH {SALES} SELECT * FROM sales WHERE "Country" IN (SELECT n_nationkey FROM nation WHERE n_name IN ('NATION_1', 'NATION_2'))
+""")
+def filter_copy_append(spark, folder):
+    """A second copy added to what the first one wrote."""
+    store = sales_store(spark, folder, partition_by={})
+    for n, member in enumerate(("NATION_1", "NATION_2")):
+        write.filter_copy(store, "sales", "sales_copy", members=[member], empty_dest=n == 0, in_place=True)
+    return store["sales_copy"]
+
+
+@query(f"""
+WITH cells AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, '=' || l_linenumber AS a, '=' || l_returnflag AS b FROM lineitem),
+parts AS (SELECT *, length(a) || ':' || a || length(b) || ':' || b AS body FROM cells),
+orders_of AS (
+  SELECT l_orderkey, '=' || string_agg(length('=' || body) || ':' || '=' || body, ''
+    ORDER BY l_linenumber, l_returnflag) AS items FROM parts GROUP BY l_orderkey),
+hashed AS (SELECT l_orderkey % 10 AS digit, md5(concat_ws(';', items, '=' || l_orderkey)) AS digest FROM orders_of)
+SELECT 'orders' AS "DBTableName", digit, {_hash_sql("items,l_orderkey", "digest")} AS "NestedDataHash"
+FROM hashed GROUP BY digit
+""")
+def ticket_nested(spark, folder):
+    """Arrays of structs are hashed by value."""
+    item = F.struct("l_linenumber", "l_returnflag")
+    rows = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    rows = rows.withColumn("digit", F.col("l_orderkey") % 10)
+    return tickets.ticket(rows, "orders", usual=None, additional=["digit"], algorithm="md5", keep_single=False)
+
+
 # Reads
 
 
@@ -875,11 +1077,11 @@ def filter_members_periods(spark, folder):
 
 @query(f"""
 WITH {SALES}
-SELECT * FROM sales WHERE "Country" IN (SELECT s_nationkey FROM supplier)
+SELECT * FROM sales WHERE "Country" IN (SELECT s_nationkey FROM supplier WHERE s_nationkey % 3 <> 0)
 """)
 def filter_members_listed(spark, folder):
     """Members listed in a table, all periods."""
-    listed = table(spark, folder, "supplier").select("s_nationkey")
+    listed = table(spark, folder, "supplier").select("s_nationkey").filter("s_nationkey % 3 <> 0")
     return filters.filter_members_periods(sales(spark, folder), listed, "all")
 
 
@@ -1009,6 +1211,31 @@ def matrix_decode_tiles(spark, folder):
     return decoded.select("Year", "matname", "tile_i", "tile_j", _as_text("matval"))
 
 
+@query(f"""
+WITH cells AS (
+  SELECT CAST(year(l_shipdate) AS INT) AS "Year", l_returnflag AS matname,
+         lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS rowname, l_linestatus AS colname, sum(l_quantity) AS value
+  FROM lineitem GROUP BY 1, 2, 3, 4)
+SELECT "Year", {", ".join(f"{_TEXT} FILTER (matname = '{m}') AS {m}" for m in "ANR")}
+FROM cells GROUP BY "Year"
+""")
+def matrix_decode_long_index(spark, folder):
+    """Rows by part: an index of thousands of names gives the same columns as a short one."""
+    cells = (
+        table(spark, folder, "lineitem")
+        .groupBy(
+            F.year("l_shipdate").alias("Year"), F.col("l_returnflag").alias("matname"),
+            F.col("l_partkey").cast("int").alias("i"), (F.ascii("l_linestatus") - 64).alias("j"),
+        )
+        .agg(F.sum("l_quantity").alias("value"))
+    )
+    parts = table(spark, folder, "lineitem").select(F.col("l_partkey").cast("int").alias("PartID")).distinct()
+    parts = parts.withColumn("Part", F.lpad(F.col("PartID").cast("string"), 9, "0"))
+    index = {"Brand": parts, "Status": _index_map(spark, folder)["Status"]}
+    decoded = matrix.decode_matrices(cells, index, _rctypes(spark, folder), names=list("ANR"), unique_cells=True)
+    return decoded.select("Year", *[_as_text(m) for m in "ANR"])
+
+
 # Snapshots and reference data
 
 

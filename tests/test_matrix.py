@@ -161,6 +161,8 @@ def test_large_matrices_come_in_tiles(spark, rctypes):
     assert len(found) == 9 and all(len(t["matval"]) == 100 for t in found)
     whole = {(c["rowname"], c["colname"]): c["value"] for t in found for c in t["matval"]}
     assert len(whole) == 900 and whole["n30", "n30"] == 899
+    tiled = matrix.decode_matrices(cells, names, rctypes, wide=False, tile=100)
+    assert set(tiled.columns) == {"matname", "tile_i", "tile_j", "matval"} and tiled.count() == 1
     one = matrix.decode_matrices(cells, names, rctypes, wide=False)
     assert one.columns == ["matname", "matval"] and len(one.first()["matval"]) == 900
 

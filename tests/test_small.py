@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from keyframe import names, refdata
 from keyframe.operators.filters import drop_task_group, filter_members_periods
-from keyframe.operators.sizes import broadcast_if_small
 from keyframe.sources import storage
 from keyframe.sources.snapshots import (
     NOT_RELEASED,
@@ -102,14 +101,6 @@ def test_default_group_columns():
     assert names.TABLE_NAME_COL in names.USUAL_GROUP_COLS and len(names.USUAL_GROUP_COLS) == 9
 
 
-def test_broadcast_only_when_small(spark):
-    def hinted(frame):
-        return "ResolvedHint" in frame._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
-
-
 def test_scratch_folder_comes_from_the_session(spark):
     assert storage.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = storage.stage(spark.range(5), "five")
@@ -117,14 +108,13 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert storage.scratch_dir(spark) in staged.inputFiles()[0]
 
 
-def test_only_a_local_session_may_leave_the_scratch_folder_out():
-    class Session:
-        def __init__(self, master):
-            self.conf = {}
-            self.sparkContext = SimpleNamespace(master=master, applicationId=f"app-{master}")
+def test_scratch_folder_without_the_setting_is_in_the_warehouse():
+    session = SimpleNamespace(conf={"spark.sql.warehouse.dir": "file:/shared/warehouse/"})
+    assert storage.scratch_dir(session) == "file:/shared/warehouse/keyframe-scratch"
+
 
-    local = Session("local[2]")
-    folder = storage.scratch_dir(local)
-    assert Path(folder).is_dir() and storage.scratch_dir(local) == folder
-    with pytest.raises(RuntimeError, match="Set spark.checkpoint.dir"):
-        storage.scratch_dir(Session("yarn"))
+def test_staged_files_go_at_the_end_of_the_block(spark):
+    with storage.staged(spark.range(5), "five") as frame:
+        path = frame.inputFiles()[0].rsplit("/", 1)[0]
+        assert frame.count() == 5 and storage.exists(spark, path)
+    assert not storage.exists(spark, path)

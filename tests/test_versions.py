@@ -1,5 +1,6 @@
 import pytest
 
+from keyframe.model import ForeignKey, KeyModel
 from keyframe.operators import versions
 from keyframe.operators.keys import UnmatchedValues, decode_keys
 from keyframe.plans.read import filter_table
@@ -45,11 +46,18 @@ def test_rows_come_once_per_requested_version(spark, fact):
 
 
 @pytest.mark.parametrize("dedupe", [False, True])
-def test_many_ids_are_served_by_a_join_alike(spark, fact, monkeypatch, dedupe):
-    labels = ["v1", "v2", "v3", "v7", "v8"]
-    inline = pick(spark, fact, labels, dedupe=dedupe)
-    monkeypatch.setattr(versions, "MAX_INLINE_IDS", 2)
-    assert pick(spark, fact, labels, dedupe=dedupe) == inline
+def test_any_number_of_ids_beyond_int(spark, dedupe):
+    base = 1 << 40
+    ids = spark.range(base, base + 200).selectExpr("id AS VersionID", "concat('v', id) AS Version")
+    facts = spark.createDataFrame([(base, base + 150, 1), (base + 190, base + 199, 2)], "f long, t long, x int")
+    model = KeyModel(
+        {"Fact": facts.schema, "Version": ids.schema}, {"Version": ("VersionID",)},
+        (ForeignKey("Fact", "f", "Version", "VersionID", "Version"),),
+    )
+    labels = [f"v{base + k}" for k in range(100)]
+    kept = versions.filter_versions(facts, labels, "Fact", model, {"Version": ids}, from_col="f", to_col="t", dedupe=dedupe)
+    assert [r.x for r in kept.collect()] == [1] * (1 if dedupe else 100)
+    assert "NestedLoop" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
 def test_unknown_version(spark, fact):

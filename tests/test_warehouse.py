@@ -113,7 +113,7 @@ def test_creating_twice_needs_replace(spark, quartet):
 
 def test_dimensions_need_a_primary_key(spark, store):
     frame = spark.createDataFrame([(1, "x")], "a int, b string")
-    with pytest.raises(ValueError, match="0 primary keys"):
+    with pytest.raises(ValueError, match="needs a primary key"):
         store.upload_dimensions(KeyModel({"D": frame.schema}), {"D": frame})
 
 
@@ -161,7 +161,7 @@ def test_a_failed_replace_changes_nothing(spark, quartet):
 def test_upsert_needs_parents(spark, quartet):
     fifth = spark.createDataFrame([(5, 5)], "Player int, Part int")
     upsert(quartet, spark.createDataFrame([(5, "Eve")], "PlayerID int, Player string"), "Player", in_place=True)
-    with pytest.raises(ConstraintViolation, match="insert or update on table 'PlayerPart'.*\n.*orphan: Part=5"):
+    with pytest.raises(ConstraintViolation, match="insert or update on table 'PlayerPart'.*\n.*orphan: Part: '5'"):
         upsert(quartet, fifth, "PlayerPart", in_place=True)
     assert quartet["PlayerPart"].count() == 4
     parts = spark.createDataFrame([(5, "Flute"), (6, "Oboe")], "PartID int, Part string")
@@ -196,10 +196,10 @@ def test_dimensions_need_their_parents_too(spark, store):
         {"Place": ("PlaceID",), "Region": ("RegionID",)},
         (ForeignKey("Place", "Region", "Region", "RegionID", "Region"),),
     )
-    with pytest.raises(ConstraintViolation, match="orphan: Region=7"):
+    with pytest.raises(ConstraintViolation, match="orphan: Region: '7'"):
         store.upload_dimensions(model, {"Place": place, "Region": region})
     store.upload_dimensions(model, {"Place": place.filter("PlaceID = 1"), "Region": region}, replace=True)
-    with pytest.raises(ConstraintViolation, match="orphan: Region=7"):
+    with pytest.raises(ConstraintViolation, match="orphan: Region: '7'"):
         store.update_dimension("Place", place)
     assert store["Place"].count() == 1
 
