@@ -1280,3 +1280,12 @@ def canonical_members(spark, folder):
     )
     counted = refdata.canonical_members(readable, COUNTRY_COL, ["NATION_20", "NATION_21"])
     return counted.groupBy("Country").agg(F.sum("Cents").alias("cents"))
+
+
+# What queries that write spend on creating and filling their store, to be timed apart.
+WRITES = {
+    **dict.fromkeys(("upsert_full", "upsert_compressed", "upsert_preview"), _account_store),
+    **dict.fromkeys(
+        ("filter_copy", "filter_copy_ticket", "ticket_table", "readable_ticket", "upsert_then_collect"), sales_store
+    ),
+}
