@@ -91,7 +91,7 @@ def upsert(
     row and column types (by default those of the stored table of them), and readable keys
     become integers; doubles may be rounded.  The ticket describes the rows with readable keys,
     and as they are stored: after rounding, unless ``hash_rounded`` is False.  It does not
-    change afterwards when it was taken ``in_place``.  ``probe_rows`` first rows rule out columns
+    change afterwards when it was taken ``in_place``.  With ``compress`` versions are group columns.  ``probe_rows`` first rows rule out columns
     that vary before the pass for single-valued columns.  Without ``in_place`` nothing is written
     and ``Written.table`` is the lazy result.  With
     ``compress`` the whole table is compressed by version after the upsert, with
@@ -116,6 +116,9 @@ def upsert(
         if rctypes is None and RCTYPE_TABLE in store:
             rctypes = decode_keys(store[RCTYPE_TABLE], RCTYPE_TABLE, model, dims)
         rows = encode_matrices(rows, index_map, rctypes, retain_zeros=retain_zeros)
+    if compress:
+        # Compression may merge any of the intervals, so each gets ticket rows of its own, found by containment.
+        additional = [*(additional or ()), *(c for c in (from_col, to_col) if c in rows.columns)]
     grouping = {
         "usual": usual,
         "additional": additional,
