@@ -12,14 +12,16 @@ cut into fragments; each fragment is a task that sees its own n-grams of all tex
 3. Linked sets share one of the first ``n - ceil(0.8 n) + 1`` n-grams in that order.  Fragments of these
    prefixes list the nodes of each n-gram (``postings``).
 4. Candidates: each node of a posting with the posting's leader, so a posting of m nodes gives m - 1
-   pairs, not m squared.  Each pair is verified exactly: both sets are cut into fragments, overlaps are
-   counted in each fragment by itself, and the sums decide.  Verified links make components.
+   pairs, not m squared.  Overlaps are counted fragment by fragment and added up per pair: first in the
+   fragment of the lowest hashes (``sketch``, an eighth of the range), where too many differences
+   already rule a pair out, then, for the pairs that are left, in all of them, which decides exactly.
+   Verified links make components.
 5. What is left are pairs of one posting in different components; only these can still change the result.
    A node's cluster is its least leader.  Within a cluster, nodes outside of its largest component
    are compared with all of it in blocks of ``BLOCK`` nodes: fragment by fragment, a task counts the
    overlaps of two blocks as matrices, adds them up, and returns one link of a node for
    each component, never pairs.  Across clusters, pairs of a posting are joined under the length and
-   positional filters and verified.  Nothing is capped.
+   positional filters and verified.  Sketches go first in both cases.  Nothing is capped.
 
 Defined results: texts without words (null, empty, blank) have no n-grams and no links; texts with fewer
 words than n have one n-gram, all their words; a null id takes part in no link and gets a
@@ -51,6 +53,8 @@ PARTS = 4
 FLUSH = 1 << 20
 BLOCK = 256
 COLUMNS = 4_096
+SKETCHED = 1 << 61  # sketches hold the hashes below this, an eighth of the range
+BUCKETS = 1 << 21  # a wanted document is told from most others by its bucket, of which there are no more
 
 
 def shingle_sets(texts: Texts, n: int = WORDS) -> Iterator[np.ndarray]:
@@ -73,13 +77,16 @@ def prefix_length(n: int) -> int:
 
 
 def set_of(batch: pa.Array) -> pa.Array:
-    """Size and node of the set of each whole text; a null node for an empty set."""
-    sizes, keys = [], []
+    """Size, node and sketch of the set of each whole text; a null node for an empty set."""
+    sizes, keys, sketches = [], [], []
     for start, stop in slices(batch):
         for own in shingle_sets(Texts(batch[start:stop])):
             sizes.append(len(own))
             keys.append(set_key(own) if len(own) else None)
-    return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], ["n", "node"])
+            low = own[: np.searchsorted(own, np.uint64(SKETCHED))]
+            sketches.append((low >> np.uint64(29)).astype(np.uint32).tobytes())
+    columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())]
+    return pa.StructArray.from_arrays(columns, ["n", "node", "sketch"])
 
 
 def _each_set(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.ndarray]:
@@ -275,10 +282,37 @@ def set_parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["node", "part", "grams"],
                 )
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").select("text", "node")
+    # A bounded broadcast keeps most other texts out of the shuffle.
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).alias("bucket")
+    buckets = wanted.select(bucket).distinct()
+    near = docs.select("doc_id", "text", bucket).join(F.broadcast(buckets), "bucket", "left_semi")
+    texts = near.join(wanted, "doc_id").select("text", "node")
     return texts.mapInArrow(cut, "node long, part int, grams binary")
 
 
+def _close(left: pa.Array, right: pa.Array, left_n: pa.Array, right_n: pa.Array) -> pa.Array:
+    """Whether sketches have few enough differences for sets of these sizes to be linked."""
+    out = np.zeros(len(left), bool)
+    for k, (a, b, m, n) in enumerate(zip(*(x.to_pylist() for x in (left, right, left_n, right_n)))):
+        a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+        shared = (b.take(np.searchsorted(b, a), mode="clip") == a).sum() if len(a) and len(b) else 0
+        out[k] = _few(len(a) + len(b) - 2 * shared, m + n)
+    return pa.array(out)
+
+
+def _few(different, sizes):
+    """Linked sets differ in at most this share of the sum of their sizes."""
+    return different * (SIMILAR[0] + SIMILAR[1]) <= sizes * (SIMILAR[1] - SIMILAR[0])
+
+
+def close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs whose sketches do not rule them out."""
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch"))
+    test = F.arrow_udf(_close, "boolean")("a_sketch", "b_sketch", "a_n", "b_n")
+    return pairs.join(left, "a").join(right, "b").where(test).select("a", "b", "a_n", "b_n")
+
+
 def _overlap(left: pa.Array, right: pa.Array) -> pa.Array:
     out = np.zeros(len(left), np.int32)
     for k, (a, b) in enumerate(zip(left.to_pylist(), right.to_pylist())):
@@ -301,9 +335,8 @@ def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return sums.where(F.col("shared") * SIMILAR[1] >= union * SIMILAR[0]).select("a", "b")
 
 
-def _block_links(key: tuple, table: pa.Table) -> pa.Table:
-    """Links of two blocks of a cluster: for each node of the first, one with each component of the second."""
-    table = table.sort_by([("part", "ascending")])
+def _block_counts(table: pa.Table, kind) -> tuple:
+    """Nodes, sizes and labels of the two blocks, and the overlaps counted in each part and added up."""
     left = np.asarray(table.column("outside").to_numpy(zero_copy_only=False), bool)
     part, node = table.column("part").to_numpy(), table.column("node").to_numpy()
     sizes, labels = table.column("n").to_numpy(), table.column("label").to_numpy()
@@ -313,35 +346,55 @@ def _block_links(key: tuple, table: pa.Table) -> pa.Table:
         nodes, first = np.unique(node[rows], return_index=True)
         return nodes, sizes[rows][first], labels[rows][first]
 
-    (a, a_n, a_label), (b, b_n, b_label) = side(np.flatnonzero(left)), side(np.flatnonzero(~left))
-    shared = np.zeros((len(a), len(b)), np.float32)
-    for p in range(PARTS):
+    own, other = side(np.flatnonzero(left)), side(np.flatnonzero(~left))
+    shared = np.zeros((len(own[0]), len(other[0])), np.float32)
+    held = [np.zeros(len(own[0]), np.int64), np.zeros(len(other[0]), np.int64)]
+    for p in np.unique(part):
         sets = []
-        for rows, nodes in ((np.flatnonzero(left & (part == p)), a), (np.flatnonzero(~left & (part == p)), b)):
+        for which, (nodes, count) in enumerate(((own[0], held[0]), (other[0], held[1]))):
+            rows = np.flatnonzero((left if which == 0 else ~left) & (part == p))
             _, first = np.unique(node[rows], return_index=True)
-            own = [np.frombuffer(grams[k], np.uint64) for k in rows[first]]
-            at = np.repeat(np.searchsorted(nodes, node[rows[first]]), [len(x) for x in own])
-            sets.append((np.concatenate(own) if own else np.zeros(0, np.uint64), at))
+            pieces = [np.frombuffer(grams[k], kind) for k in rows[first]]
+            place = np.searchsorted(nodes, node[rows[first]])
+            lengths = np.array([len(x) for x in pieces], np.int64)
+            count[place] += lengths
+            sets.append((np.concatenate(pieces) if pieces else np.zeros(0, kind), np.repeat(place, lengths)))
         both = np.intersect1d(np.unique(sets[0][0]), np.unique(sets[1][0]), assume_unique=True)
         for low in range(0, len(both), COLUMNS):
             some = both[low : low + COLUMNS]
             dense = []
-            for (own, at), count in zip(sets, shared.shape):
-                to = np.minimum(np.searchsorted(some, own), len(some) - 1)
-                hit = some[to] == own
+            for (values, at), count in zip(sets, shared.shape):
+                to = np.minimum(np.searchsorted(some, values), len(some) - 1)
+                hit = some[to] == values
                 matrix = np.zeros((count, len(some)), np.float32)
                 matrix[at[hit], to[hit]] = 1
                 dense.append(matrix)
             shared += dense[0] @ dense[1].T
-    union = a_n[:, None] + b_n[None, :] - shared
-    linked = (shared * SIMILAR[1] >= union * SIMILAR[0]) & (a_label[:, None] != b_label[None, :])
-    i, j = np.nonzero(linked)
-    _, once = np.unique(np.stack([i, b_label[j]]), axis=1, return_index=True) if len(i) else (None, np.zeros(0, int))
-    return pa.table({"a": pa.array(a[i[once]], pa.int64()), "b": pa.array(b[j[once]], pa.int64())})
+    return own, other, held, shared, own[2][:, None] != other[2][None, :]
+
+
+def _block_close(key: tuple, table: pa.Table) -> pa.Table:
+    """Nodes of two blocks that sketches do not tell apart from all nodes of other components."""
+    own, other, held, shared, apart = _block_counts(table, np.uint32)
+    different = held[0][:, None] + held[1][None, :] - 2 * shared
+    may = _few(different, own[1][:, None] + other[1][None, :]) & apart
+    return pa.table({"node": np.concatenate((own[0][may.any(axis=1)], other[0][may.any(axis=0)]))})
 
 
-def within(clusters: DataFrame, parts: DataFrame) -> DataFrame:
-    """Links (a, b) between the components of each cluster; ``clusters`` has node, n, cluster and label."""
+def _block_links(key: tuple, table: pa.Table) -> pa.Table:
+    """Links of two blocks of a cluster: for each node of the first, one with each component of the second."""
+    own, other, _, shared, apart = _block_counts(table, np.uint64)
+    union = own[1][:, None] + other[1][None, :] - shared
+    i, j = np.nonzero((shared * SIMILAR[1] >= union * SIMILAR[0]) & apart)
+    _, once = np.unique(np.stack([i, other[2][j]]), axis=1, return_index=True) if len(i) else (None, np.zeros(0, int))
+    return pa.table({"a": pa.array(own[0][i[once]], pa.int64()), "b": pa.array(other[0][j[once]], pa.int64())})
+
+
+def blocks(clusters: DataFrame, grams: DataFrame):
+    """Blocks of each cluster of several components, grouped; ``clusters`` has node, n, cluster and label.
+
+    Nodes outside of the largest component stand in rows of blocks, all nodes in columns of blocks.
+    """
     sizes = clusters.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
     several = (
         sizes.groupBy("cluster")
@@ -352,18 +405,22 @@ def within(clusters: DataFrame, parts: DataFrame) -> DataFrame:
             F.max_by("label", F.struct("size", "label")).alias("main"),
         )
         .where("labels > 1")
-        .select("cluster", "main", F.expr(f"int(ceil((all - most) / {BLOCK}))").alias("rows"), F.expr(f"int(ceil(all / {BLOCK}))").alias("columns"))
+        .select(
+            "cluster",
+            "main",
+            F.expr(f"int(ceil((all - most) / {BLOCK}))").alias("rows"),
+            F.expr(f"int(ceil(all / {BLOCK}))").alias("columns"),
+        )
     )
     live = clusters.join(several, "cluster")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    outside = live.where(F.col("label") != F.col("main"))
-    placed = outside.select("cluster", "node", "n", "label", F.lit(True).alias("outside"), block("rows").alias("i"), each("columns").alias("j"))
-    placed = placed.union(
-        live.select("cluster", "node", "n", "label", F.lit(False).alias("outside"), each("rows").alias("i"), block("columns").alias("j"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    names = ("cluster", "node", "n", "label")
+    outside = live.where(F.col("label") != F.col("main")).select(
+        *names, F.lit(True).alias("outside"), own("rows").alias("i"), every("columns").alias("j")
     )
-    rows = placed.join(parts, "node").select("cluster", "i", "j", "outside", "node", "n", "label", "part", "grams")
-    return rows.groupBy("cluster", "i", "j").applyInArrow(_block_links, "a long, b long")
+    all_of_it = live.select(*names, F.lit(False).alias("outside"), every("rows").alias("i"), own("columns").alias("j"))
+    return outside.union(all_of_it).join(grams, "node").groupBy("cluster", "i", "j")
 
 
 def across(lists: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -394,32 +451,49 @@ def across(lists: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) of every document, and (node, label) of nodes in components of two or more."""
-    named = docs.select("doc_id", F.arrow_udf(set_of, "struct<n: long, node: long>")("text").alias("own"))
-    nodes = staged(named.select("doc_id", "own.n", "own.node"), "jaccard-nodes")
+    named = docs.select("doc_id", F.arrow_udf(set_of, "struct<n: long, node: long, sketch: binary>")("text").alias("own"))
+    nodes = staged(named.select("doc_id", "own.*"), "jaccard-nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
     texts = docs.where(F.col("doc_id").isNotNull()).select("text")
     lists = staged(postings(texts, common_grams(texts, total), total), "jaccard-postings")
-    wanted = nodes.where(F.col("doc_id").isNotNull()).join(lists.select("node").distinct(), "node")
-    wanted = wanted.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    parts = staged(set_parts(docs, wanted), "jaccard-parts")
+    listed = lists.groupBy("node").agg(F.first("n").alias("n"), F.min("leader").alias("cluster"))
+    sketches = staged(
+        nodes.where(F.col("doc_id").isNotNull())
+        .groupBy("node")
+        .agg(F.min("doc_id").alias("doc_id"), F.max("sketch").alias("sketch"))
+        .join(listed, "node"),
+        "jaccard-sketches",
+    )
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        own = sketches.join(wanted.distinct(), "node", "left_semi").select("doc_id", "node")
+        return staged(set_parts(docs, own), "jaccard-parts")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+
     first = lists.where(
         (F.col("node") != F.col("leader"))
         & _possible(F.col("n"), F.col("place"), F.col("leader_n"), F.col("leader_place"))
     ).select("node", "n", F.col("leader").alias("other"), F.col("leader_n").alias("other_n"))
-    tried = staged(_pairs(first), "jaccard-pairs")
-    links = staged(verified(tried, parts), "jaccard-links")
+    tried = staged(close(_pairs(first), sketches), "jaccard-pairs")
+    links = staged(verified(tried, sets(ends(tried))), "jaccard-links")
     labels = components(links)
-    clusters = lists.groupBy("node").agg(F.first("n").alias("n"), F.min("leader").alias("cluster")).join(labels, "node", "left")
+    clusters = sketches.select("node", "n", "cluster").join(labels, "node", "left")
     clusters = staged(clusters.withColumn("label", F.coalesce("label", "node")), "jaccard-clusters")
-    rest = staged(_pairs(across(lists, clusters)).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-    links = links.union(within(clusters, parts)).union(verified(rest, parts))
-    return nodes, components(links)
+    flat = sketches.select("node", F.lit(0).alias("part"), F.col("sketch").alias("grams"))
+    near = staged(blocks(clusters, flat).applyInArrow(_block_close, "node long").distinct(), "jaccard-near")
+    rest = _pairs(across(lists, clusters)).join(tried, ["a", "b"], "left_anti")
+    rest = staged(close(rest, sketches), "jaccard-pairs")
+    parts = sets(near.union(ends(rest)))
+    within = blocks(clusters.join(near, "node", "left_semi"), parts).applyInArrow(_block_links, "a long, b long")
+    return nodes, components(links.union(within).union(verified(rest, parts)))
 
 
 def with_component(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) of every document."""
     nodes, labels = linked(docs)
-    nodes = nodes.join(labels, "node", "left").withColumn("_group", F.coalesce("label", "node"))
+    nodes = nodes.drop("sketch").join(labels, "node", "left").withColumn("_group", F.coalesce("label", "node"))
     least = nodes.where(F.col("_group").isNotNull()).groupBy("_group").agg(F.min("doc_id").alias("_least"))
     return nodes.join(least, "_group", "left").select(
         "doc_id",
