@@ -18,7 +18,7 @@ cut into fragments; each fragment is a task that sees its own n-grams of all tex
    Verified links make components.
 5. What is left are pairs of one posting in different components; only these can still change the result.
    A node's cluster is its least leader.  Within a cluster, nodes outside of its largest component
-   are compared with all of it in blocks of ``BLOCK`` nodes: fragment by fragment, a task counts the
+   are compared with all of it in blocks of ``BLOCK`` nodes and ``BLOCK_GRAMS`` n-grams at most: fragment by fragment, a task counts the
    overlaps of two blocks as matrices, adds them up, and returns one link of a node for
    each component, never pairs.  Across clusters, pairs of a posting are joined under the length and
    positional filters and verified.  Sketches go first in both cases.  Nothing is capped.
@@ -51,7 +51,8 @@ FRAGMENT_BYTES = 8 << 20
 LEAST_FRAGMENTS = 64
 PARTS = 4
 FLUSH = 1 << 20
-BLOCK = 256
+BLOCK = 2_048
+BLOCK_GRAMS = 1 << 20
 COLUMNS = 4_096
 SKETCHED = 1 << 61  # sketches hold the hashes below this, an eighth of the range
 BUCKETS = 1 << 21  # a wanted document is told from most others by its bucket, of which there are no more
@@ -395,21 +396,21 @@ def blocks(clusters: DataFrame, grams: DataFrame):
 
     Nodes outside of the largest component stand in rows of blocks, all nodes in columns of blocks.
     """
-    sizes = clusters.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
+    sizes = clusters.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("grams"))
     several = (
         sizes.groupBy("cluster")
         .agg(
             F.count(F.lit(1)).alias("labels"),
             F.sum("size").alias("all"),
-            F.max("size").alias("most"),
-            F.max_by("label", F.struct("size", "label")).alias("main"),
+            F.sum("grams").alias("all_grams"),
+            F.max_by(F.struct("label", "size", "grams"), F.struct("size", "label")).alias("main"),
         )
         .where("labels > 1")
         .select(
             "cluster",
-            "main",
-            F.expr(f"int(ceil((all - most) / {BLOCK}))").alias("rows"),
-            F.expr(f"int(ceil(all / {BLOCK}))").alias("columns"),
+            F.col("main.label").alias("main"),
+            F.expr(f"int(ceil(greatest((all - main.size) / {BLOCK}, (all_grams - main.grams) / {BLOCK_GRAMS})))").alias("rows"),
+            F.expr(f"int(ceil(greatest(all / {BLOCK}, all_grams / {BLOCK_GRAMS})))").alias("columns"),
         )
     )
     live = clusters.join(several, "cluster")
