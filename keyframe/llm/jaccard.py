@@ -13,7 +13,7 @@ cut into fragments; each fragment is a task that sees its own n-grams of all tex
    prefixes list the nodes of each n-gram (``postings``).
 4. Candidates: each node of a posting with the posting's leader, so a posting of m nodes gives m - 1
    pairs, not m squared.  Overlaps are counted fragment by fragment and added up per pair: first in the
-   fragment of the lowest hashes (``sketch``, an eighth of the range), where too many differences
+   fragment of the lowest hashes (``sketch``, a quarter of the range), where too many differences
    already rule a pair out, then, for the pairs that are left, in all of them, which decides exactly.
    Verified links make components.
 5. What is left are pairs of one posting in different components; only these can still change the result.
@@ -54,7 +54,7 @@ FLUSH = 1 << 20
 BLOCK = 2_048
 BLOCK_GRAMS = 1 << 20
 COLUMNS = 4_096
-SKETCHED = 1 << 61  # sketches hold the hashes below this, an eighth of the range
+SKETCHED = 1 << 62  # sketches hold the hashes below this, a quarter of the range
 BUCKETS = 1 << 21  # a wanted document is told from most others by its bucket, of which there are no more
 
 
@@ -85,7 +85,7 @@ def set_of(batch: pa.Array) -> pa.Array:
             sizes.append(len(own))
             keys.append(set_key(own) if len(own) else None)
             low = own[: np.searchsorted(own, np.uint64(SKETCHED))]
-            sketches.append((low >> np.uint64(29)).astype(np.uint32).tobytes())
+            sketches.append((low >> np.uint64(30)).astype(np.uint32).tobytes())
     columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())]
     return pa.StructArray.from_arrays(columns, ["n", "node", "sketch"])
 
@@ -325,6 +325,9 @@ def _overlap(left: pa.Array, right: pa.Array) -> pa.Array:
 
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs (a, b) that are linked: overlaps are counted in each part and added up."""
+    # Only the sets of these pairs are shuffled.
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    parts = parts.join(ends, "node", "left_semi")
     left = parts.select(F.col("node").alias("a"), "part", F.col("grams").alias("a_grams"))
     right = parts.select(F.col("node").alias("b"), "part", F.col("grams").alias("b_grams"))
     counted = pairs.join(left, "a").join(right, ["b", "part"]).select(
