@@ -100,19 +100,20 @@ def build_model(texts: dict[str, bytes]) -> LanguageModel:
     for name in names:
         text = symbols[np.frombuffer(texts[name], np.uint8)]
         steps = suffix_automaton(text.tobytes())
-        start = np.full(width, base | _ENDED, np.int64)  # a symbol that the language lacks is a phrase of its own
+        start = np.full(width, base | _ENDED, np.int32)  # a symbol that the language lacks is a phrase of its own
         for sign, to in steps[0].items():
             start[sign] = (base + to * width) | _ENDED
         table = np.tile(start, (len(steps), 1))
         for state, out in enumerate(steps):
             if out:
-                table[state, list(out)] = base + np.fromiter(out.values(), np.int64) * width
-        table[:, PAD] = base + np.arange(len(steps)) * width
+                table[state, list(out)] = base + np.fromiter(out.values(), np.int32) * width
+        table[:, PAD] = base + np.arange(len(steps), dtype=np.int32) * width
+        del steps  # far larger than its table
         tables.append(table.ravel())
         roots.append(base)
         bits.append(np.log2(len(text) + 1))
         base += table.size
-    whole = np.concatenate(tables).astype(np.int32) if tables else np.zeros(0, np.int32)
+    whole = np.concatenate(tables) if tables else np.zeros(0, np.int32)
     return LanguageModel(names, np.array(bits), symbols, np.array(roots, np.int32), whole)
 
 
