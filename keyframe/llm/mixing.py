@@ -4,13 +4,17 @@ Documents fall into cells of source, language and topic; topic is the layout of
 (``topic``).  Token weights of the cells are raked: each sweep scales them to the target shares of
 the sources, then of the languages, then of the topics, until no factor is further
 than ``TOLERANCE`` from 1 (or ``MAX_SWEEPS``).  A cell's documents are kept with probability
-``scale * raked weight / tokens``, one scale for all, so that the kept tokens have the target shares
-in expectation; the scale is the largest that asks for at most ``budget`` of all tokens and for
-no probability above 1.  A document's draw is a hash of its id, text and a seed.
+``scale * raked weight / tokens``, or 1 if that is less; the scale is the one by which ``budget`` of
+all tokens are kept in expectation (all tokens in the mix, if they are fewer).
+
+A value that has fewer tokens than its share of the budget is kept whole, and the others share the
+rest in proportion to their targets; sweeps count no cell's weight beyond its tokens.  So rare cells
+take nothing from the others, and shares are the targets as far as the tokens go; ``shares`` gives
+both.
 
 Cells are counted with partial aggregation, so a hot source costs a row for each task; sweeps run
 on cells alone.  Targets are rows (dimension, value, share); values that
-have none or no tokens get no weight, and shares of the rest are scaled to 1.  Without
+have none or no tokens are not in the mix, and shares of the rest are scaled to 1.  Without
 targets, ``tempered`` takes shares of the present tokens to the power ``TEMPERATURE``.
 
 Defined results: a null source or language is the value ``(none)``; null or blank texts have no
@@ -81,61 +85,96 @@ def tempered(cells: DataFrame) -> DataFrame:
     return parts
 
 
-def _present(cells: DataFrame, targets: DataFrame, name: str, cell: str) -> DataFrame:
-    """Target shares of the values of one dimension that have tokens, scaled to 1."""
-    own = (
-        targets.where((F.col("dimension") == name) & (F.col("share") > 0))
-        .groupBy(F.col("value").alias("_value"))
-        .agg(F.sum("share").alias("_share"))
-        .join(cells.select(F.col(cell).alias("_value")).distinct(), "_value", "left_semi")
-    )
-    own = staged(own, "mix-targets")
-    whole = own.agg(F.sum("_share")).first()[0] or 1.0
-    return own.withColumn("_share", F.col("_share") / whole)
-
-
-def _scaled(cells: DataFrame, shares: DataFrame, cell: str, total: float) -> DataFrame:
-    """The cells with weights scaled to the target shares of one dimension."""
-    now = cells.groupBy(F.col(cell).alias("_value")).agg(F.sum("weight").alias("_now")).where("_now > 0")
-    factor = now.join(shares, "_value").select("_value", (F.col("_share") * total / F.col("_now")).alias("_factor"))
-    joined = cells.join(factor, F.col(cell) == F.col("_value"), "left").drop("_value")
-    factor = F.coalesce("_factor", F.lit(0.0))
-    # A value that is out of the mix (weight 0) does not count as a deviation.
-    off = F.when(F.col("weight") > 0, F.abs(factor - 1)).otherwise(F.lit(0.0))
-    return joined.withColumns({"weight": F.col("weight") * factor, "off": F.greatest("off", off)}).drop("_factor")
-
-
-def rake(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """Weights of the cells whose sums by dimension have the target shares; they add up to all tokens."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    targets = targets.select("dimension", "value", F.col("share").cast("double").alias("share"))
-    shares = [_present(cells, targets, name, cell) for name, cell in zip(DIMENSIONS, CELL)]
-    now = cells.withColumns({"weight": F.col("tokens"), "off": F.lit(0.0)})
+def _scale(rows: DataFrame, whole: float) -> float:
+    """The factor by which ``weight``, cut at ``tokens``, adds up to ``whole``; if all are cut before, one that cuts all.
+
+    The sum is concave in the factor, so Newton's steps from below come to it in finitely many rounds.
+    """
+    scale = 0.0
+    while True:
+        full = F.col("weight") * scale >= F.col("tokens")
+        found = rows.agg(F.sum(F.when(full, F.col("tokens"))).alias("full"), F.sum(F.when(~full, F.col("weight"))).alias("free")).first()
+        if not found["free"]:
+            return scale
+        fresh = (whole - (found["full"] or 0.0)) / found["free"]
+        if fresh <= scale * (1 + 1e-9):
+            return scale
+        scale = fresh
+
+
+def _goals(cells: DataFrame, targets: DataFrame, name: str, cell: str, whole: float) -> DataFrame:
+    """Tokens wanted of each value of one dimension: in proportion to its target, but no more than it has."""
+    wanted = targets.where(F.col("dimension") == name).groupBy(F.col("value").alias("_value")).agg(F.sum("share").alias("weight"))
+    has = cells.groupBy(F.col(cell).alias("_value")).agg(F.sum("most").alias("tokens"))
+    own = staged(wanted.join(has, "_value"), "mix-goals")
+    return own.select("_value", F.least(F.col("weight") * _scale(own, whole), "tokens").alias("_goal"))
+
+
+def _scaled(cells: DataFrame, goals: DataFrame, cell: str) -> DataFrame:
+    """The cells with weights scaled to the goals of one dimension; of a weight, ``most`` counts at most."""
+    now = cells.groupBy(F.col(cell).alias("_value")).agg(F.sum(F.least("weight", "most")).alias("_now"))
+    factor = now.join(goals, "_value").select("_value", (F.col("_goal") / F.col("_now")).alias("_factor"))
+    joined = cells.join(factor, F.col(cell) == F.col("_value")).drop("_value")
+    off = F.greatest("off", F.abs(F.col("_factor") - 1))
+    return joined.withColumns({"weight": F.col("weight") * F.col("_factor"), "off": off}).drop("_factor")
+
+
+def _wanted(targets: DataFrame) -> DataFrame:
+    return targets.select("dimension", "value", F.col("share").cast("double").alias("share")).where("share > 0")
+
+
+def rake(cells: DataFrame, targets: DataFrame, budget: float | None = None) -> DataFrame:
+    """Weights of the cells that are in the mix, whose sums by dimension have the target shares.
+
+    Without a budget they add up to all tokens.  With one they add up to that part of the tokens, and
+    of a cell's weight no more than its tokens counts.
+    """
+    whole = (cells.agg(F.sum("tokens")).first()[0] or 0.0) * (1.0 if budget is None else budget)
+    targets = _wanted(targets)
+    for name, cell in zip(DIMENSIONS, CELL):
+        values = targets.where(F.col("dimension") == name).select(F.col("value").alias(cell))
+        cells = cells.join(values, cell, "left_semi")
+    most = F.lit(float("inf")) if budget is None else F.col("tokens")
+    start = F.col("tokens") * (1.0 if budget is None else budget)
+    now = staged(cells.withColumns({"weight": start, "most": most}), "mix-cells")
+    goals = [_goals(now, targets, name, cell, whole) for name, cell in zip(DIMENSIONS, CELL)]
     for _ in range(MAX_SWEEPS):
         now = now.withColumn("off", F.lit(0.0))
-        for own, cell in zip(shares, CELL):
-            now = _scaled(now, own, cell, total)
+        for own, cell in zip(goals, CELL):
+            now = _scaled(now, own, cell)
         now = staged(now, "mix-cells")
         if (now.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
             break
-    return now.drop("off")
+    return now.select(*CELL, "tokens", "weight")
 
 
-def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
-    """The chance of a document of each cell to be kept."""
-    found = raked.agg(
-        F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight"), F.max(F.col("weight") / F.col("tokens")).alias("most")
-    ).first()
-    scale = min(budget * found["tokens"] / found["weight"], 1 / found["most"]) if found["weight"] else 0.0
-    return raked.select(*CELL, (F.col("weight") * scale / F.col("tokens")).alias("_mix_chance"))
+def chances(cells: DataFrame, targets: DataFrame, budget: float = BUDGET) -> DataFrame:
+    """Tokens of each cell in the mix, and the chance of its documents to be kept."""
+    raked = rake(cells, targets, budget)
+    scale = _scale(raked, budget * (cells.agg(F.sum("tokens")).first()[0] or 0.0))
+    chance = F.least(F.col("weight") * scale / F.col("tokens"), F.lit(1.0))
+    return staged(raked.select(*CELL, "tokens", chance.alias("_mix_chance")), "mix-chance")
+
+
+def shares(chance: DataFrame, targets: DataFrame) -> DataFrame:
+    """(dimension, value, target, share): the share of the kept tokens that each value in the mix is to have, and has."""
+    parts, wanted = None, _wanted(targets)
+    for name, cell in zip(DIMENSIONS, CELL):
+        own = chance.groupBy(F.col(cell).alias("value")).agg(F.sum(F.col("tokens") * F.col("_mix_chance")).alias("kept"))
+        goal = wanted.where(F.col("dimension") == name).groupBy("value").agg(F.sum("share").alias("goal"))
+        both = own.join(goal, "value").select(F.lit(name).alias("dimension"), "value", "goal", "kept")
+        parts = both if parts is None else parts.union(both)
+    sums = parts.groupBy("dimension").agg(F.sum("goal").alias("goals"), F.sum("kept").alias("whole"))
+    return parts.join(sums, "dimension").select(
+        "dimension", "value", (F.col("goal") / F.col("goals")).alias("target"), (F.col("kept") / F.col("whole")).alias("share")
+    )
 
 
 def mix(docs: DataFrame, targets: DataFrame | None = None, budget: float = BUDGET) -> DataFrame:
     """``docs`` with columns of cell, tokens, chance and draw; those with ``_mix_draw < _mix_chance`` are the sample."""
     docs = with_cell(docs)
     cells = staged(cell_tokens(docs), "mix-tokens")
-    raked = rake(cells, tempered(cells) if targets is None else targets)
-    chance = staged(probabilities(raked, budget), "mix-chance")
+    chance = chances(cells, tempered(cells) if targets is None else targets, budget).drop("tokens")
     return docs.join(chance, CELL, "left").withColumn("_mix_chance", F.coalesce("_mix_chance", F.lit(0.0)))
 
 

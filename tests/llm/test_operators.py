@@ -285,6 +285,24 @@ def test_raking_as_numpy_does(spark):
     assert np.allclose([got[k] for k in want], list(want.values()), rtol=1e-4)
 
 
+def test_a_rare_cell_does_not_lower_the_sample(spark):
+    from keyframe.llm import mixing
+
+    sizes = [("a", "en", 300, 400), ("b", "en", 300, 100), ("a", "fr", 300, 40), ("b", "fr", 300, 10), ("b", "xx", 30, 1)]
+    docs = spark.createDataFrame(
+        [(k * 1000 + d, " ".join(["word"] * n), lang, source) for k, (source, lang, n, many) in enumerate(sizes) for d in range(many)],
+        "doc_id long, text string, lang string, source string",
+    )
+    rows = mixing.mix(docs).select("lang", "source", "_mix_tokens", "_mix_chance").collect()
+    total = sum(r._mix_tokens for r in rows)
+    assert abs(sum(r._mix_tokens * r._mix_chance for r in rows) / total - mixing.BUDGET) < 1e-6
+    assert [r._mix_chance for r in rows if r.lang == "xx"] == [1.0]
+    cells = mixing.cell_tokens(mixing.with_cell(docs))
+    targets = mixing.tempered(cells)
+    for r in mixing.shares(mixing.chances(cells, targets), targets).collect():
+        assert abs(r.share - r.target) < 0.01 * r.target or r.value == "xx" and r.share < r.target, r
+
+
 @BOTH
 def test_removed_bytes(results, texts, at):
     bodies = [(d, (t or "").encode()) for d, t in texts(at)]
