@@ -342,3 +342,27 @@ def test_chains_prefer_order_and_short_gaps():
     other = np.array([100, 105, 110, 143, 148, 153, 10])
     best = chains(segments(at, other))[0]
     assert best == [(0, 16, -100), (40, 56, -103)]
+
+
+def test_an_insertion_does_not_hide_its_sides(spark):
+    from keyframe.llm.passages import passages
+
+    copied, added = [f"w{k}" for k in range(100)], [f"new{k}" for k in range(30)]
+    docs = [(1, " ".join(copied)), (2, " ".join(["x"] + copied[:50] + added + copied[50:] + ["y"]))]
+    got = passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(tuple(r)[:3] for r in got) == [(2, 1, 51), (2, 81, 131)]
+
+
+def test_stretches_of_a_chain_that_differs_too_much():
+    from keyframe.llm.passages import best_stretches
+    import numpy as np
+
+    same = np.array([True] * 50 + [False] * 18 + [True] * 20 + [False] * 18 + [True] * 9 + [False] + [True] * 9)
+    assert best_stretches(same) == [(0, 50), (68, 88), (106, 125)]
+
+
+def test_far_segments_do_not_hide_near_ones():
+    from keyframe.llm.passages import chains
+
+    near, last = (425, 440, 10), (450, 480, 10)
+    assert [near, last] in chains([(0, 300, 0), near, last])
