@@ -3,7 +3,7 @@
 Documents fall into cells of source, language and topic; topic is the layout of the text
 (``topic``).  Token weights of the cells are raked: each sweep scales them to the target shares of
 the sources, then of the languages, then of the topics, until no factor is further
-than ``TOLERANCE`` from 1 (or ``MAX_SWEEPS``).  A cell's documents are kept with probability
+than ``TOLERANCE`` from 1 (or, with a warning, ``MAX_SWEEPS``).  A cell's documents are kept with probability
 ``scale * raked weight / tokens``, or 1 if that is less; the scale is the one by which ``budget`` of
 all tokens are kept in expectation (all tokens in the mix, if they are fewer).
 
@@ -24,6 +24,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,10 +35,11 @@ DIMENSIONS = ("source", "lang", "topic")
 NONE = "(none)"
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 1.0}
 BUDGET = 0.5
-TOLERANCE = 1e-4
-MAX_SWEEPS = 15
+TOLERANCE = 1e-6
+MAX_SWEEPS = 30
 SEED = 17
 CELL = [f"_mix_{d}" for d in DIMENSIONS]
+LOG = logging.getLogger(__name__)
 
 
 def n_tokens(text: Column) -> Column:
@@ -143,8 +146,11 @@ def rake(cells: DataFrame, targets: DataFrame, budget: float | None = None) -> D
         for own, cell in zip(goals, CELL):
             now = _scaled(now, own, cell)
         now = staged(now, "mix-cells")
-        if (now.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
+        off = now.agg(F.max("off")).first()[0] or 0.0
+        if off <= TOLERANCE:
             break
+    else:
+        LOG.warning("Targets are not met together: after %d sweeps a factor is still %.3g from 1", MAX_SWEEPS, off)
     return now.select(*CELL, "tokens", "weight")
 
 

@@ -366,3 +366,13 @@ def test_far_segments_do_not_hide_near_ones():
 
     near, last = (425, 440, 10), (450, 480, 10)
     assert [near, last] in chains([(0, 300, 0), near, last])
+
+
+def test_targets_that_conflict_are_reported(spark, monkeypatch, caplog):
+    from keyframe.llm import mixing
+
+    monkeypatch.setattr(mixing, "MAX_SWEEPS", 2)
+    cells = spark.createDataFrame([("a", "x", "p", 10.0), ("b", "y", "p", 10.0)], f"{', '.join(c + ' string' for c in mixing.CELL)}, tokens double")
+    targets = [("source", "a", 0.9), ("source", "b", 0.1), ("lang", "x", 0.5), ("lang", "y", 0.5), ("topic", "p", 1.0)]
+    mixing.rake(cells, spark.createDataFrame(targets, "dimension string, value string, share double"))
+    assert "not met together: after 2 sweeps" in caplog.text
