@@ -1,7 +1,7 @@
 """The registered queries of this subpackage, and their SQL."""
 
 import corpus_pipeline
-from keyframe.llm import licenses, secrets
+from keyframe.llm import hard_negatives, licenses, secrets
 from keyframe.llm.decontaminate import op6_decontaminate
 from keyframe.llm.jaccard import op1_jaccard
 from keyframe.llm.language import op7_language
@@ -10,6 +10,8 @@ from keyframe.llm.passages import op2_passages
 from keyframe.llm.quality import op5_quality
 from keyframe.llm.suffix_dedup import op10_suffix_dedup
 from keyframe.llm.token_counts import op8_token_counts
+from keyframe.llm.toxicity import op12_toxicity
+from keyframe.llm.whitening import op13_whitening
 
 QUERIES = {
     "op1_jaccard": op1_jaccard,
@@ -22,7 +24,14 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op3_secrets": secrets.OP3_SQL, "op4_licenses": licenses.OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op3_secrets": secrets.OP3_SQL,
+    "op4_licenses": licenses.OP4_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+}

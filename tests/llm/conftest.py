@@ -14,6 +14,7 @@ def folder(spark, tmp_path_factory):
     spark.createDataFrame(
         [(0, 1, 0), (0, 1, 0), (2, None, 0), (None, 0, 0), (9, 0, None)], "doc_id long, quality int, toxic int"
     ).write.parquet(f"{path}/labels.parquet")
+    samples.awkward_vectors(spark).write.parquet(f"{path}/embeddings.parquet")
     return str(path)
 
 
@@ -24,6 +25,7 @@ def nothing(spark, tmp_path_factory):
     samples.empty(spark).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], samples.VECTOR_SCHEMA).write.parquet(f"{path}/embeddings.parquet")
     return str(path)
 
 

@@ -44,6 +44,46 @@ def awkward(spark):
     return spark.createDataFrame(rows(), SCHEMA)
 
 
+VECTOR_SCHEMA = "vec_id long, embedding array<float>, label int, group string, rank string, n string, whitened string"
+
+
+def vector_rows():
+    """Nulls in every column, non-finite entries, other lengths, zero vectors, ties and repeated rows."""
+    nan, inf = float("nan"), float("inf")
+    plain = [(k, [(k * 7 % 11) / 10, (k * 5 % 7) / 10 - 0.2, ((k // 3) % 4) / 4], k % 3) for k in range(98, 240)]
+    odd = [
+        (300, [0.0, 0.0, 0.0], 1), (301, [0.5, None, 0.5], 1), (302, [nan, 0.5, 0.5], 1), (303, [inf, 0.5, 0.5], 2), (304, None, 2),
+        (305, [], 0), (306, [0.5, 0.25], 0), (307, [0.5, 0.25, 0.1], None), (None, [0.5, 0.25, 0.1], 0), (400, [-0.5, -0.25, -0.9], 2),
+        (500, [0.3, 0.3, 0.3], 0), (500, [0.3, 0.3, 0.3], 0), (501, [0.3, 0.3, 0.3], 0), (700, [0.3, 0.3, 0.3], 1), (700, [0.4, 0.3, 0.3], 1),
+    ]
+    return plain + odd
+
+
+def awkward_vectors(spark):
+    return spark.createDataFrame([(*r, "a", "b", "c", "d") for r in vector_rows()], VECTOR_SCHEMA)
+
+
+def hard_negatives(rows, k=5):
+    """(anchor, positive, rank, negative, scores) by brute force."""
+    import math
+
+    best = {}
+    for i, v, y in rows:
+        if i is not None and y is not None and v is not None and all(c is not None and math.isfinite(c) for c in v):
+            label = (y + 1) % 10 if i % 7 == 0 else y
+            best[i] = min(best.get(i, (label, v)), (label, v))
+    whole = {i: (y, [math.floor(256 * c) for c in v]) for i, (y, v) in best.items()}
+    out = []
+    for a, (label, x) in whole.items():
+        if a % 100:
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(x, v)), i, y) for i, (y, v) in whole.items() if i != a)
+        for minus, p, _ in [s for s in scored if s[2] == label][:k]:
+            fits = [s for s in scored if s[2] != label and 80 * -minus <= -100 * s[0] <= -100 * minus]
+            out += [(a, p, n + 1, i, -minus, -s) for n, (s, i, _) in enumerate(fits[:k])]
+    return sorted(out)
+
+
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
