@@ -113,45 +113,84 @@ def _fast_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *cells) for seed in (0, 1)]
 
 
-def hash_groups(
-    df: DataFrame,
-    keys: Sequence[Column],
-    columns: Sequence[str],
-    hash_col: str,
-    algorithm: str = DEFAULT_ALGORITHM,
-) -> DataFrame:
-    """``keys`` and the content hash of the named columns, per group.
+# What is added up for each group: its rows, and two 60-bit slices of the row hashes.  60 bits are summed as
+# three pieces of 20, which leaves room for 2**43 rows in a group and is several times faster than decimal sums.
+ROWS_COL = "__rows"
+PIECE_COLS = tuple(f"__{k}_{n}" for k in range(2) for n in range(3))
+SUM_COLS = (ROWS_COL, *PIECE_COLS)
 
-    The column names are part of the hash: renaming a column changes the content.
-    """
+
+def _require_algorithm(algorithm: str) -> None:
     if algorithm not in ALGORITHMS:
         raise ValueError(f"Unknown hash algorithm '{algorithm}', use one of {', '.join(ALGORITHMS)}")
+
+
+def sum_groups(
+    df: DataFrame, keys: Sequence[Column], columns: Sequence[str], algorithm: str = DEFAULT_ALGORITHM
+) -> DataFrame:
+    """``keys`` and the sums (``SUM_COLS``) of the row hashes of the named columns, per group.
+
+    Sums of disjoint sets of rows add up to those of all of them (:func:`add_sums`), so the
+    hash of a group follows its changes without its rows.
+    """
+    _require_algorithm(algorithm)
     # Digests and slices are columns of their own, so that each is computed once.
     if algorithm == "xxhash64":
-        digest, slices = F.md5, _fast_hashes(df, columns)
+        slices = _fast_hashes(df, columns)
         rows = df.select(*keys, *[h.alias(f"__{k}") for k, h in enumerate(slices)])
         names = rows.columns[:-2]
     else:
-        digest = ALGORITHMS[algorithm]
-        rows = df.select(*keys, digest(row_text(df, columns)).alias("__digest"))
+        rows = df.select(*keys, ALGORITHMS[algorithm](row_text(df, columns)).alias("__digest"))
         names = rows.columns[:-1]
         slices = [F.conv(F.substring("__digest", s, 15), 16, 10).cast("bigint") for s in (1, 16)]
         rows = rows.select(
             *[F.col(f"`{n}`") for n in names], *[s.alias(f"__{k}") for k, s in enumerate(slices)]
         )
-    # 60 bits are summed as three pieces of 20, which leaves room for 2**43 rows in
-    # a group and is several times faster than decimal sums.
-    pieces = {
-        f"__{k}_{n}": F.sum(F.shiftright(f"__{k}", 20 * n).bitwiseAND(2**20 - 1))
-        for k in range(2)
-        for n in range(3)
-    }
-    sums = rows.groupBy(*[F.col(f"`{n}`") for n in names]).agg(
-        F.count(F.lit(1)).alias("__rows"), *[total.alias(piece) for piece, total in pieces.items()]
-    )
+    pieces = [
+        F.sum(F.shiftright(f"__{k}", 20 * n).bitwiseAND(2**20 - 1)).alias(f"__{k}_{n}") for k in range(2) for n in range(3)
+    ]
+    grouped = rows.groupBy(*[F.col(f"`{n}`") for n in names])
+    return grouped.agg(F.count(F.lit(1)).alias(ROWS_COL), *pieces)
+
+
+def add_sums(added: Sequence[DataFrame], removed: Sequence[DataFrame] = ()) -> DataFrame:
+    """The sums of the rows of ``added`` frames of :func:`sum_groups` without those of ``removed`` ones.
+
+    Groups without any row left are gone.
+    """
+    signed = [f.withColumns({c: F.col(c) * F.lit(sign) for c in SUM_COLS}) for sign, fs in ((1, added), (-1, removed)) for f in fs]
+    union = signed[0]
+    for frame in signed[1:]:
+        union = union.unionByName(frame)
+    names = [F.col(f"`{c}`") for c in union.columns if c not in SUM_COLS]
+    total = union.groupBy(*names).agg(*[F.sum(c).alias(c) for c in SUM_COLS])
+    return total.filter(F.col(ROWS_COL) != 0)
+
+
+def digest_sums(
+    sums: DataFrame, columns: Sequence[str], hash_col: str, algorithm: str = DEFAULT_ALGORITHM
+) -> DataFrame:
+    """Sums of groups as hashes: the other columns of ``sums`` and ``hash_col``.
+
+    The column names are part of the hash: renaming a column changes the content.
+    """
+    _require_algorithm(algorithm)
     totals = []
     for k in range(2):
         parts = [F.col(f"__{k}_{n}").cast("decimal(20,0)") * F.lit(Decimal(2 ** (20 * n))) for n in range(3)]
         totals.append((parts[0] + parts[1] + parts[2]).cast("string"))
-    text = F.concat_ws(":", F.lit(",".join(sorted(columns))), F.col("__rows").cast("string"), *totals)
-    return sums.select(*[F.col(f"`{n}`") for n in names], digest(text).alias(hash_col))
+    text = F.concat_ws(":", F.lit(",".join(sorted(columns))), F.col(ROWS_COL).cast("string"), *totals)
+    digest = ALGORITHMS[algorithm] or F.md5
+    names = [F.col(f"`{c}`") for c in sums.columns if c not in SUM_COLS]
+    return sums.select(*names, digest(text).alias(hash_col))
+
+
+def hash_groups(
+    df: DataFrame,
+    keys: Sequence[Column],
+    columns: Sequence[str],
+    hash_col: str,
+    algorithm: str = DEFAULT_ALGORITHM,
+) -> DataFrame:
+    """``keys`` and the content hash of the named columns, per group."""
+    return digest_sums(sum_groups(df, keys, columns, algorithm), columns, hash_col, algorithm)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keyframe.model import KeyModel
@@ -99,6 +99,24 @@ def require_primary_key(df: DataFrame, table: str, key: Sequence[str]) -> None:
     )
 
 
+def key_problems(df: DataFrame, keys: Sequence[Sequence[str]], *, optional: int) -> DataFrame:
+    """(key, rows) of NULL or repeated values of several keys, by their number, all found in one pass and one shuffle.
+
+    Keys from number ``optional`` on may be NULL.
+    """
+    entries = [
+        F.struct(
+            F.lit(n).alias("key"),
+            F.to_json(F.struct(*[F.col(f"`{c}`") for c in key])).alias("value"),
+            reduce(Column.__or__, [F.col(f"`{c}`").isNull() for c in key]).alias("missing"),
+        )
+        for n, key in enumerate(keys)
+    ]
+    each = df.select(F.inline(F.array(*entries))).filter((F.col("key") < optional) | ~F.col("missing"))
+    counted = each.groupBy("key", "value", "missing").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("missing") | (F.col("rows") > 1)).select("key", "rows")
+
+
 def foreign_key_violations(
     df: DataFrame,
     table: str,
@@ -128,6 +146,41 @@ def foreign_key_violations(
     return bad.select(problem.alias("problem"), "column", "parent", "value", "rows")
 
 
+def observe_foreign_keys(
+    df: DataFrame,
+    table: str,
+    model: KeyModel,
+    dims: Dimensions,
+    *,
+    readable: Mapping[str, str] | None = None,
+    not_null: bool = True,
+) -> tuple[DataFrame, Observation | None]:
+    """``df`` as it is, and an observation that counts rows with a bad foreign key, by column.
+
+    The counts are there after the first job that computes ``df`` (:meth:`Observation.get`), so a check costs
+    no pass of its own; :func:`foreign_key_violations` needs to run only if one is above zero.  Columns in
+    ``readable`` were encoded by a lookup, so NULL is all that can be wrong with them; the parents of others are
+    looked up beside.  None without foreign keys.
+    """
+    readable = readable or {}
+    keys = present_keys(df, table, model)
+    if not keys:
+        return df, None
+    looked_up, counts = df, []
+    for n, fk in enumerate(keys):
+        column = F.col(f"`{fk.column}`")
+        bad = column.isNull()
+        if fk.column not in readable:
+            parent = F.col(f"`{fk.parent_key}`")
+            known = dims[fk.parent].select(parent.alias(f"__parent_{n}")).where(parent.isNotNull()).distinct()
+            looked_up = looked_up.join(known, column == F.col(f"__parent_{n}"), "left")
+            orphan = column.isNotNull() & F.col(f"__parent_{n}").isNull()
+            bad = (bad | orphan) if not_null else orphan
+        counts.append(F.count_if(bad).alias(fk.column))
+    seen = Observation(f"foreign keys of {table}")
+    return looked_up.observe(seen, *counts).select(*[F.col(f"`{c}`") for c in df.columns]), seen
+
+
 def require_foreign_keys(df: DataFrame, table: str, model: KeyModel, dims: Dimensions, **options) -> None:
     """Raise unless :func:`foreign_key_violations` is empty; all kinds of problems are named."""
     report = foreign_key_violations(df, table, model, dims, **options)

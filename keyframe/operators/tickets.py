@@ -115,6 +115,32 @@ def hash_groups(
     return fingerprint.hash_groups(df, keys, nested, hash_col, algorithm)
 
 
+def sum_rows(
+    df: DataFrame, kept: Sequence[str], *, algorithm: str = fingerprint.DEFAULT_ALGORITHM
+) -> DataFrame:
+    """What a ticket of ``df`` hashes for given group columns, before it is hashed: additive sums per group."""
+    nested = [c for c in df.columns if c not in kept]
+    # Without group columns a constant makes the group, as in hash_groups: an empty frame has none.
+    keys = [F.lit(True).alias("__all"), *[F.col(f"`{c}`") for c in kept]]
+    return fingerprint.sum_groups(df, keys, nested, algorithm).drop("__all")
+
+
+def ticket_of_sums(
+    sums: DataFrame,
+    table: str,
+    columns: Sequence[str],
+    *,
+    algorithm: str = fingerprint.DEFAULT_ALGORITHM,
+    table_col: str = TABLE_NAME_COL,
+    hash_col: str = HASH_COL,
+) -> DataFrame:
+    """The ticket of a table with these ``columns`` whose groups have these sums; equal to :func:`hash_groups`."""
+    kept = [c for c in sums.columns if c not in fingerprint.SUM_COLS]
+    nested = [c for c in columns if c not in kept]
+    hashed = fingerprint.digest_sums(sums, nested, hash_col, algorithm)
+    return hashed.select(F.lit(table).alias(table_col), "*")
+
+
 def ticket_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows of ``expected`` that ``actual`` lacks: empty when all content is as hashed."""
     on = [expected[c].eqNullSafe(actual[c]) for c in expected.columns]

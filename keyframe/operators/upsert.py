@@ -3,12 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyframe.operators.constraints import require_primary_key
 
+
+@dataclass(frozen=True)
+class Merge:
+    """An upsert in its parts, all lazy.
+
+    ``target`` is cut down to what may hold rows of the source, ``keys`` are the keys of the source, and
+    ``fresh`` its rows in the columns of the target.
+    """
+
+    target: DataFrame
+    keys: DataFrame
+    fresh: DataFrame
+
+    @property
+    def kept(self) -> DataFrame:
+        """Rows of the target that stay as they are."""
+        return self.target.join(self.keys, self.keys.columns, "left_anti").select(*_columns(self.target))
+
+    @property
+    def replaced(self) -> DataFrame:
+        """Rows of the target that the fresh ones replace."""
+        return self.target.join(self.keys, self.keys.columns, "left_semi").select(*_columns(self.target))
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.kept.unionByName(self.fresh)
+
+
+def _columns(df: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
@@ -33,6 +66,21 @@ def merge_rows(
     result holds just the partitions in which the source has rows; up to
     ``listed_partitions`` of them are named one by one in the scan.
     """
+    options = {"check_source": check_source, "partitions": partitions, "listed_partitions": listed_partitions}
+    return plan_merge(target, source, key, **options).rows
+
+
+def plan_merge(
+    target: DataFrame,
+    source: DataFrame,
+    key: Sequence[str],
+    *,
+    check_source: bool = True,
+    partitions: Sequence[str] = (),
+    listed_partitions: int = 5_000,
+    replaced: DataFrame | None = None,
+) -> Merge:
+    """:func:`merge_rows` in its parts.  ``replaced``, if the caller has it at hand, saves a look at the target."""
     key = list(key)
     unknown = [c for c in source.columns if c not in target.columns]
     if unknown:
@@ -51,14 +99,13 @@ def merge_rows(
         if outside:
             raise ValueError(f"Partition columns {outside} are not part of the primary key {key}")
         target = _in_touched_partitions(target, keys, list(partitions), listed_partitions)
-    kept = target.join(keys, key, "left_anti").select(*[F.col(f"`{c}`") for c in target.columns])
     lacking = [c for c in target.columns if c not in source.columns]
     if lacking:
         # Fill the columns the source lacks from the rows it updates; at most as
         # many of these as the source has rows.
-        old = target.select(*[F.col(f"`{c}`") for c in (*key, *lacking)]).join(keys, key, "left_semi")
-        source = source.join(old, key, "left")
-    return kept.unionByName(source.select(*[F.col(f"`{c}`") for c in target.columns]))
+        old = (target if replaced is None else replaced).select(*[F.col(f"`{c}`") for c in (*key, *lacking)])
+        source = source.join(old if replaced is not None else old.join(keys, key, "left_semi"), key, "left")
+    return Merge(target, keys, source.select(*_columns(target)))
 
 
 def _in_touched_partitions(

@@ -124,3 +124,22 @@ def compress_versions(
         .agg(F.min(start).alias(from_col), F.max(end).alias(to_col))
     )
     return merged.select(*names)
+
+
+def same_but_version(
+    df: DataFrame, others: DataFrame, *, from_col: str = VALID_FROM_COL, to_col: str = VALID_TO_COL
+) -> DataFrame:
+    """Rows of ``df`` that equal some row of ``others`` in all but the version columns; NULLs compare equal.
+
+    Rows meet by one 64-bit fingerprint of those columns, and the columns themselves decide.
+    """
+    names = [c for c in df.columns if c not in (from_col, to_col)]
+
+    def print_of(frame: DataFrame):
+        # NULLs are passed over by the hash; the comparison after it tells them apart.
+        return F.xxhash64(*[F.col(f"`{c}`") for c in names]) if names else F.lit(0)
+
+    groups = others.select(*[F.col(f"`{c}`").cast(df.schema[c].dataType).alias(c) for c in names]).distinct()
+    groups = groups.select(print_of(groups).alias("__print"), *[F.col(f"`{c}`").alias(f"__{c}") for c in names])
+    on = [F.col("__own") == F.col("__print"), *[F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in names]]
+    return df.withColumn("__own", print_of(df)).join(groups, on, "left_semi").drop("__own")

@@ -21,7 +21,12 @@ from keyframe.names import (
     VALID_TO_COL,
     YEAR_COL,
 )
-from keyframe.operators.constraints import require_empty, require_foreign_keys, require_primary_key
+from keyframe.operators.constraints import (
+    observe_foreign_keys,
+    require_empty,
+    require_foreign_keys,
+    require_primary_key,
+)
 from keyframe.operators.filters import drop_task_group, keep_values
 from keyframe.operators.keys import (
     Dimensions,
@@ -33,8 +38,9 @@ from keyframe.operators.keys import (
 )
 from keyframe.operators.matrix import IndexMap, encode_matrices, matrix_columns
 from keyframe.operators.tickets import ticket
-from keyframe.operators.upsert import merge_rows
-from keyframe.operators.versions import compress_versions
+from keyframe.operators.upsert import Merge, merge_rows, plan_merge
+from keyframe.operators.versions import compress_versions, same_but_version
+from keyframe.plans.ledger import Change, keep_ledger
 from keyframe.sources.storage import stage, staged
 from keyframe.sources.warehouse import Warehouse
 
@@ -95,14 +101,17 @@ def upsert(
     that vary before the pass for single-valued columns.  Without ``in_place`` nothing is written
     and ``Written.table`` is the lazy result.  With
     ``compress`` the whole table is compressed by version after the upsert, with
-    ``compress="touched"`` only the partitions the rows fall into.
+    ``compress="touched"`` only the partitions the rows fall into, and with ``compress="groups"``
+    only the rows that equal a new one in all but their versions: in a table that was compressed
+    before, that is all there is to compress.
 
     In place, the rows are staged once, checked against the primary key and the
-    foreign keys, and merged.  A partitioned table is rewritten only where the
-    rows fall, unless the whole table is compressed.
+    foreign keys, and merged.  Bad foreign keys are counted while the rows are staged, so a sound
+    upsert has no further job for them.  A partitioned or bucketed table is rewritten only where the
+    rows fall, unless the whole table is compressed.  A ledger of the table follows.
     """
-    if compress not in (False, True, "touched"):
-        raise ValueError(f"compress must be True, False or 'touched', not {compress!r}")
+    if compress not in (False, True, "touched", "groups"):
+        raise ValueError(f"compress must be True, False, 'touched' or 'groups', not {compress!r}")
     table = table or _only_table_name(df)
     if compress:
         _require_not_by_version(store, table, from_col, to_col)
@@ -131,9 +140,13 @@ def upsert(
             encoded = encode_keys(encoded, table, model, dims)
         if round_doubles:
             encoded = round_double_cols(encoded, digits)
-        merged = merge_rows(store[table], encoded, key)
-        if compress:
-            merged = compress_versions(merged, from_col=from_col, to_col=to_col)
+        if compress == "groups":
+            change = _in_groups(plan_merge(store[table], encoded, key), from_col, to_col)
+            merged = change.kept.unionByName(change.fresh)
+        else:
+            merged = merge_rows(store[table], encoded, key)
+            if compress:
+                merged = compress_versions(merged, from_col=from_col, to_col=to_col)
         hashed = round_double_cols(rows, digits) if round_doubles and hash_rounded else rows
         return Written(merged, ticket(hashed, table, **grouping))
 
@@ -142,27 +155,77 @@ def upsert(
     readable = {fk.column: f"__{fk.column}" for fk in to_encode(rows, table, model)} if encode else {}
     both = rows.withColumns({copy: F.col(f"`{c}`") for c, copy in readable.items()})
     both = encode_keys(both, table, model, dims, check="none") if encode else both
+    checks = {"readable": readable, "not_null": store.keys_not_null(table)}
+    both, seen = observe_foreign_keys(both, table, model, dims, **checks)
     with staged(both, table) as both:
         rows = both.select(*[F.col(f"`{readable.get(c, c)}`").alias(c) for c in rows.columns])
         encoded = drop_task_group(both.drop(*readable.values()))
         if round_doubles:
             encoded = round_double_cols(encoded, digits)
         # Foreign keys first: an unmatched value is NULL by now, also in a primary key.
-        require_foreign_keys(
-            both, table, model, dims, readable=readable, not_null=store.keys_not_null(table)
-        )
+        if seen and any(seen.get.values()):
+            require_foreign_keys(both, table, model, dims, **checks)
         require_primary_key(encoded, table, key)
-        parts = () if compress is True else store.partition_columns(table)
-        merged = merge_rows(store[table], encoded, key, check_source=False, partitions=parts)
-        if compress:
-            merged = compress_versions(merged, from_col=from_col, to_col=to_col)
-        store.replace(table, merged)
+        _merge_into(store, table, encoded, key, compress, from_col, to_col)
         hashed = round_double_cols(rows, digits) if round_doubles and hash_rounded else rows
         # The ticket is small and is written once; the staged rows go.
         receipt = stage(ticket(hashed, table, probe_rows=probe_rows, **grouping), "ticket")
     return Written(store[table], receipt)
 
 
+def _in_groups(merge: Merge, from_col: str, to_col: str) -> Merge:
+    """The merge with its fresh rows compressed together with the rows of their groups, which are replaced too."""
+    near = same_but_version(merge.kept, merge.fresh, from_col=from_col, to_col=to_col)
+    both = compress_versions(near.unionByName(merge.fresh), from_col=from_col, to_col=to_col)
+    gone = merge.keys.unionByName(near.select(*merge.keys.columns))
+    return Merge(merge.target, gone, both)
+
+
+def _merge_into(
+    store: Warehouse,
+    table: str,
+    rows: DataFrame,
+    key: Sequence[str],
+    compress: bool | str,
+    from_col: str,
+    to_col: str,
+) -> None:
+    """Write an upsert of sound rows, as little of the table as it touches."""
+    change, whole = Change(store, table), compress is True
+    parts = () if whole else store.partition_columns(table)
+    buckets = 0 if compress in (True, "touched") else store.buckets(table)
+    merge = plan_merge(store[table], rows, key, check_source=False, partitions=parts)
+    if not compress and not buckets and not change:
+        return store.replace(table, merge.rows)
+    if compress in (True, "touched"):
+        merged = compress_versions(merge.rows, from_col=from_col, to_col=to_col)
+        store.replace(table, merged)
+        if change:
+            # All or whole partitions were written anew anyway.
+            keep_ledger(store, table, usual=None, additional=change.note["kept"], algorithm=change.note["algorithm"])
+        return None
+    if compress == "groups":
+        merge = _in_groups(merge, from_col, to_col)
+    elif buckets:
+        merge = plan_merge(store.in_buckets(table, store.bucket_ids(table, merge.keys)), rows, key, check_source=False)
+    # What goes and what comes is written down first: the ledger, the buckets and the merge all need it.
+    with staged(merge.replaced, f"{table}-replaced") as replaced:
+        if compress != "groups":
+            merge = plan_merge(merge.target, rows, key, check_source=False, replaced=replaced)
+        with staged(merge.fresh, f"{table}-fresh") as fresh:
+            columns = [F.col(f"`{c}`") for c in key]
+            gone = replaced.select(*columns).unionByName(fresh.select(*columns)).distinct()
+            change.prepare(fresh, replaced)
+            if buckets:
+                ids = store.bucket_ids(table, gone)
+                done = Merge(store.in_buckets(table, ids), gone, fresh)
+                store.replace_buckets(table, done.rows, ids)
+            else:
+                store.replace(table, Merge(merge.target, gone, fresh).rows)
+            change.commit()
+    return None
+
+
 def compress_table(
     store: Warehouse,
     table: str,
@@ -173,8 +236,11 @@ def compress_table(
 ) -> None:
     """Merge equal rows of a stored table across versions."""
     _require_not_by_version(store, table, from_col, to_col)
+    change = Change(store, table)
     merged = compress_versions(store[table], from_col=from_col, to_col=to_col, bridge_gaps=bridge_gaps)
     store.replace(table, merged)
+    if change:
+        keep_ledger(store, table, usual=None, additional=change.note["kept"], algorithm=change.note["algorithm"])
 
 
 def filter_copy(
@@ -224,6 +290,9 @@ def filter_copy(
     if not in_place:
         result = rows if empty_dest else store[dest].unionByName(rows)
     else:
+        change = Change(store, dest)
+        aligned = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in store[dest].schema.fields])
+        change.prepare(aligned, whole=empty_dest)
         if empty_dest:
             store.refill(dest, rows)
         else:
@@ -232,6 +301,7 @@ def filter_copy(
                 taken = store[dest].select(*key)
                 require_empty(rows.select(*key).join(taken, key, "left_semi"), f"Keys already in '{dest}'")
             store.append(dest, rows)
+        change.commit()
         result = store[dest]
     receipt = ticket(
         result,

@@ -72,6 +72,34 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file that the driver keeps notes in."""
+    fs, file = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file under another name first, so that it is there as a whole or not at all."""
+    fs, draft = _file_system(spark, f"{path}.draft")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    move(spark, f"{path}.draft", path)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; nothing happens if that is done already."""
+    fs, old = _file_system(spark, source)
+    if fs.exists(old) and not fs.rename(old, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"Cannot rename {source} to {target}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _file_system(spark, path)
     fs.delete(folder, True)

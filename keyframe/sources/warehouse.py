@@ -7,12 +7,14 @@ A table is replaced by writing a new folder and pointing the catalog entry at it
 (``ALTER TABLE ... SET LOCATION``): a plan may read the table it replaces, readers
 see the old rows or the new ones, and a failed write changes nothing.  A
 partitioned table is instead replaced partition by partition, so that an upsert
-rewrites no more than the partitions it touches.
+rewrites no more than the partitions it touches.  A bucketed table is replaced bucket
+by bucket: files of untouched buckets stay, and joins on the primary key do not move its rows.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from datetime import datetime, timezone
@@ -24,16 +26,21 @@ from keyframe.model import ForeignKey, KeyModel
 from keyframe.operators.constraints import (
     duplicate_keys,
     foreign_key_nulls,
+    key_problems,
     require_empty,
     require_foreign_keys,
     require_primary_key,
 )
 from keyframe.operators.upsert import merge_rows
-from keyframe.sources.storage import delete_folder, list_names
+from keyframe.sources.storage import delete_folder, exists, list_names, move, read_text, staged, write_text
 
-_NAME, _KEY, _FOREIGN, _NOT_NULL, _PARTITIONS = (
-    f"keyframe.{p}" for p in ("name", "primary_key", "foreign_keys", "not_null", "partitions")
+_NAME, _KEY, _FOREIGN, _NOT_NULL, _PARTITIONS, _BUCKETS, _LEDGER = (
+    f"keyframe.{p}" for p in ("name", "primary_key", "foreign_keys", "not_null", "partitions", "buckets", "ledger")
 )
+# Spark ends the names of a bucket's files with the bucket's number.
+_BUCKET_OF = re.compile(r"_(\d+)(?:\..*)?$")
+# Says which files replace which, while buckets are exchanged; readers pass over names with an underscore.
+_SWAP = "_swap.json"
 # Kept with a partitioned table, so that no setting of the session changes while it is written.
 _BY_PARTITION = "OPTIONS (partitionOverwriteMode 'dynamic')"
 
@@ -46,6 +53,10 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _clustered(key: Sequence[str], buckets: int) -> str:
+    return f"CLUSTERED BY ({', '.join(map(_quoted, key))}) INTO {buckets} BUCKETS"
+
+
 class Warehouse(Mapping[str, DataFrame]):
     """The tables of one database, by name, as lazy DataFrames."""
 
@@ -101,6 +112,13 @@ class Warehouse(Mapping[str, DataFrame]):
     def partition_columns(self, table: str) -> list[str]:
         return json.loads(self._properties(table).get(_PARTITIONS, "[]"))
 
+    def buckets(self, table: str) -> int:
+        """Into how many buckets of its primary key a table is dealt, 0 if it is not."""
+        return int(self._properties(table).get(_BUCKETS, "0"))
+
+    def primary_key(self, table: str) -> tuple[str, ...]:
+        return tuple(json.loads(self._properties(table).get(_KEY, "[]")))
+
     def keys_not_null(self, table: str) -> bool:
         """Whether the foreign-key columns of ``table`` must not be NULL."""
         return self._properties(table).get(_NOT_NULL) == "true"
@@ -112,17 +130,21 @@ class Warehouse(Mapping[str, DataFrame]):
         model: KeyModel,
         *,
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        bucket_by: Mapping[str, int] | None = None,
         not_null_keys: bool = True,
         replace: bool = False,
     ) -> None:
         """Create an empty typed table for every table of the model.
 
         ``partition_by`` names partition columns per table; they must be part of
-        the primary key.  ``replace`` drops tables of the same name first.
+        the primary key.  ``bucket_by`` says into how many buckets of its primary key a
+        table without partitions is dealt.  ``replace`` drops tables of the same name first.
         """
-        partition_by = partition_by or {}
+        partition_by, bucket_by = partition_by or {}, bucket_by or {}
         for table, struct in model.structs.items():
-            parts = list(partition_by.get(table, ()))
+            parts, buckets = list(partition_by.get(table, ())), bucket_by.get(table, 0)
+            if buckets and (parts or not model.primary_keys.get(table)):
+                raise ValueError(f"Buckets need a primary key and no partitions, not so in '{table}'")
             if any(c not in model.primary_keys.get(table, ()) for c in parts):
                 raise ValueError(f"Partition columns {parts} must be in the primary key of '{table}'")
             foreign = [
@@ -134,6 +156,7 @@ class Warehouse(Mapping[str, DataFrame]):
                 _FOREIGN: json.dumps(foreign),
                 _NOT_NULL: json.dumps(not_null_keys),
                 _PARTITIONS: json.dumps(parts),
+                _BUCKETS: str(buckets),
             }
             columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in struct.fields)
             listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
@@ -143,6 +166,8 @@ class Warehouse(Mapping[str, DataFrame]):
                 place = f"{_BY_PARTITION} PARTITIONED BY ({', '.join(map(_quoted, parts))})"
             else:
                 place = f"LOCATION {_literal(self._new_folder(table))}"
+            if buckets:
+                place = f"{_clustered(model.primary_keys[table], buckets)} {place}"
             self.spark.sql(
                 f"CREATE TABLE {self._id(table)} ({columns}) USING parquet {place} TBLPROPERTIES ({listed})"
             )
@@ -164,6 +189,7 @@ class Warehouse(Mapping[str, DataFrame]):
         dimensions: Mapping[str, DataFrame],
         *,
         partition_by: Mapping[str, Sequence[str]] | None = None,
+        bucket_by: Mapping[str, int] | None = None,
         not_null_keys: bool = True,
         replace: bool = False,
     ) -> None:
@@ -174,7 +200,8 @@ class Warehouse(Mapping[str, DataFrame]):
         """
         for name in dimensions:
             model.primary_key(name)
-        self.create(model, partition_by=partition_by, not_null_keys=not_null_keys, replace=replace)
+        options = {"partition_by": partition_by, "bucket_by": bucket_by}
+        self.create(model, not_null_keys=not_null_keys, replace=replace, **options)
         for name, rows in dimensions.items():
             self._fill_dimension(name, rows, model)
         for name in dimensions:
@@ -192,8 +219,7 @@ class Warehouse(Mapping[str, DataFrame]):
         unknown = [c for c in rows.columns if c not in {f.name for f in fields}]
         if unknown:
             raise ValueError(f"Columns {unknown} do not exist in table '{table}'")
-        require_primary_key(rows, table, model.primary_key(table))
-        self._require_distinct_values(table, rows)
+        self._require_sound_dimension(table, rows, model)
         lacking = {f.name: F.lit(None) for f in fields if f.name not in rows.columns}
         self.replace(table, rows.withColumns(lacking) if lacking else rows)
 
@@ -201,14 +227,27 @@ class Warehouse(Mapping[str, DataFrame]):
         key = model.primary_key(table)
         require_primary_key(rows, table, key)
         merged = merge_rows(self[table], rows, key, check_source=False)
-        self._require_distinct_values(table, merged)
+        # Tables of other models may refer to the dimension too.
+        self._require_distinct_values(table, merged, self.model())
         self.replace(table, merged)
 
-    def _require_distinct_values(self, table: str, rows: DataFrame) -> None:
+    def _readable_values(self, table: str, rows: DataFrame, model: KeyModel) -> list[str]:
+        return sorted({fk.parent_value for fk in model.foreign_keys if fk.parent == table} & set(rows.columns))
+
+    def _require_sound_dimension(self, table: str, rows: DataFrame, model: KeyModel) -> None:
+        """Refuse NULL and repeated keys and repeated readable values; all are looked for in one pass.
+
+        Only when there is one, the reports that name them run.
+        """
+        values = self._readable_values(table, rows, model)
+        problem = key_problems(rows, [model.primary_key(table), *([v] for v in values)], optional=1)
+        if not problem.isEmpty():
+            require_primary_key(rows, table, model.primary_key(table))
+            self._require_distinct_values(table, rows, model)
+
+    def _require_distinct_values(self, table: str, rows: DataFrame, model: KeyModel) -> None:
         """Refuse a readable value that two keys have: a lookup by it would multiply rows."""
-        model = self.model()
-        values = {fk.parent_value for fk in model.foreign_keys if fk.parent == table}
-        for value in sorted(values & set(rows.columns)):
+        for value in self._readable_values(table, rows, model):
             twice = duplicate_keys(rows.filter(F.col(f"`{value}`").isNotNull()), [value])
             require_empty(twice, f"Values of '{table}.{value}' that stand for several keys")
 
@@ -228,6 +267,19 @@ class Warehouse(Mapping[str, DataFrame]):
             *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self[table].schema.fields]
         )
 
+    def _location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}").collect()
+        return next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
+
+    def _prepare_write(self, table: str) -> dict[str, str]:
+        """Properties of a table whose rows are about to change: a ledger would be wrong from now on."""
+        properties = self._properties(table)
+        if _LEDGER in properties:
+            self.spark.sql(f"ALTER TABLE {self._id(table)} UNSET TBLPROPERTIES ({_literal(_LEDGER)})")
+        if properties.get(_BUCKETS, "0") != "0":
+            self.finish_swap(table)
+        return properties
+
     def replace(self, table: str, df: DataFrame) -> None:
         """Replace the rows of ``table`` by ``df``, which may read the table itself.
 
@@ -235,46 +287,114 @@ class Warehouse(Mapping[str, DataFrame]):
         and the others stay.  Rows are first regrouped by partition, where adaptive
         execution splits a partition with very many rows over several tasks.
         """
-        parts = self.partition_columns(table)
+        parts = json.loads(self._prepare_write(table).get(_PARTITIONS, "[]"))
         df = self._aligned(table, df)
         if parts:
             df.hint("rebalance", *parts).write.insertInto(self._id(table), overwrite=True)
         else:
-            folder = self._new_folder(table)
-            df.write.parquet(folder)
+            folder = self._write_folder(table, df)
             self.spark.sql(f"ALTER TABLE {self._id(table)} SET LOCATION {_literal(folder)}")
         self.spark.catalog.refreshTable(self._id(table))
 
+    def _write_folder(self, table: str, df: DataFrame) -> str:
+        """``df`` in a new folder of the table, dealt into its buckets if it has any."""
+        folder, buckets = self._new_folder(table), self.buckets(table)
+        if not buckets:
+            df.write.parquet(folder)
+            return folder
+        key = self.primary_key(table)
+        # Rows are only written in buckets through a table; this one goes again, its files stay.
+        name = f"{_quoted(self.database)}.{_quoted('new_' + uuid.uuid4().hex)}"
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in self[table].schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet {_clustered(key, buckets)} LOCATION {_literal(folder)}"
+        )
+        try:
+            df.repartition(buckets, *[F.col(f"`{c}`") for c in key]).write.insertInto(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+        return folder
+
+    def bucket_ids(self, table: str, keys: DataFrame) -> list[int]:
+        """The buckets that rows with these primary keys belong to; at most as many as the table has."""
+        # The rule by which Spark deals rows into buckets.
+        cells = [F.col(f"`{c}`").cast(self[table].schema[c].dataType) for c in self.primary_key(table)]
+        bucket = F.pmod(F.hash(*cells), F.lit(self.buckets(table))).alias("bucket")
+        return sorted(r["bucket"] for r in keys.select(bucket).distinct().collect())
+
+    def in_buckets(self, table: str, ids: Sequence[int]) -> DataFrame:
+        """The rows of some buckets.  Spark lists and reads their files only, and still knows how they are dealt."""
+        self.finish_swap(table)
+        if len(ids) == self.buckets(table):
+            return self[table]
+        names = self._bucket_files(self._location(table), ids)
+        return self[table].filter(F.col("_metadata.file_name").isin(names))
+
+    def _bucket_files(self, folder: str, ids: Sequence[int]) -> list[str]:
+        found = ((n, _BUCKET_OF.search(n)) for n in list_names(self.spark, folder))
+        return [n for n, bucket in found if bucket and int(bucket[1]) in set(ids)]
+
+    def replace_buckets(self, table: str, df: DataFrame, ids: Sequence[int]) -> None:
+        """Replace the rows of some buckets by ``df``, which may read them; all other files stay as they are.
+
+        New files are written first and then exchanged for the old ones.  What is to be exchanged is noted
+        before, so that the next write completes an exchange that was broken off (:meth:`finish_swap`).
+        """
+        self._prepare_write(table)
+        fresh = self._write_folder(table, self._aligned(table, df))
+        folder = self._location(table)
+        note = {"from": fresh, "new": list_names(self.spark, fresh), "old": self._bucket_files(folder, ids)}
+        write_text(self.spark, f"{folder}/{_SWAP}", json.dumps(note))
+        self.finish_swap(table)
+
+    def finish_swap(self, table: str) -> None:
+        """Complete an exchange of buckets that has begun; nothing to do otherwise."""
+        folder = self._location(table)
+        if not exists(self.spark, f"{folder}/{_SWAP}"):
+            return
+        note = json.loads(read_text(self.spark, f"{folder}/{_SWAP}"))
+        for name in note["old"]:
+            delete_folder(self.spark, f"{folder}/{name}")
+        for name in note["new"]:
+            move(self.spark, f"{note['from']}/{name}", f"{folder}/{name}")
+        delete_folder(self.spark, f"{folder}/{_SWAP}")
+        delete_folder(self.spark, note["from"])
+        self.spark.catalog.refreshTable(self._id(table))
+
     def refill(self, table: str, df: DataFrame) -> None:
         """Replace all rows of ``table`` by ``df``, and leave them as they are if ``df`` cannot be read.
 
         In a partitioned table the new partitions are written first; then those go that ``df`` lacks.
+        ``df`` is computed once: its rows are staged, since they are needed for both.
         """
         parts = self.partition_columns(table)
-        if parts:
-            columns = [F.col(f"`{c}`") for c in parts]
-            text = F.array(*[c.cast("string") for c in columns]).alias("values")
+        if not parts:
+            return self.replace(table, df)
+        text = F.array(*[F.col(f"`{c}`").cast("string") for c in parts]).alias("values")
+        with staged(self._aligned(table, df), table) as rows:
             old = {tuple(r["values"]) for r in self[table].select(text).distinct().collect()}
-            new = {tuple(r["values"]) for r in self._aligned(table, df).select(text).distinct().collect()}
-        self.replace(table, df)
-        if parts:
-            for values in sorted(old - new, key=str):
-                spec = ", ".join(
-                    f"{_quoted(c)} = {'NULL' if v is None else _literal(v)}" for c, v in zip(parts, values)
-                )
-                self.spark.sql(f"ALTER TABLE {self._id(table)} DROP IF EXISTS PARTITION ({spec})")
-            self.spark.catalog.refreshTable(self._id(table))
+            new = {tuple(r["values"]) for r in rows.select(text).distinct().collect()}
+            self.replace(table, rows)
+        for values in sorted(old - new, key=str):
+            spec = ", ".join(
+                f"{_quoted(c)} = {'NULL' if v is None else _literal(v)}" for c, v in zip(parts, values)
+            )
+            self.spark.sql(f"ALTER TABLE {self._id(table)} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(self._id(table))
 
     def append(self, table: str, df: DataFrame) -> None:
         """Add the rows of ``df``, regrouped by partition as in :meth:`replace`."""
-        parts = self.partition_columns(table)
-        df = self._aligned(table, df)
+        properties = self._prepare_write(table)
+        parts, df = json.loads(properties.get(_PARTITIONS, "[]")), self._aligned(table, df)
+        if properties.get(_BUCKETS, "0") != "0":
+            df = df.repartition(int(properties[_BUCKETS]), *[F.col(f"`{c}`") for c in json.loads(properties[_KEY])])
         (df.hint("rebalance", *parts) if parts else df).write.insertInto(self._id(table))
         self.spark.catalog.refreshTable(self._id(table))
 
     def empty(self, table: str) -> None:
         """Remove all rows."""
         if self.partition_columns(table):
+            self._prepare_write(table)
             self.spark.sql(f"TRUNCATE TABLE {self._id(table)}")
         else:
             self.replace(table, self[table].filter(F.lit(False)))
@@ -285,8 +405,7 @@ class Warehouse(Mapping[str, DataFrame]):
         Not done on replacing, since a query may still read the folder before.
         Returns the deleted folders.
         """
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}").collect()
-        current = next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
+        current = self._location(table)
         folder = f"{self.root}/{table}"
         names = [n for n in list_names(self.spark, folder) if n.startswith("data-")]
         old = [n for n in names if n != current.rsplit("/", 1)[-1]]
@@ -294,3 +413,24 @@ class Warehouse(Mapping[str, DataFrame]):
         for path in removed:
             delete_folder(self.spark, path)
         return removed
+
+    # Ledgers: sums of row hashes beside a table
+
+    def ledger(self, table: str) -> dict | None:
+        """What is known of a table's ledger: ``folder``, ``kept`` columns and ``algorithm``; None without a valid one."""
+        text = self._properties(table).get(_LEDGER)
+        return json.loads(text) if text else None
+
+    def write_sums(self, table: str, sums: DataFrame) -> str:
+        """Sums in a new folder, which :meth:`set_ledger` then makes valid."""
+        folder = self._new_folder(table).replace("/data-", "/ledger-")
+        sums.coalesce(1).write.parquet(folder)
+        return folder
+
+    def set_ledger(self, table: str, folder: str, kept: Sequence[str], algorithm: str) -> None:
+        """The sums in ``folder`` describe the table as it is now; older ones go, but for the last."""
+        note = json.dumps({"folder": folder, "kept": list(kept), "algorithm": algorithm})
+        self.spark.sql(f"ALTER TABLE {self._id(table)} SET TBLPROPERTIES ({_literal(_LEDGER)} = {_literal(note)})")
+        names = [n for n in list_names(self.spark, f"{self.root}/{table}") if n.startswith("ledger-")]
+        for name in names[:-2]:
+            delete_folder(self.spark, f"{self.root}/{table}/{name}")
