@@ -336,9 +336,10 @@ WITH given AS (
     FROM embeddings
     WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
       AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY embeddings.label, embedding) = 1
 ), scored AS (
     SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
-           CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.x, r.x)]) AS BIGINT) AS score
+           coalesce(CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.x, r.x)]) AS BIGINT), 0) AS score
     FROM given a JOIN given r ON a.vec_id <> r.vec_id
     WHERE a.vec_id % 100 = 0
 ), positives AS (

@@ -9,8 +9,12 @@ part is the text within ``SCOPE`` characters of it, and an interval join of part
 * an ident with a secret (assign, hex or key) in its scope,
 * an endpoint with both a secret and an identifier in its scope.
 
-A weak candidate that overlaps a base span is dropped.  The parts of a text are joined where the
-text is, so no row is shuffled; spans count code points, ends are exclusive.
+A weak candidate that overlaps a base span is dropped.
+
+Matches become rows, one window sum over the lengths between them gives their places, and parts meet by text and by
+the bins of ``SCOPE`` characters that they reach, so a part is compared with its neighbourhood only, however long
+the text.  A text stands for itself by a digest of 128 bits: copies are looked at once, and a text that has no part
+at all is not moved.  Spans count code points, ends are exclusive.
 
 Defined results: a null text is an empty one and has no spans; repeated rows get equal results; a
 match of several kinds is reported by each base kind.
@@ -18,10 +22,12 @@ match of several kinds is reported by each base kind.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyframe.llm.stage import boxed, documents, unboxed
+from keyframe.llm.stage import boxed, documents, staged, unboxed
 
 SCOPE = 200
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
@@ -46,17 +52,19 @@ PATTERNS = {
     "ident": f"{_USER_NAMES}{_GIVES}([A-Za-z0-9@_.-]+)",
     "key": "[A-Za-z0-9+/]{40,}",
     "endpoint": "([Hh][Tt][Tt][Pp][Ss]?://[^\\x20\\x09-\\x0D\"'<>]+"
-    f"|{_HOST_NAMES}{_GIVES}[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+"
+    # "++": Java would go one call deeper for each repeat of a group that it may have to take back.
+    f"|{_HOST_NAMES}{_GIVES}[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)++"
     "|[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3})",
 }
 LEAST_VALUE = {"assign": 12, "ident": 3}
 KEY_LENGTH = 40
 
 SPANS = "array<struct<start: int, rank: int, end: int>>"
+_STEPS = "array<struct<rank: int, at: int, gap: int, size: int, good: boolean>>"
 
 
-def matches(text: Column, kind: str) -> Column:
-    """Leftmost matches of a kind, as spans in order; what the kind's own test fails is dropped."""
+def _steps(text: Column, kind: str) -> Column:
+    """The leftmost matches of a kind, in order: the characters before each since the last, its length, and its test."""
     pattern = F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     if kind in LEAST_VALUE:
@@ -66,60 +74,78 @@ def matches(text: Column, kind: str) -> Column:
     else:
         good = F.transform(found, lambda v: F.lit(True))
     between = F.transform(F.split(text, PATTERNS[kind], -1), lambda v: F.length(v))
-    steps = F.arrays_zip(
-        between.alias("gap"), F.transform(found, lambda v: F.length(v)).alias("size"), good.alias("good")
-    )
+    # The piece behind the last match has no match of its own.
+    zipped = F.arrays_zip(F.slice(between, F.lit(1), F.size(found)).alias("gap"), F.transform(found, lambda v: F.length(v)).alias("size"), good.alias("good"))
+    steps = F.transform(zipped, lambda s, k: F.struct(F.lit(KINDS.index(kind)).alias("rank"), k.alias("at"), s["gap"], s["size"], s["good"]))
+    return F.when(text.rlike(PATTERNS[kind]), steps.cast(_STEPS)).otherwise(F.array().cast(_STEPS))
 
-    def add(seen: Column, step: Column) -> Column:
-        start = seen["at"] + step["gap"]
-        end = start + F.coalesce(step["size"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"))
-        return F.struct(
-            end.alias("at"),
-            F.when(F.coalesce(step["good"], F.lit(False)), F.concat(seen["out"], F.array(span)))
-            .otherwise(seen["out"])
-            .cast(SPANS)
-            .alias("out"),
-        )
-
-    spans = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")), add, lambda seen: seen["out"]
-    )
-    return F.when(text.rlike(PATTERNS[kind]), spans).otherwise(F.array().cast(SPANS))
 
+def _is(kinds: tuple[str, ...], rank: str = "rank") -> Column:
+    return F.col(rank).isin([KINDS.index(k) for k in kinds])
 
-def _near(part: Column, others: Column, scope: int) -> Column:
-    return F.exists(others, lambda y: (y["start"] <= part["end"] + scope) & (y["end"] >= part["start"] - scope))
 
+def _binned(parts: DataFrame, scope: int, margin: int) -> DataFrame:
+    """Each part once for each bin of ``scope`` characters that it reaches with its margin."""
+    first = F.floor((F.col("start") - margin) / scope)
+    last = F.floor((F.col("end") + margin) / scope)
+    return parts.select("*", F.explode(F.sequence(first, last)).alias("bin"))
 
-def with_spans(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with ``_base`` and ``_spans``: base spans and all spans, by start, then kind."""
+
+_PART = ("text_key", "rank", "start", "end")
+
+
+def _joined(weak: DataFrame, parts: DataFrame, scope: int, margin: int) -> DataFrame:
+    """Pairs of a weak part and a part (``_rank``) that reach each other within ``margin`` characters."""
+    near = _binned(parts, scope, 0).select(F.col("text_key"), "bin", *[F.col(c).alias(f"_{c}") for c in ("rank", "start", "end")])
+    pairs = _binned(weak, scope, max(margin, 0)).join(near, ["text_key", "bin"])
+    return pairs.where((F.col("_start") <= F.col("end") + margin) & (F.col("_end") >= F.col("start") - margin))
+
+
+def _key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def has_parts(text: Column) -> Column:
+    """Whether any pattern is in a text."""
+    return F.coalesce(reduce(Column.__or__, [text.rlike(p) for p in PATTERNS.values()]), F.lit(False))
+
+
+def spans_of(texts: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """(text_key, spans) of all texts (one column ``text``) with spans, for each distinct text once."""
     c = F.col
-    return (
-        docs.withColumn("_text", F.coalesce(c(text), F.lit("")))
-        .withColumns({f"_{kind}": matches(c("_text"), kind) for kind in KINDS})
-        .withColumn("_base", F.sort_array(F.concat("_assign", "_access", "_hex")))
-        .withColumns(
-            {
-                f"_{kind}": F.filter(f"_{kind}", lambda x: ~_near(x, c("_base"), -1))
-                for kind in ("ident", "key", "endpoint")
-            }
-        )
-        .withColumns({"_secrets": F.concat("_assign", "_hex", "_key"), "_names": F.concat("_access", "_ident")})
-        .withColumn("_others", F.concat("_names", "_endpoint"))
-        .withColumn(
-            "_spans",
-            F.sort_array(
-                F.concat(
-                    "_base",
-                    F.filter("_key", lambda x: _near(x, c("_others"), scope)),
-                    F.filter("_ident", lambda x: _near(x, c("_secrets"), scope)),
-                    F.filter("_endpoint", lambda x: _near(x, c("_secrets"), scope) & _near(x, c("_names"), scope)),
-                )
-            ),
-        )
-        .drop("_text", "_secrets", "_names", "_others", *[f"_{kind}" for kind in KINDS])
+    steps = F.flatten(F.array(*[_steps(c("text"), kind) for kind in KINDS]))
+    # Copies send the same rows, which are made one before any of them meet.
+    # Key and steps come first: beside the generator the text would go with each of its rows.
+    keyed = texts.where(has_parts(c("text"))).select(_key(c("text")).alias("text_key"), steps.alias("steps"))
+    rows = keyed.select("text_key", F.inline("steps")).distinct()
+    before = Window.partitionBy("text_key", "rank").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    start = (F.coalesce(F.sum(c("gap") + c("size")).over(before), F.lit(0)) + c("gap")).cast("int")
+    parts = rows.withColumn("start", start).where("good").select("text_key", "rank", "start", (c("start") + c("size")).alias("end"))
+    # Written once: the joins below look at it from several sides.
+    parts = staged(parts, "secrets-parts")
+    base = parts.where(_is(BASE))
+    weak = parts.where(~_is(BASE))
+    hidden = _joined(weak, base, scope, -1).select(*_PART).distinct()
+    weak = weak.join(hidden, list(_PART), "left_anti")
+    seen = _joined(weak, base.unionByName(weak), scope, scope).groupBy(*_PART).agg(
+        F.bool_or(_is(("assign", "hex", "key"), "_rank")).alias("secret"),
+        F.bool_or(_is(("access", "ident"), "_rank")).alias("name"),
+        F.bool_or(_is(("endpoint",), "_rank")).alias("place"),
     )
+    linked = seen.where(
+        (_is(("key",)) & (c("name") | c("place"))) | (_is(("ident",)) & c("secret")) | (_is(("endpoint",)) & c("secret") & c("name"))
+    )
+    spans = base.unionByName(linked.select(*_PART))
+    whole = F.sort_array(F.collect_list(F.struct("start", "rank", "end"))).cast(SPANS).alias("_spans")
+    return spans.groupBy("text_key").agg(whole)
+
+
+def with_spans(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
+    """``docs`` with ``_base`` and ``_spans``: base spans and all spans, by start, then kind."""
+    found = spans_of(docs.select(F.col(text).alias("text")), scope).select(F.col("text_key").alias("_key"), "_spans")
+    joined = docs.withColumn("_own", _key(F.col(text))).join(found, F.col("_own") == F.col("_key"), "left").drop("_own", "_key")
+    joined = joined.withColumn("_spans", F.coalesce("_spans", F.array().cast(SPANS)))
+    return joined.withColumn("_base", F.filter("_spans", lambda x: x["rank"] < len(BASE)))
 
 
 def as_text(spans: Column) -> Column:
@@ -145,13 +171,22 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         cut,
         lambda seen: F.concat(seen["out"], F.substring(F.col("text"), seen["at"] + 1, F.length("text"))),
     )
-    found = with_spans(boxed(docs, text=F.col(text)))
-    return unboxed(found, docs.columns, **{text: F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))})
+    given = boxed(docs, text=F.col(text))
+    # Texts without any part stay where they are.
+    plain = given.where(~has_parts(F.col("text"))).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    found = with_spans(given.where(has_parts(F.col("text"))))
+    found = unboxed(found, docs.columns, **{text: F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))})
+    return plain.unionByName(found) if len(set(docs.columns)) == len(docs.columns) else plain.union(found)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts of base kinds, a digest of base spans, and all spans."""
-    found = with_spans(documents(spark, sf_dir).select("doc_id", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    # Only ids and keys of texts are moved to their spans.
+    spans = spans_of(docs.select("text")).select(F.col("text_key").alias("_key"), "_spans")
+    keyed = docs.select("doc_id", _key(F.col("text")).alias("_own"))
+    found = keyed.join(spans, F.col("_own") == F.col("_key"), "left").withColumn("_spans", F.coalesce("_spans", F.array().cast(SPANS)))
+    found = found.withColumn("_base", F.filter("_spans", lambda x: x["rank"] < len(BASE)))
 
     def number(rank: int) -> Column:
         return F.size(F.filter("_base", lambda x: x["rank"] == rank)).cast("long")
@@ -164,7 +199,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_matches(kind: str) -> str:
     """Spans of a kind as a list of structs."""
-    pattern = PATTERNS[kind].replace("'", "''")
+    pattern = PATTERNS[kind].replace("'", "''").replace(")++", ")+")
     value = f"regexp_extract_all(text, '{pattern}', 2)"
     test = {
         "assign": f"length({value}[i]) >= 12", "ident": f"length({value}[i]) >= 3", "key": "length(found[i]) = 40"
