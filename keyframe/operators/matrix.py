@@ -25,6 +25,7 @@ from keyframe.names import (
     ROWTYPE_COL,
     VALUE_COL,
 )
+from keyframe.operators.keys import require_found
 
 IndexMap = DataFrame | Mapping[str, DataFrame] | Sequence[DataFrame]
 
@@ -106,8 +107,9 @@ def _with_types(df: DataFrame, rctypes: DataFrame | None, needed: bool) -> DataF
 
 
 def _look_up(
-    df: DataFrame, index_map: IndexMap, side: str, given: str, given_field: str, out_field: str, out: str
+    df: DataFrame, index_map: IndexMap, side: str, given: str, given_field: str, out_field: str, out: str, what: str
 ) -> DataFrame:
+    """``df`` with a column looked up in the index map; a row without a match is an error, whoever reads the column."""
     index, typed = index_frame(index_map, side)
     index = index.select(
         F.col(given_field).alias("__given"),
@@ -117,14 +119,10 @@ def _look_up(
     on = [F.col(f"`{given}`") == F.col("__given")]
     if typed:
         on.append(F.col(ROWTYPE_COL if side == "row" else COLTYPE_COL) == F.col("__dimtype"))
-    return df.join(index, on, "left").drop("__given", "__dimtype")
-
-
-def _found(column: str, given: str, what: str, dtype: str) -> Column:
-    text = F.coalesce(F.col(given).cast("string"), F.lit("NULL"))
-    return F.coalesce(
-        F.col(column), F.raise_error(F.concat(F.lit(f"No {what} for '"), text, F.lit("'"))).cast(dtype)
-    )
+    text = F.coalesce(F.col(f"`{given}`").cast("string"), F.lit("NULL"))
+    joined = df.join(index, on, "left")
+    problem = F.concat(F.lit(f"No {what} for '"), text, F.lit("'"))
+    return require_found(joined, F.col(out), problem).drop("__given", "__dimtype")
 
 
 def encode_matrices(
@@ -148,14 +146,14 @@ def encode_matrices(
         cells = cells.filter(~F.col(VALUE_COL).eqNullSafe(0))
     typed = index_frame(index_map, "row")[1]
     cells = _with_types(cells, rctypes, typed)
-    cells = _look_up(cells, index_map, "row", ROWNAME_COL, "name", "idx", "__i")
-    cells = _look_up(cells, index_map, "col", COLNAME_COL, "name", "idx", "__j")
+    cells = _look_up(cells, index_map, "row", ROWNAME_COL, "name", "idx", "__i", "row index")
+    cells = _look_up(cells, index_map, "col", COLNAME_COL, "name", "idx", "__j", "column index")
     unrolled = (*CELL_FIELDS, MATNAME_COL, ROWTYPE_COL, COLTYPE_COL, "__i", "__j")
     return cells.select(
         *[F.col(f"`{c}`") for c in cells.columns if c not in unrolled],
         F.col(MATNAME_COL),
-        _found("__i", ROWNAME_COL, "row index", "int").alias(ROW_INDEX_COL),
-        _found("__j", COLNAME_COL, "column index", "int").alias(COL_INDEX_COL),
+        F.col("__i").cast("int").alias(ROW_INDEX_COL),
+        F.col("__j").cast("int").alias(COL_INDEX_COL),
         F.col(VALUE_COL),
     )
 
@@ -174,20 +172,48 @@ def name_cells(
     """
     typed = index_frame(index_map, "row")[1]
     cells = _with_types(encoded, rctypes, typed or keep_types)
-    cells = _look_up(cells, index_map, "row", ROW_INDEX_COL, "idx", "name", "__rowname")
-    cells = _look_up(cells, index_map, "col", COL_INDEX_COL, "idx", "name", "__colname")
+    cells = _look_up(cells, index_map, "row", ROW_INDEX_COL, "idx", "name", "__rowname", "row name")
+    cells = _look_up(cells, index_map, "col", COL_INDEX_COL, "idx", "name", "__colname", "column name")
     others = [c for c in encoded.columns if c not in (*ENCODED_FIELDS, ROWTYPE_COL, COLTYPE_COL)]
     return cells.select(
         *[F.col(f"`{c}`") for c in others],
         F.col(MATNAME_COL),
         *([F.col(ROWTYPE_COL), F.col(COLTYPE_COL)] if keep_types else []),
         *([F.col(ROW_INDEX_COL), F.col(COL_INDEX_COL)] if keep_index else []),
-        _found("__rowname", ROW_INDEX_COL, "row name", "string").alias(ROWNAME_COL),
-        _found("__colname", COL_INDEX_COL, "column name", "string").alias(COLNAME_COL),
+        F.col("__rowname").alias(ROWNAME_COL),
+        F.col("__colname").alias(COLNAME_COL),
         F.col(VALUE_COL),
     )
 
 
+def complete_cells(encoded: DataFrame, index_map: IndexMap, rctypes: DataFrame) -> DataFrame:
+    """Encoded matrices in full: a zero for every cell of their row and column names that they lack.
+
+    All names of a matrix's row and column type count, so the result is as large as the full matrices are.
+    """
+    others = [c for c in encoded.columns if c not in (*ENCODED_FIELDS, ROWTYPE_COL, COLTYPE_COL)]
+    matrices = encoded.select(*[F.col(f"`{c}`") for c in (*others, MATNAME_COL)]).distinct()
+    typed = index_frame(index_map, "row")[1]
+    kinds = rctypes.select(*[F.col(c).alias(f"__{c}") for c in (MATNAME_COL, ROWTYPE_COL, COLTYPE_COL)])
+    cells = matrices.join(kinds, F.col(MATNAME_COL) == F.col(f"__{MATNAME_COL}"))
+    for side, kind, out in (("row", ROWTYPE_COL, ROW_INDEX_COL), ("col", COLTYPE_COL, COL_INDEX_COL)):
+        frame = index_frame(index_map, side)[0]
+        # The indices of one kind as one list, so that all cells of a matrix come from one row.
+        listed = frame.groupBy(*(["dimtype"] if typed else [])).agg(F.array_sort(F.collect_list("idx")).alias(f"__{side}"))
+        if typed:
+            cells = cells.join(listed, F.col(f"__{kind}") == F.col("dimtype")).drop("dimtype")
+        else:
+            cells = cells.withColumn(f"__{side}", listed.scalar())
+        cells = cells.withColumn(f"__{out}", F.explode(F.col(f"__{side}").cast("array<int>")))
+    names = {ROW_INDEX_COL: f"__{ROW_INDEX_COL}", COL_INDEX_COL: f"__{COL_INDEX_COL}"}
+    zero = F.lit(0).cast(encoded.schema[VALUE_COL].dataType).alias(VALUE_COL)
+    kept = [F.col(f"`{c}`") for c in (*others, MATNAME_COL)]
+    zeros = cells.select(*kept, *[F.col(v).alias(k) for k, v in names.items()], zero)
+    have = encoded.select(*[F.col(f"`{c}`").alias(f"__{c}") for c in zeros.columns if c != VALUE_COL])
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in zeros.columns if c != VALUE_COL]
+    return encoded.select(*[F.col(f"`{c}`") for c in zeros.columns]).unionByName(zeros.join(have, same, "left_anti"))
+
+
 def decode_matrices(
     encoded: DataFrame,
     index_map: IndexMap,
@@ -198,6 +224,7 @@ def decode_matrices(
     unique_cells: bool = False,
     names: Sequence[str] | None = None,
     keep_types: bool = False,
+    complete: bool = False,
 ) -> DataFrame:
     """Rows (others, matname, i, j, value) to matrix columns.
 
@@ -209,6 +236,8 @@ def decode_matrices(
     A matrix is one array, whatever its size, unless ``tile`` is given: then it comes in
     tiles of that side length, rows told apart by ``tile_i`` and ``tile_j``, also where one tile is enough.  For very
     large matrices :func:`name_cells` is the form without any grouping.
+    With ``complete`` a matrix has every cell of its row and column names (:func:`complete_cells`), so
+    one whose zeros were not stored comes back in full shape.
     Cells given more than once are added up, as sparse matrices do, before
     anything is gathered; ``unique_cells=True`` promises there are none (a primary
     key on group, name and indices) and saves that shuffle.
@@ -223,6 +252,8 @@ def decode_matrices(
         encoded = encoded.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(
             F.sum(VALUE_COL).alias(VALUE_COL)
         )
+    if complete:
+        encoded = complete_cells(encoded, index_map, rctypes)
     cells = name_cells(encoded, index_map, rctypes, keep_index=True, keep_types=keep_types and not wide)
     groups = [F.col(f"`{c}`") for c in others]
     keys = list(others)

@@ -7,33 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType
 
 
-def implied_filter(wanted: DataFrame, listed_rows: int = 1_000) -> Column | None:
+def implied_range(wanted: DataFrame) -> Column | None:
     """A filter on the columns of ``wanted`` that holds for every row with a match in it.
 
-    A semi join alone reads all of its left side.  This filter is made of literals, so
-    it prunes partitions and row groups: values if ``wanted`` has up to ``listed_rows`` rows, else
-    the range between least and greatest.  The join still decides.
+    It is the range from least to greatest value of each column, whatever the number of rows, and made of
+    literals, so it prunes partitions and row groups when the query is planned.  It holds for all rows of
+    ``wanted`` too: put on both sides of a join, it makes Spark consider the exact pruning of partitions
+    while the query runs, by the values that the other side turns out to have.
     """
     plain = (IntegralType, StringType, BooleanType, DateType)
     names = [f.name for f in wanted.schema.fields if isinstance(f.dataType, plain)]
     if not names:
         return None
     columns = [F.col(f"`{n}`") for n in names]
-    listed = wanted.select(*columns).limit(listed_rows + 1).collect()
-    tests = []
-    if len(listed) <= listed_rows:
-        for name, column in zip(names, columns):
-            values = {row[name] for row in listed}
-            test = column.isin(sorted(values - {None}))
-            tests.append(test | column.isNull() if None in values else test)
-    else:
-        ends = [f(c).alias(f"{n}_{k}") for n, c in enumerate(columns) for k, f in enumerate((F.min, F.max))]
-        gaps = [F.count_if(c.isNull()).alias(f"{n}_null") for n, c in enumerate(columns)]
-        found = wanted.agg(*ends, *gaps).first()
-        for n, column in enumerate(columns):
-            test = column.between(found[f"{n}_0"], found[f"{n}_1"]) if found[f"{n}_0"] is not None else F.lit(False)
-            tests.append(test | column.isNull() if found[f"{n}_null"] else test)
-    combined = tests[0]
-    for test in tests[1:]:
-        combined = combined & test
+    ends = [f(c).alias(f"{n}_{k}") for n, c in enumerate(columns) for k, f in enumerate((F.min, F.max))]
+    gaps = [F.count_if(c.isNull()).alias(f"{n}_null") for n, c in enumerate(columns)]
+    found, combined = wanted.agg(*ends, *gaps).first(), None
+    for n, column in enumerate(columns):
+        test = column.between(found[f"{n}_0"], found[f"{n}_1"]) if found[f"{n}_0"] is not None else F.lit(False)
+        test = test | column.isNull() if found[f"{n}_null"] else test
+        combined = test if combined is None else combined & test
     return combined

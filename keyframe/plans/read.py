@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +26,10 @@ from keyframe.operators.constraints import require_empty
 from keyframe.operators.filters import drop_task_group
 from keyframe.operators.keys import Dimensions, decode_keys, encode_keys
 from keyframe.operators.matrix import ENCODED_FIELDS, IndexMap, decode_matrices
-from keyframe.operators.sizes import implied_filter
+from keyframe.operators.sizes import implied_range
 from keyframe.operators.tickets import hash_groups, ticket_differences
 from keyframe.operators.versions import filter_versions
-from keyframe.sources.storage import stage
+from keyframe.sources.storage import delete_folder, stage_in
 from keyframe.sources.warehouse import Warehouse
 
 
@@ -55,6 +56,7 @@ def filter_table(
     index_map: IndexMap | None = None,
     rctypes: DataFrame | None = None,
     tile: int | None = None,
+    complete: bool = False,
     from_col: str = VALID_FROM_COL,
     to_col: str = VALID_TO_COL,
 ) -> DataFrame:
@@ -73,7 +75,8 @@ def filter_table(
         rows = rows.filter(condition)
     if matrices:
         unique = _unique_cells(table, model) and versions is None
-        rows = as_matrices(rows, tables, model, dims, index_map, rctypes, tile=tile, unique_cells=unique)
+        options = {"tile": tile, "unique_cells": unique, "complete": complete}
+        rows = as_matrices(rows, tables, model, dims, index_map, rctypes, **options)
     return rows
 
 
@@ -93,6 +96,7 @@ def as_matrices(
     *,
     tile: int | None = None,
     unique_cells: bool = False,
+    complete: bool = False,
 ) -> DataFrame:
     """Encoded matrices to one matrix column per name; other rows as they are.
 
@@ -107,7 +111,8 @@ def as_matrices(
         index_map = dims[INDEX_TABLE]
     if rctypes is None:
         rctypes = decode_keys(tables[RCTYPE_TABLE], RCTYPE_TABLE, model, dims)
-    return decode_matrices(rows, index_map, rctypes, tile=tile, unique_cells=unique_cells)
+    options = {"tile": tile, "unique_cells": unique_cells, "complete": complete}
+    return decode_matrices(rows, index_map, rctypes, **options)
 
 
 def collect_ticket(
@@ -128,9 +133,13 @@ def collect_ticket(
     algorithm: str = DEFAULT_ALGORITHM,
     from_col: str = VALID_FROM_COL,
     to_col: str = VALID_TO_COL,
+    staged_in: list[str] | None = None,
 ) -> DataFrame | None:
     """The rows a ticket stands for; ``None`` for an empty ticket.
 
+    The result is lazy and reads a small copy of the ticket in the scratch folder, which is added to
+    ``staged_in``; :func:`collected_ticket` deletes it after use.
+
     ``verify`` hashes the rows again, with the ticket's ``algorithm``, and raises if the
     ticket no longer describes them; it applies to whole, decoded tickets, so not together with ``versions``.
 
@@ -158,13 +167,20 @@ def collect_ticket(
     rows = tables[table]
     if wanted.columns:
         # Written once: it is read for the filter and the join, and Spark learns its size.
-        wanted = stage(wanted.distinct(), "ticket")
+        wanted, folder = stage_in(wanted.distinct(), "ticket")
+        if staged_in is not None:
+            staged_in.append(folder)
         interval = {from_col, to_col} <= set(wanted.columns)
         exact = [c for c in wanted.columns if not (interval and c in (from_col, to_col))]
-        implied = implied_filter(wanted.select(*[F.col(f"`{c}`") for c in exact])) if exact else None
-        rows = rows if implied is None else rows.filter(implied)
+        implied = implied_range(wanted.select(*[F.col(f"`{c}`") for c in exact])) if exact else None
+        if implied is not None:
+            rows, wanted = rows.filter(implied), wanted.filter(implied)
         renamed = wanted.toDF(*[f"__{c}" for c in wanted.columns])
-        on = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__{c}`")) for c in exact]
+        # Columns of the primary key hold no NULL.  Plain equality lets Spark prune partitions by the ticket's
+        # values, and filter rows by a Bloom filter of them where neither side is small.
+        never_null = model.primary_keys.get(table, ())
+        pairs = [(c, F.col(f"`{c}`"), F.col(f"`__{c}`")) for c in exact]
+        on = [a == b if c in never_null else a.eqNullSafe(b) for c, a, b in pairs]
         if interval:
             start, end = F.col(f"`__{from_col}`"), F.col(f"`__{to_col}`")
             on += [F.col(f"`{from_col}`") <= start, F.col(f"`{to_col}`") >= end]
@@ -193,6 +209,17 @@ def collect_ticket(
     return rows
 
 
+@contextmanager
+def collected_ticket(ticket: DataFrame, tables: Mapping[str, DataFrame], **options) -> Iterator[DataFrame | None]:
+    """:func:`collect_ticket` for use within a ``with`` block, at whose end the staged ticket is deleted."""
+    folders: list[str] = []
+    try:
+        yield collect_ticket(ticket, tables, staged_in=folders, **options)
+    finally:
+        for folder in folders:
+            delete_folder(ticket.sparkSession, folder)
+
+
 def verify_ticket(
     ticket: DataFrame, rows: DataFrame, table: str, algorithm: str = DEFAULT_ALGORITHM
 ) -> DataFrame:

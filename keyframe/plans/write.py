@@ -41,6 +41,7 @@ from keyframe.operators.tickets import ticket
 from keyframe.operators.upsert import Merge, merge_rows, plan_merge
 from keyframe.operators.versions import compress_versions, same_but_version
 from keyframe.plans.ledger import Change, keep_ledger
+from keyframe.plans.statistics import stored_single_values
 from keyframe.sources.storage import stage, staged
 from keyframe.sources.warehouse import Warehouse
 
@@ -303,14 +304,14 @@ def filter_copy(
             store.append(dest, rows)
         change.commit()
         result = store[dest]
+    if in_place and keep_single:
+        # A stored table tells most of its single-valued columns without being read.
+        named = {*(usual or ()), *(additional or ())}
+        rest = [c for c in result.columns if c not in named]
+        additional = [*(additional or ()), *stored_single_values(store, dest, rest, probe_rows=probe_rows)]
+        keep_single = False
     receipt = ticket(
-        result,
-        dest,
-        usual=usual,
-        additional=additional,
-        keep_single=keep_single,
-        algorithm=algorithm,
-        probe_rows=probe_rows if in_place else 0,
+        result, dest, usual=usual, additional=additional, keep_single=keep_single, algorithm=algorithm
     )
     receipt = decode_keys(receipt, dest, model, dims)
     return Written(result, stage(receipt, "ticket") if in_place else receipt)

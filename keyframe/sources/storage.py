@@ -25,7 +25,8 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/keyframe-scratch"
 
 
-def _stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def stage_in(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`stage`, with the folder of the files."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -39,13 +40,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     and gives Spark the true size, so that a small frame can be broadcast.
     Staged files survive lost executors.
     """
-    return _stage(df, label)[0]
+    return stage_in(df, label)[0]
 
 
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """As :func:`stage`, for use within a ``with`` block, at whose end the files are deleted."""
-    frame, path = _stage(df, label)
+    frame, path = stage_in(df, label)
     try:
         yield frame
     finally:

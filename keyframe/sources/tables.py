@@ -14,12 +14,15 @@ from keyframe.sources.storage import CSV_OPTIONS, list_names
 FILE_FORMATS = ("parquet", "csv", "orc", "json")
 
 
-def read_table(spark: SparkSession, source: str, format: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, source: str, format: str | None = None, *, rows_are_lines: bool = False
+) -> DataFrame:
     """A file, folder or catalog table as a DataFrame.
 
     The format follows from the file suffix unless given; a name without path and
     suffix is a catalog table.  CSV files have a header and stay text: types come
-    from the schema table, not from guessing.
+    from the schema table, not from guessing.  Their cells may hold line breaks, so a file is read by one task;
+    ``rows_are_lines`` promises that they do not, and a large file is split over many.
     """
     if format is None:
         suffix = source.rstrip("/").rsplit(".", 1)[-1].lower()
@@ -27,7 +30,7 @@ def read_table(spark: SparkSession, source: str, format: str | None = None) -> D
     if format == "table":
         return spark.table(source)
     if format == "csv":
-        return spark.read.options(**CSV_OPTIONS, multiLine=True).csv(source)
+        return spark.read.options(**CSV_OPTIONS, multiLine=not rows_are_lines).csv(source)
     return spark.read.format(format).load(source)
 
 
@@ -54,15 +57,21 @@ def dimension_sources(
 
 
 def load_dimensions(
-    spark: SparkSession, sources: str | Mapping[str, str], model: KeyModel, *, format: str | None = None
+    spark: SparkSession,
+    sources: str | Mapping[str, str],
+    model: KeyModel,
+    *,
+    format: str | None = None,
+    rows_are_lines: bool = False,
 ) -> dict[str, DataFrame]:
     """Dimension tables by name, each column cast to its declared type.
 
-    ``sources`` is a folder or a mapping from table name to path or catalog table.
+    ``sources`` is a folder or a mapping from table name to path or catalog table.  ``rows_are_lines`` is as in
+    :func:`read_table`.
     """
     if isinstance(sources, str):
         sources = dimension_sources(spark, sources)
     return {
-        name: apply_types(read_table(spark, source, format), model.struct(name))
+        name: apply_types(read_table(spark, source, format, rows_are_lines=rows_are_lines), model.struct(name))
         for name, source in sources.items()
     }

@@ -267,7 +267,8 @@ class Warehouse(Mapping[str, DataFrame]):
             *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self[table].schema.fields]
         )
 
-    def _location(self, table: str) -> str:
+    def location(self, table: str) -> str:
+        """The folder that holds the rows of a table."""
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._id(table)}").collect()
         return next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
 
@@ -327,7 +328,7 @@ class Warehouse(Mapping[str, DataFrame]):
         self.finish_swap(table)
         if len(ids) == self.buckets(table):
             return self[table]
-        names = self._bucket_files(self._location(table), ids)
+        names = self._bucket_files(self.location(table), ids)
         return self[table].filter(F.col("_metadata.file_name").isin(names))
 
     def _bucket_files(self, folder: str, ids: Sequence[int]) -> list[str]:
@@ -342,14 +343,14 @@ class Warehouse(Mapping[str, DataFrame]):
         """
         self._prepare_write(table)
         fresh = self._write_folder(table, self._aligned(table, df))
-        folder = self._location(table)
+        folder = self.location(table)
         note = {"from": fresh, "new": list_names(self.spark, fresh), "old": self._bucket_files(folder, ids)}
         write_text(self.spark, f"{folder}/{_SWAP}", json.dumps(note))
         self.finish_swap(table)
 
     def finish_swap(self, table: str) -> None:
         """Complete an exchange of buckets that has begun; nothing to do otherwise."""
-        folder = self._location(table)
+        folder = self.location(table)
         if not exists(self.spark, f"{folder}/{_SWAP}"):
             return
         note = json.loads(read_text(self.spark, f"{folder}/{_SWAP}"))
@@ -405,7 +406,7 @@ class Warehouse(Mapping[str, DataFrame]):
         Not done on replacing, since a query may still read the folder before.
         Returns the deleted folders.
         """
-        current = self._location(table)
+        current = self.location(table)
         folder = f"{self.root}/{table}"
         names = [n for n in list_names(self.spark, folder) if n.startswith("data-")]
         old = [n for n in names if n != current.rsplit("/", 1)[-1]]
