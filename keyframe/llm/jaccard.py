@@ -252,6 +252,15 @@ def _possible(n, place, other_n, other_place):
     )
 
 
+def _led(found: DataFrame) -> DataFrame:
+    """Distinct pairs with sizes, each node (``a``) with its leader (``b``).
+
+    Leaders are few, so sets travel to the few places of their leaders, and not leaders to all nodes.
+    """
+    columns = {"a": "node", "b": "other", "a_n": "n", "b_n": "other_n"}
+    return found.select(*[F.col(v).alias(k) for k, v in columns.items()]).distinct()
+
+
 def _pairs(found: DataFrame) -> DataFrame:
     """Distinct unordered pairs with sizes, the lesser node first."""
     swap = F.col("node") > F.col("other")
@@ -325,11 +334,12 @@ def _overlap(left: pa.Array, right: pa.Array) -> pa.Array:
 
 def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs (a, b) that are linked: overlaps are counted in each part and added up."""
-    # Only the sets of these pairs are shuffled.
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    parts = parts.join(ends, "node", "left_semi")
-    left = parts.select(F.col("node").alias("a"), "part", F.col("grams").alias("a_grams"))
-    right = parts.select(F.col("node").alias("b"), "part", F.col("grams").alias("b_grams"))
+    # Only the sets of these pairs are shuffled, each to the side where it is needed.
+    def side(end: str) -> DataFrame:
+        own = parts.join(pairs.select(F.col(end).alias("node")).distinct(), "node", "left_semi")
+        return own.select(F.col("node").alias(end), "part", F.col("grams").alias(f"{end}_grams"))
+
+    left, right = side("a"), side("b")
     counted = pairs.join(left, "a").join(right, ["b", "part"]).select(
         "a", "b", "a_n", "b_n", "part", F.arrow_udf(_overlap, "int")("a_grams", "b_grams").alias("shared")
     )
@@ -480,14 +490,15 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.col("node") != F.col("leader"))
         & _possible(F.col("n"), F.col("place"), F.col("leader_n"), F.col("leader_place"))
     ).select("node", "n", F.col("leader").alias("other"), F.col("leader_n").alias("other_n"))
-    tried = staged(close(_pairs(first), sketches), "jaccard-pairs")
+    tried = staged(close(_led(first), sketches), "jaccard-pairs")
     links = staged(verified(tried, sets(ends(tried))), "jaccard-links")
     labels = components(links)
     clusters = sketches.select("node", "n", "cluster").join(labels, "node", "left")
     clusters = staged(clusters.withColumn("label", F.coalesce("label", "node")), "jaccard-clusters")
     flat = sketches.select("node", F.lit(0).alias("part"), F.col("sketch").alias("grams"))
     near = staged(blocks(clusters, flat).applyInArrow(_block_close, "node long").distinct(), "jaccard-near")
-    rest = _pairs(across(lists, clusters)).join(tried, ["a", "b"], "left_anti")
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = _pairs(across(lists, clusters)).join(known, ["a", "b"], "left_anti")
     rest = staged(close(rest, sketches), "jaccard-pairs")
     parts = sets(near.union(ends(rest)))
     within = blocks(clusters.join(near, "node", "left_semi"), parts).applyInArrow(_block_links, "a long, b long")

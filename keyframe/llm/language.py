@@ -20,6 +20,7 @@ equal results.  Rows without an id are never learned from.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,40 @@ _ENDED = 1 << 30  # set in a table entry whose step ends a phrase
 
 @dataclass
 class LanguageModel:
-    """Names of languages, bits of a phrase of each, symbols by byte, and all automata in one table."""
+    """Names of languages, bits of a phrase of each, symbols by byte, and the edges of all automata.
+
+    States of all languages are numbered through; ``roots`` are their first ones, ``states`` is their number.
+    """
 
     names: list[str]
     bits: np.ndarray
     symbols: np.ndarray
     roots: np.ndarray
-    table: np.ndarray
+    states: int
+    edges: np.ndarray  # (state, symbol, next state) in rows
+
+    @cached_property
+    def table(self) -> np.ndarray:
+        """The entry for each state and symbol: the place of the next state's own entries, and whether a phrase ends.
+
+        Some 20 to 30 times the size of the edges, so it is made where texts are parsed and never sent.
+        """
+        width = int(self.symbols.max()) + 1
+        table = np.empty((self.states, width), np.int32)
+        state, symbol, to = (self.edges[:, k].astype(np.int64) for k in range(3))
+        for n, root in enumerate(self.roots):
+            end = self.roots[n + 1] if n + 1 < len(self.roots) else self.states
+            start = np.full(width, root * width | _ENDED, np.int32)  # a symbol that the language lacks is a phrase of its own
+            own = state == root
+            start[symbol[own]] = (to[own] * width) | _ENDED
+            table[root:end] = start
+        table[state, symbol] = to * width
+        # From the start itself an edge ends no phrase: it begins one.
+        table[:, PAD] = np.arange(self.states, dtype=np.int32) * width
+        return table.ravel()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
 
 
 def suffix_automaton(text: bytes) -> list[dict[int, int]]:
@@ -95,26 +123,16 @@ def build_model(texts: dict[str, bytes]) -> LanguageModel:
     """Automata of the labelled text of each language."""
     names = sorted(name for name, text in texts.items() if text)
     symbols = _alphabet(texts)
-    width = int(symbols.max()) + 1
-    tables, roots, bits, base = [], [], [], 0
+    found, roots, bits, base = [np.zeros((0, 3), np.int32)], [], [], 0
     for name in names:
         text = symbols[np.frombuffer(texts[name], np.uint8)]
         steps = suffix_automaton(text.tobytes())
-        start = np.full(width, base | _ENDED, np.int32)  # a symbol that the language lacks is a phrase of its own
-        for sign, to in steps[0].items():
-            start[sign] = (base + to * width) | _ENDED
-        table = np.tile(start, (len(steps), 1))
-        for state, out in enumerate(steps):
-            if out:
-                table[state, list(out)] = base + np.fromiter(out.values(), np.int32) * width
-        table[:, PAD] = base + np.arange(len(steps), dtype=np.int32) * width
-        del steps  # far larger than its table
-        tables.append(table.ravel())
+        listed = np.fromiter((x for state, out in enumerate(steps) for sign, to in out.items() for x in (base + state, sign, base + to)), np.int32)
+        found.append(listed.reshape(-1, 3))
         roots.append(base)
         bits.append(np.log2(len(text) + 1))
-        base += table.size
-    whole = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-    return LanguageModel(names, np.array(bits), symbols, np.array(roots, np.int32), whole)
+        base += len(steps)
+    return LanguageModel(names, np.array(bits), symbols, np.array(roots, np.int32), base, np.concatenate(found))
 
 
 def phrase_counts(model: LanguageModel, texts: Texts) -> np.ndarray:
@@ -128,7 +146,7 @@ def phrase_counts(model: LanguageModel, texts: Texts) -> np.ndarray:
     order = np.argsort(-length, kind="stable")  # so that at each step the pieces that go on stand in front
     start, length, text = start[order], length[order], text[order]
     langs = len(model.roots)
-    state = np.repeat(model.roots[:, None], len(start), axis=1)
+    state = np.repeat((model.roots * np.int32(int(model.symbols.max()) + 1))[:, None], len(start), axis=1)
     ended = np.zeros(state.shape, np.int32)
     symbols = model.symbols[texts.data].astype(np.int32)
     going = np.searchsorted(-length, -np.arange(PIECE), side="left")

@@ -1,6 +1,7 @@
 """Every query against a plain version, on the smallest given tables and on awkward ones."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -370,7 +371,39 @@ def test_chains_prefer_order_and_short_gaps():
     at = np.array([0, 5, 10, 40, 45, 50, 12])
     other = np.array([100, 105, 110, 143, 148, 153, 10])
     best = chains(segments(at, other))[0]
-    assert best == [(0, 16, -100), (40, 56, -103)]
+    assert best == [(0, 14, -100), (40, 54, -103)]
+
+
+def test_copies_made_of_common_phrases_are_found(spark):
+    """Documents 100 and 300 share 60 words; each 15 of them stand in other documents too."""
+    from keyframe.llm.passages import passages
+
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    copied = some(60)
+    docs = {100: some(30) + copied + some(30), 300: some(40) + copied + some(20)}
+    for k, low in enumerate(range(0, 60, 15)):
+        for far in (10, 150, 200, 290):
+            docs[far + k] = some(30) + copied[low : low + 15] + some(30)
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    assert [tuple(r) for r in passages(frame).collect()] == [(300, 40, 100, [100])]
+
+
+@pytest.mark.parametrize("every,least", [(12, 0.98), (10, 0.97), (8, 0.95), (7, 0.95), (6, 0.9)])
+def test_recall_of_lightly_changed_passages(spark, every, least):
+    from keyframe.llm.passages import passages
+
+    rng = random.Random(every)
+    some = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    docs = []
+    for k in range(200):
+        passage = some(60)
+        changed = [f"c{rng.randrange(10**7)}" if n % every == every - 1 else w for n, w in enumerate(passage)]
+        docs += [(k, " ".join(some(40) + passage + some(40))), (1000 + k, " ".join(some(40) + changed + some(40)))]
+    found = passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    hits = {r.doc_id for r in found if r.doc_id - 1000 in r.repeats and min(r.end_word, 100) - max(r.start_word, 40) >= 48}
+    assert len(hits) >= least * 200
+    assert all(r.doc_id >= 1000 for r in found)
 
 
 def test_an_insertion_does_not_hide_its_sides(spark):
