@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from keyframe.llm import secrets
+from keyframe.llm import licenses, secrets
 from keyframe.llm.queries import ORACLES, QUERIES
 from tests.llm import samples
 
@@ -145,6 +145,30 @@ def test_license_labels(results):
     assert (own.base_labels, own.labels, own.score) == ("mit", "mit", 1.0)
 
 
+NOTICES = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction",
+    "gpl": "you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as\n * published by the Free Software Foundation; either version",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+    "apache-2": "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla\nPublic License, v. 2.0. If a copy of the MPL was not distributed\nwith this file, You can obtain one",
+    "cc-by-sa": "This work is licensed under the Creative Commons\nAttribution-ShareAlike 4.0\nInternational License",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "unlicense": "This is free and unencumbered software\nreleased into the public domain.",
+}
+OTHERS = [
+    "the album was released in May under the terms of the license", "licensed under CC BY 4.0", "the terms of the general license of the state",
+    "permission is hereby granted to any person of this town to obtain a copy of the map", "redistribution of income and use of forms with or without stamps",
+]
+
+
+def test_wrapped_notices_and_other_texts(spark):
+    filler = " ".join(f"word{k}" for k in range(500))
+    docs = [(label, f"{filler} {text}\n{filler}") for label, text in NOTICES.items()] + [("", f"{filler}\n{text} {filler}") for text in OTHERS]
+    docs += [("bsd", f"{filler} released under the BSD license {filler}"), ("", filler.replace("word250", "mit") + " released under the license")]
+    rows = licenses.scan(spark.createDataFrame(docs, "label string, text string"), ["label"]).collect()
+    assert [(r.label, r.labels) for r in rows if r.label != r.labels] == []
+
+
 @BOTH
 def test_quality_statistics(results, texts, at):
     want = Counter()
