@@ -68,8 +68,8 @@ class LanguageModel:
             own = state == root
             start[symbol[own]] = (to[own] * width) | _ENDED
             table[root:end] = start
-        table[state, symbol] = to * width
-        # From the start itself an edge ends no phrase: it begins one.
+        inner = ~np.isin(state, self.roots)  # from a start, every step begins a phrase
+        table[state[inner], symbol[inner]] = to[inner] * width
         table[:, PAD] = np.arange(self.states, dtype=np.int32) * width
         return table.ravel()
 
@@ -136,31 +136,68 @@ def build_model(texts: dict[str, bytes]) -> LanguageModel:
 
 
 def phrase_counts(model: LanguageModel, texts: Texts) -> np.ndarray:
-    """Phrases of each text (rows) in each language (columns)."""
+    """Phrases of each text (rows) in each language (columns), in a greedy parse of the whole text."""
     sizes = np.diff(texts.bounds)
     pieces = -(-sizes // PIECE)
     text = np.repeat(np.arange(len(sizes)), pieces)
     first = np.concatenate(([0], np.cumsum(pieces)))
-    start = texts.bounds[text] + (np.arange(first[-1]) - first[text]) * PIECE
-    length = np.minimum(texts.bounds[text + 1] - start, PIECE)
-    order = np.argsort(-length, kind="stable")  # so that at each step the pieces that go on stand in front
-    start, length, text = start[order], length[order], text[order]
+    begin = texts.bounds[text] + (np.arange(first[-1]) - first[text]) * PIECE
+    length = np.minimum(texts.bounds[text + 1] - begin, PIECE)
     langs = len(model.roots)
-    state = np.repeat((model.roots * np.int32(int(model.symbols.max()) + 1))[:, None], len(start), axis=1)
-    ended = np.zeros(state.shape, np.int32)
     symbols = model.symbols[texts.data].astype(np.int32)
-    going = np.searchsorted(-length, -np.arange(PIECE), side="left")
-    for step in range(int(length[0]) if len(length) else 0):
+    order = np.argsort(-length, kind="stable")  # so that at each step the pieces that go on stand in front
+    start = begin[order]
+    going = np.searchsorted(-length[order], -np.arange(PIECE), side="left")
+    state = np.repeat((model.roots * np.int32(int(model.symbols.max()) + 1))[:, None], len(start), axis=1)
+    # Where a new phrase begins, by byte of the slice: a piece's first byte always does.
+    fresh = np.zeros((langs, len(symbols)), bool)
+    fresh[:, begin] = True
+    for step in range(int(length.max()) if len(length) else 0):
         n = going[step]
         entry = model.table.take(state[:, :n] + symbols.take(start[:n] + step))
-        ended[:, :n] += entry >> 30
+        fresh[:, start[:n] + step] |= entry >= _ENDED
         state[:, :n] = entry & (_ENDED - 1)
+    ends = np.empty_like(state)
+    ends[:, order] = state
     counts = np.zeros((langs, len(sizes)))
     for lang in range(langs):
-        counts[lang] = np.bincount(text, ended[lang] + 1.0, len(sizes))
+        marks = np.concatenate(([0], np.cumsum(fresh[lang], dtype=np.int64)))
+        found = marks[begin + length] - marks[begin]
+        _followed(model, symbols, begin, length, text, fresh[lang], marks, ends[lang], found)
+        counts[lang] = np.bincount(text, found, len(sizes))
     return counts.T
 
 
+def _followed(model, symbols, begin, length, text, fresh, marks, ends, found) -> None:
+    """Correct the phrases ``found`` in pieces into which a phrase of the piece before reaches, in place."""
+    todo = np.flatnonzero(text[1:] == text[:-1]) + 1
+    state, at = ends[todo - 1], np.zeros(len(todo), np.int64)
+    seen = np.zeros(len(todo), np.int64)
+    alone, last = ends.copy(), {}
+    while len(todo):
+        entry = model.table.take(state + symbols.take(begin[todo] + at))
+        state, new = entry & (_ENDED - 1), entry >= _ENDED
+        seen += new
+        met = new & fresh[begin[todo] + at]
+        over = ~met & (at + 1 == length[todo])
+        for_met, for_over = todo[met], todo[over]
+        found[for_met] = seen[met] + marks[begin[for_met] + length[for_met]] - marks[begin[for_met] + at[met] + 1]
+        found[for_over] = seen[over]
+        own = np.concatenate((alone[for_met], state[over]))
+        other = own != ends[np.concatenate((for_met, for_over))]
+        last |= dict(zip(np.concatenate((for_met, for_over))[other].tolist(), own[other].tolist()))
+        going = ~(met | over)
+        todo, state, at, seen = todo[going], state[going], at[going] + 1, seen[going]
+        if not len(todo) and last:
+            # Pieces that end in another state than was thought: the next ones are followed into again.
+            again = [(k + 1, own) for k, own in last.items() if k + 1 < len(text) and text[k + 1] == text[k]]
+            ends[list(last)] = list(last.values())
+            last = {}
+            todo = np.array([k for k, _ in again], np.int64)
+            state = np.array([own for _, own in again], np.int32)
+            at, seen = np.zeros(len(todo), np.int64), np.zeros(len(todo), np.int64)
+
+
 def best_languages(model: LanguageModel, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Index of each text's best language, and its score."""
     code = phrase_counts(model, texts) * model.bits

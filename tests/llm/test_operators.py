@@ -247,6 +247,35 @@ def test_languages_of_awkward_texts(results, texts):
     assert {r.lang_pred for r in results("op7_language", "awkward") if r.doc_id in (3, 13)} == {"fr"}
 
 
+@pytest.mark.parametrize("piece", [1, 3, 16, 1024])
+def test_phrases_are_those_of_the_longest_matches(monkeypatch, piece):
+    """Against a plain greedy parse of whole texts."""
+    import numpy as np
+    import pyarrow as pa
+
+    from keyframe.llm import language
+    from keyframe.llm.words import Texts
+
+    monkeypatch.setattr(language, "PIECE", piece)
+    learned = {"en": (samples.PROSE * 2).encode(), "fr": samples.FRENCH.lower().encode(), "none": b""}
+    model = language.build_model(learned)
+    given = [samples.PROSE[17:], samples.FRENCH + samples.PROSE, "", "zzz qqq 123", samples.PROSE[:40] * 3, "x", "ab" * 50, "été" * 9]
+    counts = language.phrase_counts(model, Texts(pa.array(given)))
+
+    def plain(text, known):
+        signs = lambda b: bytes(model.symbols[np.frombuffer(b, np.uint8)]) if b else b""
+        text, known, at, phrases = signs(text.encode()), signs(known), 0, 0
+        while at < len(text):
+            size = 1
+            while at + size < len(text) and text[at : at + size + 1] in known:
+                size += 1
+            at, phrases = at + size, phrases + 1
+        return phrases
+
+    assert model.names == ["en", "fr"]
+    assert counts.tolist() == [[plain(t, learned[n]) for n in model.names] for t in given]
+
+
 def test_automaton_accepts_substrings_only():
     from keyframe.llm.language import suffix_automaton
 
