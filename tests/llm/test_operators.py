@@ -202,14 +202,14 @@ def test_contaminated_documents(spark, results, texts, folder, small, at):
 
     where = folder if at == "awkward" else small
     items = {r.item_id: cut(r.text) for r in spark.read.parquet(f"{where}/benchmark.parquet").collect()}
-    found = {(r.doc_id, r.item_id) for r in results("op6_decontaminate", at)}
+    counts = {r.doc_id: r.n_items for r in results("op6_decontaminate", at)}
     held = {i: {tuple(w[k : k + 12]) for k in range(len(w) - 11)} for i, w in items.items()}
     for d, t in texts(at):
         w = cut(t)
         own = {tuple(w[k : k + 12]) for k in range(len(w) - 11)}
-        for i, grams in held.items():
-            if own & grams:
-                assert (d, i) in found
+        sharing = [i for i, grams in held.items() if own & grams]
+        if d is not None and sharing:
+            assert counts[d] >= len(sharing)
     bodies = {}
     for d, t in texts(at):
         bodies.setdefault(d, cut(t))
@@ -230,6 +230,48 @@ def test_substitutions_are_tolerated(spark):
     assert [(r.doc_id, r.item_id, r.doc_word) for r in contaminated(docs, items, ["doc_id"]).collect()] == [(1, "a", 2)]
 
 
+@pytest.mark.parametrize("size", [6, 7, 8, 9, 12, 20])
+def test_items_with_changed_words_by_brute_force(spark, size):
+    """One word changed at any place of a short item, several of a longer one; all diagonals are compared plainly."""
+    from keyframe.llm.decontaminate import contaminated, overlap
+    import numpy as np
+
+    rng = random.Random(size)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    items = [some(size) for _ in range(12)]
+    docs = []
+    for k, item in enumerate(items):
+        for at in range(size):
+            changed = [f"c{at}" if n == at or (size >= 12 and n == (at + 9) % size) else w for n, w in enumerate(item)]
+            docs.append((100 * k + at, some(rng.randrange(12)) + changed + some(rng.randrange(12))))
+    want = set()
+    for d, words in docs:
+        for i, item in enumerate(items):
+            for lag in range(-size, len(words)):
+                low, high = max(lag, 0), min(lag + size, len(words))
+                same = np.array([words[p] == item[p - lag] for p in range(low, high)])
+                if len(same) and overlap(same, size):
+                    want.add((d, i))
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in contaminated(frame, bench, ["doc_id"]).collect()}
+    assert found <= want and len(want) >= 12 * size * 0.4
+    assert len(found) >= 0.97 * len(want)
+
+
+def test_shared_sentences_give_a_row_for_each_document(spark):
+    from keyframe.llm.decontaminate import contaminated, keep_clean, overlaps
+
+    same = "please read the following text with care and answer the question below in one word only"
+    items = spark.createDataFrame([(k, f"{same} item {k} a{k} b{k} c{k}") for k in range(60)] + [(60, f"{same} item 0 a0 b0 c0")], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"x{k} {same} y{k} z{k}") for k in range(40)] + [(99, "clean text of some other kind that nobody has seen before at all")], "doc_id long, text string")
+    rows = contaminated(docs, items, ["doc_id"]).collect()
+    assert {(r.doc_id, r.item_id, r.n_items) for r in rows} == {(k, 0, 61) for k in range(40)} and len(rows) == 40
+    assert [r.doc_id for r in keep_clean(docs, items).collect()] == [99]
+    text = overlaps(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in text
+
+
 def test_languages(spark, results, small):
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     rows = results("op7_language", "small")
