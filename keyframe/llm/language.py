@@ -34,6 +34,7 @@ TRAIN_BYTES = 48_000
 TRAIN_TOTAL = 600_000
 EXCERPT = 1_500
 PIECE = 1_024
+SLICE = 1 << 19  # bytes of text parsed at once
 # Symbols of the automata: nothing (after a piece's end), unseen, white space, other ASCII signs, then letters and high bytes.
 PAD, UNSEEN, BLANK, SIGN, FIRST = 0, 1, 2, 3, 4
 _ENDED = 1 << 30  # set in a table entry whose step ends a phrase
@@ -249,13 +250,14 @@ def language(text: Column, model: LanguageModel, spark: SparkSession) -> Column:
         names = np.array([*model.names, "und"], object)
         best, score = np.full(len(batch), len(model.names)), np.zeros(len(batch))
         if model.names:
-            for start, stop in slices(batch):
+            for start, stop in slices(batch, SLICE):
                 best[start:stop], score[start:stop] = best_languages(model, Texts(batch[start:stop]))
             none = ~np.asarray(lettered.to_numpy(zero_copy_only=False), bool)
             best[none], score[none] = len(model.names), 0.0
         return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], ["lang_pred", "score"])
 
-    return predict(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
+    # Told to be not deterministic, it is not computed again for each place where its result is used.
+    return predict.asNondeterministic()(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
