@@ -12,7 +12,8 @@ cut into fragments; each fragment is a task that sees its own n-grams of all tex
 3. Linked sets share one of the first ``n - ceil(0.8 n) + 1`` n-grams in that order.  Fragments of these
    prefixes list the nodes of each n-gram (``postings``).
 4. Candidates: each node of a posting with the posting's leader, so a posting of m nodes gives m - 1
-   pairs, not m squared.  Overlaps are counted fragment by fragment and added up per pair: first in the
+   pairs, not m squared.  A node's least leader comes first; its pairs with other leaders follow where links have not
+   joined the two yet.  Overlaps are counted fragment by fragment and added up per pair: first in the
    fragment of the lowest hashes (``sketch``, a quarter of the range), where too many differences
    already rule a pair out, then, for the pairs that are left, in all of them, which decides exactly.
    Verified links make components.
@@ -480,8 +481,16 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.col("node") != F.col("leader"))
         & _possible(F.col("n"), F.col("place"), F.col("leader_n"), F.col("leader_place"))
     ).select("node", "n", F.col("leader").alias("other"), F.col("leader_n").alias("other_n"))
-    tried = staged(close(_pairs(first), sketches), "jaccard-pairs")
+    least = first.join(sketches.select("node", "cluster"), "node").where(F.col("other") == F.col("cluster")).drop("cluster")
+    tried = staged(close(_pairs(least), sketches), "jaccard-pairs")
     links = staged(verified(tried, sets(ends(tried))), "jaccard-links")
+    own = components(links)
+    joined = _pairs(first).join(own.select(F.col("node").alias("a"), F.col("label").alias("a_label")), "a", "left")
+    joined = joined.join(own.select(F.col("node").alias("b"), F.col("label").alias("b_label")), "b", "left")
+    open_ = joined.where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b", "a_n", "b_n")
+    more = staged(close(open_.join(tried, ["a", "b"], "left_anti"), sketches), "jaccard-pairs")
+    links = links.union(staged(verified(more, sets(ends(more))), "jaccard-links"))
+    tried = tried.union(more)
     labels = components(links)
     clusters = sketches.select("node", "n", "cluster").join(labels, "node", "left")
     clusters = staged(clusters.withColumn("label", F.coalesce("label", "node")), "jaccard-clusters")
