@@ -44,6 +44,7 @@ MIN_MATCHED = 10
 MIN_SHARE = 0.8
 MIN_ITEM = 6
 FILTER_BITS = 24
+SLICE = 1 << 18  # bytes of text whose seeds a task holds at once
 LIST = 1_000
 # Documents are told from most others by a bucket of their text, of which there are no more.
 BUCKETS = 1 << 21
@@ -83,7 +84,7 @@ def _key(text: Column) -> Column:
 def _words(batch: pa.Array) -> pa.Array:
     """Hashed words of each whole text."""
     out = []
-    for start, stop in slices(batch):
+    for start, stop in slices(batch, SLICE):
         hashes, first = _hashed(Texts(batch[start:stop]))
         out += [hashes[low:high].tobytes() for low, high in zip(first[:-1].tolist(), first[1:].tolist())]
     return pa.array(out, pa.binary())
@@ -141,7 +142,7 @@ def document_seeds(docs: DataFrame, seen: np.ndarray) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(0)):
+            for start, stop in slices(batch.column(0), SLICE):
                 hashes, first = _hashed(Texts(batch.column(0)[start:stop]))
                 found = [_masked(hashes, first, mask) for mask in (*MASKS, *SHORT_MASKS)]
                 found = [(value[ok], at[ok]) for value, at in found for ok in [_passes(shared.value, value)]]
@@ -204,7 +205,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(0)):
+            for start, stop in slices(batch.column(0), SLICE):
                 hashes, first = _hashed(Texts(batch.column(0)[start:stop]))
                 keys, own = batch.column(1)[start:stop].to_pylist(), batch.column(2)[start:stop].to_pylist()
                 out = []

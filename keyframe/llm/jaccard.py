@@ -52,6 +52,7 @@ FRAGMENT_BYTES = 8 << 20
 LEAST_FRAGMENTS = 64
 PARTS = 4
 FLUSH = 1 << 20
+SLICE = 1 << 20  # bytes of text whose sets a task makes at once
 BLOCK = 2_048
 BLOCK_GRAMS = 1 << 20
 COLUMNS = 4_096
@@ -81,7 +82,7 @@ def prefix_length(n: int) -> int:
 def set_of(batch: pa.Array) -> pa.Array:
     """Size, node and sketch of the set of each whole text; a null node for an empty set."""
     sizes, keys, sketches = [], [], []
-    for start, stop in slices(batch):
+    for start, stop in slices(batch, SLICE):
         for own in shingle_sets(Texts(batch[start:stop])):
             sizes.append(len(own))
             keys.append(set_key(own) if len(own) else None)
@@ -93,7 +94,7 @@ def set_of(batch: pa.Array) -> pa.Array:
 
 def _each_set(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.ndarray]:
     for batch in batches:
-        for start, stop in slices(batch.column(column)):
+        for start, stop in slices(batch.column(column), SLICE):
             yield from shingle_sets(Texts(batch.column(column)[start:stop]))
 
 
@@ -268,7 +269,7 @@ def set_parts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, stop in slices(batch.column(0)):
+            for start, stop in slices(batch.column(0), SLICE):
                 nodes = batch.column(1)[start:stop].to_pylist()
                 keys, parts, grams = [], [], []
                 for node, own in zip(nodes, shingle_sets(Texts(batch.column(0)[start:stop]))):

@@ -34,7 +34,7 @@ TRAIN_BYTES = 48_000
 TRAIN_TOTAL = 600_000
 EXCERPT = 1_500
 PIECE = 1_024
-SLICE = 1 << 19  # bytes of text parsed at once
+SLICE = 1 << 20  # bytes of text parsed at once
 # Symbols of the automata: nothing (after a piece's end), unseen, white space, other ASCII signs, then letters and high bytes.
 PAD, UNSEEN, BLANK, SIGN, FIRST = 0, 1, 2, 3, 4
 _ENDED = 1 << 30  # set in a table entry whose step ends a phrase

@@ -53,7 +53,7 @@ def plain_rules(rows, thresholds):
 
 
 def test_decision_list_and_verdicts(spark):
-    stats = quality.with_statistics(spark.read.parquet(f"{FOLDER}/documents.parquet"), ["doc_id"])
+    stats = quality.staged(quality.with_statistics(spark.read.parquet(f"{FOLDER}/documents.parquet"), ["doc_id"]), "test")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect() if r.quality is not None}
     wanted = quality.features()
     third = F.pmod(F.xxhash64("doc_id", F.lit("third")), F.lit(3))
