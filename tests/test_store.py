@@ -103,6 +103,16 @@ def test_ledgers_of_empty_tables_and_of_one_group(spark, tmp_path):
     assert len(folders) == 2
 
 
+@pytest.mark.parametrize("layout", range(3))
+def test_empty_upserts_change_nothing(spark, tmp_path, layout):
+    store = new_store(spark, tmp_path, **LAYOUTS[layout])
+    keep_ledger(store, "Fact")
+    for compress, given in ((False, ()), ("groups", ()), (False, STEPS[0][:1]), (False, ())):
+        written = upsert(store, facts(spark, *given), "Fact", in_place=True, compress=compress)
+        assert written.ticket.count() == len(given)
+    assert store["Fact"].count() == ledger_ticket(store, "Fact").count() == 1
+
+
 def test_ledgers_follow_copies_and_compression(spark, tmp_path):
     model = versioned_model(spark)
     model = KeyModel({**model.structs, "Copy": model.structs["Fact"]}, {**model.primary_keys, "Copy": model.primary_keys["Fact"]}, model.foreign_keys)
