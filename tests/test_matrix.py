@@ -232,3 +232,17 @@ def test_stored_index_and_types_are_the_defaults(spark, tmp_path):
     assert fetched.collect() == read.collect()
     with pytest.raises(ValueError, match="need an index map"):
         filter_table(store, "Flow", model=model, dims={"matname": matnames}, matrices=True)
+
+
+def test_long_index_is_gathered_in_tiles(spark, monkeypatch):
+    import star_queries
+
+    folder = "/root/testdata/sf0.001"
+    whole = rows(star_queries.matrix_decode_long_index(spark, folder))
+    monkeypatch.setattr(star_queries, "PART_TILE", 16)
+    tiled = star_queries.matrix_decode_long_index(spark, folder)
+    assert rows(tiled) == whole and any(row[1].count(",") > 16 for row in whole)
+    plan = tiled._jdf.queryExecution().analyzed().toString()
+    cells = [line for line in plan.splitlines() if "Aggregate" in line and "collect_list(struct(rowname" in line]
+    assert all("tile_i" in line.split("collect_list")[0] for line in cells), cells
+    assert "tile_i" in plan
