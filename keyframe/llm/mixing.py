@@ -13,7 +13,7 @@ take nothing from the others, and shares are the targets as far as the tokens go
 both.
 
 Cells are counted with partial aggregation, so a hot source costs a row for each task; sweeps run
-on cells alone.  Targets are rows (dimension, value, share); values that
+on cells alone, each dimension's sums in one window and without joins.  Targets are rows (dimension, value, share); values that
 have none or no tokens are not in the mix, and shares of the rest are scaled to 1.  Without
 targets, ``tempered`` takes shares of the present tokens to the power ``TEMPERATURE``.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyframe.llm.stage import boxed, documents, staged, unboxed
@@ -113,13 +113,13 @@ def _goals(cells: DataFrame, targets: DataFrame, name: str, cell: str, whole: fl
     return own.select("_value", F.least(F.col("weight") * _scale(own, whole), "tokens").alias("_goal"))
 
 
-def _scaled(cells: DataFrame, goals: DataFrame, cell: str) -> DataFrame:
+def _scaled(cells: DataFrame, goal: str, cell: str) -> DataFrame:
     """The cells with weights scaled to the goals of one dimension; of a weight, ``most`` counts at most."""
-    now = cells.groupBy(F.col(cell).alias("_value")).agg(F.sum(F.least("weight", "most")).alias("_now"))
-    factor = now.join(goals, "_value").select("_value", (F.col("_goal") / F.col("_now")).alias("_factor"))
-    joined = cells.join(factor, F.col(cell) == F.col("_value")).drop("_value")
+    # A sum beside the rows, not a join: sweeps are many, and each broadcast would hold memory of the driver.
+    now = F.sum(F.least("weight", "most")).over(Window.partitionBy(cell))
+    scaled = cells.withColumn("_factor", F.col(goal) / now)
     off = F.greatest("off", F.abs(F.col("_factor") - 1))
-    return joined.withColumns({"weight": F.col("weight") * F.col("_factor"), "off": off}).drop("_factor")
+    return scaled.withColumns({"weight": F.col("weight") * F.col("_factor"), "off": off}).drop("_factor")
 
 
 def _wanted(targets: DataFrame) -> DataFrame:
@@ -141,10 +141,12 @@ def rake(cells: DataFrame, targets: DataFrame, budget: float | None = None) -> D
     start = F.col("tokens") * (1.0 if budget is None else budget)
     now = staged(cells.withColumns({"weight": start, "most": most}), "mix-cells")
     goals = [_goals(now, targets, name, cell, whole) for name, cell in zip(DIMENSIONS, CELL)]
+    for own, cell in zip(goals, CELL):  # goals stay the same, so they go with the cells
+        now = now.join(own.select(F.col("_value").alias(cell), F.col("_goal").alias(f"{cell}_goal")), cell)
     for _ in range(MAX_SWEEPS):
         now = now.withColumn("off", F.lit(0.0))
-        for own, cell in zip(goals, CELL):
-            now = _scaled(now, own, cell)
+        for cell in CELL:
+            now = _scaled(now, f"{cell}_goal", cell)
         now = staged(now, "mix-cells")
         off = now.agg(F.max("off")).first()[0] or 0.0
         if off <= TOLERANCE:

@@ -533,3 +533,20 @@ def test_targets_that_conflict_are_reported(spark, monkeypatch, caplog):
     targets = [("source", "a", 0.9), ("source", "b", 0.1), ("lang", "x", 0.5), ("lang", "y", 0.5), ("topic", "p", 1.0)]
     mixing.rake(cells, spark.createDataFrame(targets, "dimension string, value string, share double"))
     assert "not met together: after 2 sweeps" in caplog.text
+
+
+def test_sweeps_of_the_mix_join_and_broadcast_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from keyframe.llm import mixing
+
+    cells = spark.createDataFrame(
+        [("a", "x", 10.0, 4.0, 8.0), ("a", "y", 30.0, 99.0, 8.0), ("b", "x", 5.0, 99.0, 10.0)],
+        "_mix_source string, _mix_lang string, weight double, most double, goal double",
+    ).withColumn("off", F.lit(0.0))
+    scaled = mixing._scaled(cells, "goal", "_mix_source")
+    plan = scaled._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+    got = {(r._mix_source, r._mix_lang): (r.weight, r.off) for r in scaled.collect()}
+    down = 8.0 / 34.0
+    assert got == {("a", "x"): (10 * down, 1 - down), ("a", "y"): (30 * down, 1 - down), ("b", "x"): (10.0, 1.0)}
