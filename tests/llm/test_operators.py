@@ -484,6 +484,74 @@ def test_copies_made_of_common_phrases_are_found(spark):
     assert [tuple(r) for r in passages(frame).collect()] == [(300, 40, 100, [100])]
 
 
+def test_copies_are_found_whose_seeds_and_pairs_of_seeds_are_common(spark):
+    """Documents 100 and 300 share 60 words; every 18 of them, 6 words on, stand in four other documents too."""
+    from keyframe.llm.passages import passages
+
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    copied = some(60)
+    docs = {100: some(30) + copied + some(30), 300: some(40) + copied + some(20)}
+    for k, low in enumerate(range(-12, 60, 6)):
+        for far in (10, 40, 150, 200):
+            docs[far + k] = some(30) + copied[max(low, 0) : low + 18] + some(30)
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    assert [tuple(r) for r in passages(frame).collect()] == [(300, 40, 100, [100])]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_passages_hold_the_seeds_that_chains_of_all_pairs_have(spark, seed):
+    """Documents made of few phrases, so that most lists are long, against chains with every earlier document."""
+    from keyframe.llm import passages as p
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(seed)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    phrases = [some(rng.choice((6, 9, 13, 17))) for _ in range(25)]
+    orders = [[rng.randrange(25) for _ in range(6)] for _ in range(25)]
+    docs = {}
+    for doc in range(150):
+        words = some(30)
+        for part in rng.choice(orders) if rng.random() < 0.5 else [rng.randrange(25) for _ in range(6)]:
+            words += [w if rng.random() < 0.97 else "x" + w for w in phrases[part]] + some(rng.choice((0, 0, 2, 25)))
+        docs[doc * 3] = words + some(20)
+    hashes, seeds = {}, {}
+    for doc, words in docs.items():
+        hashes[doc], _ = p.hashed_words(p.Texts(pa.array([" ".join(words)])))
+        grams, at = p.seeds(hashes[doc])
+        seeds[doc] = list(zip(grams.tolist(), at.tolist()))
+    want = []
+    for doc in docs:
+        found = []
+        for other in (d for d in docs if d < doc):
+            first = {}
+            for g, at in seeds[other]:
+                first[g] = min(at, first.get(g, at))
+            both = [(at, first[g]) for g, at in seeds[doc] if g in first]
+            if len(both) < p.LEAST_SEEDS:
+                continue
+            for chain in p.chains(p.segments(*(np.array(x) for x in zip(*both)))):
+                if chain[-1][1] - chain[0][0] < 10:
+                    continue
+                left, right = hashes[doc].astype(np.uint32), hashes[other].astype(np.uint32)
+                low, over = max(chain[0][0] - p.AROUND, 0), max(chain[0][0] - chain[0][2] - p.AROUND, 0)
+                left = left[low : chain[-1][1] + p.AROUND]
+                right = right[over : chain[-1][1] - chain[-1][2] + p.AROUND]
+                for start, end, equal in p.repeated(left, low, right, over, chain):
+                    if equal >= p.IDENTITY * (end - start) and end - start >= p.LEAST_CHAIN:
+                        places = [at for at, _ in both if start <= at and at + p.SEED <= end]
+                        found.append({"start": start, "end": end, "other": other, "places": places})
+        for span in p.merged(pa.array([[{k: x[k] for k in ("start", "end", "other")} for x in found]]))[0].as_py():
+            want += [(doc, at) for x in found if span["start"] <= x["start"] and x["end"] <= span["end"] for at in x["places"]]
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    got = {}
+    for r in p.passages(frame).collect():
+        got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    lost = [x for x in want if not any(low <= x[1] and x[1] + p.SEED <= high for low, high in got.get(x[0], []))]
+    assert want and lost == []
+
+
 @pytest.mark.parametrize("every,least", [(12, 0.98), (10, 0.97), (8, 0.95), (7, 0.95), (6, 0.9)])
 def test_recall_of_lightly_changed_passages(spark, every, least):
     from keyframe.llm.passages import passages
