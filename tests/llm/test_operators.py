@@ -459,6 +459,21 @@ def test_suffix_arrays():
             assert shared[b] == k
 
 
+def test_sketches_are_short_and_differ_by_no_more_than_their_sets():
+    from keyframe.llm import jaccard
+    import numpy as np
+    import pyarrow as pa
+
+    words = [f"w{k}" for k in range(30_000)]
+    texts = pa.array([" ".join(words), " ".join(words[300:])])
+    left, right = [np.frombuffer(x["sketch"], np.uint16) for x in jaccard.set_of(texts).to_pylist()]
+    sets = [set(own.tolist()) for own in jaccard.shingle_sets(jaccard.Texts(texts))]
+    for sketch, own in zip((left, right), sets):
+        assert (np.diff(sketch.astype(int)) > 0).all()
+        assert set(sketch.tolist()) == {x >> 46 for x in own if x < jaccard.SKETCHED}
+    assert len(set(left) ^ set(right)) <= len(sets[0] ^ sets[1])
+
+
 def test_chains_prefer_order_and_short_gaps():
     from keyframe.llm.passages import chains, segments
     import numpy as np
