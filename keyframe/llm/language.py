@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyframe.llm.stage import documents, held_out
+from keyframe.llm.stage import bounded_batches, documents, held_out
 from keyframe.llm.words import SPACE, Texts, slices
 
 TRAIN_BYTES = 48_000
@@ -242,6 +242,7 @@ def train(docs: DataFrame) -> LanguageModel:
 
 def language(text: Column, model: LanguageModel, spark: SparkSession) -> Column:
     """A struct (lang_pred, score) for each whole text."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
