@@ -567,6 +567,53 @@ def test_passages_hold_the_seeds_that_chains_of_all_pairs_have(spark, seed):
     assert want and lost == []
 
 
+def test_documents_of_one_short_phrase_are_not_paired(spark, monkeypatch):
+    """A phrase of two seeds and 13 words, in other words in each document, may be in no passage; 80 documents have 3,160 pairs."""
+    from keyframe.llm import passages as p
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    apart = 0
+    while not p.SPAN <= apart < 10:
+        phrase = some(13)
+        grams, at = p.seeds(p.hashed_words(p.Texts(pa.array([" ".join(phrase)])))[0])
+        at = at[: (len(at) + 1) // 2][grams[: (len(at) + 1) // 2] % p.RATE == 0]
+        apart = at[-1] - at[0] if len(at) == 2 else 0
+    frame = spark.createDataFrame([(d, " ".join(some(30) + phrase + some(30))) for d in range(80)], "doc_id long, text string")
+    pairs, staged = [], p.staged
+
+    def counted(df, label):
+        df = staged(df, label)
+        if label == "passage-pairs":
+            pairs.append(df.count())
+        return df
+
+    monkeypatch.setattr(p, "staged", counted)
+    assert p.passages(frame).collect() == []
+    assert len(pairs) == 2 and max(pairs) <= 320
+
+
+def test_texts_alike_around_two_seeds_share_what_stands_beside():
+    """Words of few kinds, stepped outwards from two seeds; whenever that is long enough, a key is the same."""
+    from keyframe.llm import passages as p
+    import numpy as np
+
+    rng, alike = np.random.default_rng(1), 0
+    for _ in range(4000):
+        far = int(rng.integers(p.SPAN, p.LONG))
+        core = rng.integers(1, 2**60, far + p.SEED).astype(np.uint64)
+        before, after = (p.mix(rng.integers(0, 1 << 60, n)) for n in rng.integers(0, 25, 2))
+        change = lambda x: np.where(rng.random(len(x)) < rng.choice([0.1, 0.3, 0.6]), p.mix(x), x)
+        one, other = np.concatenate((before, core, after)), np.concatenate((change(before), core, change(after)))
+        start, end, _ = p.aligned(one, 0, other, 0, [(len(before), len(before) + len(core), 0)])
+        if end - start >= p.LEAST_CHAIN:
+            alike += 1
+            a, b = (p.beside(x, len(before), far).tolist() for x in (one, other))
+            assert set(a) & set(b), (far, start, end)
+    assert alike > 500
+
+
 @pytest.mark.parametrize("every,least", [(12, 0.98), (10, 0.97), (8, 0.95), (7, 0.95), (6, 0.9)])
 def test_recall_of_lightly_changed_passages(spark, every, least):
     from keyframe.llm.passages import passages
