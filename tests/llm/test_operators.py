@@ -594,6 +594,87 @@ def test_documents_of_one_short_phrase_are_not_paired(spark, monkeypatch):
     assert len(pairs) == 2 and max(pairs) <= 320
 
 
+def test_documents_of_one_phrase_are_paired_by_one_of_its_keys(spark, monkeypatch):
+    """30 documents share 40 words, hence a key for each word beside each two seeds: all give the same pairs."""
+    from keyframe.llm import passages as p
+
+    rng = random.Random(9)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    phrase = some(40)
+    frame = spark.createDataFrame([(d, " ".join(some(30) + phrase + some(30))) for d in range(30)], "doc_id long, text string")
+    keys, staged = [], p.staged
+
+    def counted(df, label):
+        df = staged(df, label)
+        if df.columns == ["key", "doc", "later"]:
+            keys.append(df.count())
+        return df
+
+    monkeypatch.setattr(p, "staged", counted)
+    assert p.passages(frame).collect() == []
+    assert keys and 0 < keys[-1] <= 120
+
+
+def test_many_texts_have_the_keys_and_seeds_of_each():
+    from keyframe.llm import passages as p
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sizes = [0, 1, 14, *rng.integers(p.SEED + p.WINDOW - 1, 90, 60).tolist(), 0]
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    hashes = p.mix(rng.integers(0, 40, first[-1]).astype(np.uint64))
+    texts = [hashes[a:b] for a, b in zip(first, first[1:])]
+    keys = p.text_keys(hashes, first)
+    assert [int(k) for k, own in zip(keys, texts) if len(own)] == [p.text_key(own) for own in texts if len(own)]
+    long = first[3:-1] - first[3]
+    grams, at, text = p.many_seeds(hashes[first[3] :], long)
+    got = sorted(zip(text.tolist(), grams.tolist(), at.tolist()))
+    want = []
+    for k, own in enumerate(texts[3:-1]):
+        own_grams, own_at = p.seeds(own)
+        own_at[(len(own_at) + 1) // 2 :] += p.SECOND
+        want += [(k, g, a) for g, a in zip(own_grams.tolist(), own_at.tolist())]
+    assert got == sorted(want)
+    assert [len(x) for x in p.many_seeds(hashes[:0], np.array([0]))] == [0, 0, 0]
+
+
+def test_many_pairs_of_seeds_have_what_stands_beside_each():
+    from keyframe.llm import passages as p
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    first = np.concatenate(([0], np.cumsum(rng.integers(20, 200, 20))))
+    hashes = p.mix(rng.integers(0, 50, first[-1]).astype(np.uint64))
+    own, far = rng.integers(0, 20, 300), rng.integers(p.SPAN, p.LONG, 300)
+    at = (rng.random(300) * (first[own + 1] - first[own] - far - p.SEED + 1)).astype(np.int64)
+    found, which = p.many_beside(hashes, first[own], first[own + 1], first[own] + at, far)
+    for k in range(300):
+        text = hashes[first[own[k]] : first[own[k] + 1]]
+        assert sorted(found[which == k].tolist()) == sorted(p.beside(text, int(at[k]), int(far[k])).tolist())
+
+
+@pytest.mark.parametrize("width", [12, 60, 400])
+def test_chains_of_many_pairs_are_those_of_each(width):
+    from keyframe.llm import passages as p
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(width)
+    rows, want, least = [], [], p.LEAST_CHAIN - p.AROUND // 6
+    for doc in range(300):
+        n = int(rng.integers(1, 12) if doc % 10 else rng.integers(80, 120))
+        at = rng.integers(0, width, n)
+        other_at = at + rng.choice([0, 0, 3, 50], n)
+        rows += [(doc // 2, doc % 2, a, b) for a, b in zip(at.tolist(), other_at.tolist())]
+        if n >= p.LEAST_SEEDS:
+            for chain in p.chains(p.segments(at, other_at)):
+                if chain[-1][1] - chain[0][0] >= least:
+                    want.append((doc // 2, doc % 2, chain[0][0], chain[-1][1], [x for s in chain for x in s]))
+    table = pa.table(dict(zip(["doc", "other", "at", "other_at"], (np.array(c) for c in zip(*rows)))))
+    got = [tuple(r.values()) for b in p.chain_rows(iter(table.to_batches(max_chunksize=70))) for r in b.to_pylist()]
+    assert sorted(got) == sorted(want) and len(want) > 20
+
+
 def test_texts_alike_around_two_seeds_share_what_stands_beside():
     """Words of few kinds, stepped outwards from two seeds; whenever that is long enough, a key is the same."""
     from keyframe.llm import passages as p
