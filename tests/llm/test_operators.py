@@ -615,6 +615,17 @@ def test_documents_of_one_phrase_are_paired_by_one_of_its_keys(spark, monkeypatc
     assert keys and 0 < keys[-1] <= 120
 
 
+def test_texts_without_chains_are_left_out_before_they_are_shuffled(spark):
+    from keyframe.llm import passages as p
+
+    docs = spark.createDataFrame([(d, f"text {d}") for d in range(2000)] + [(None, "none")], "doc_id int, text string")
+    ids = spark.createDataFrame([(7,), (7,), (1999,), (5000,)], "doc long")
+    texts = p._marked(docs, ids)
+    got = {r.doc_id: r.text for r in texts.collect()}
+    assert {7, 1999} <= set(got) and len(got) < 20
+    assert got[7] == "text 7" and "Exchange hashpartitioning(doc_id" not in texts._jdf.queryExecution().executedPlan().toString()
+
+
 def test_many_texts_have_the_keys_and_seeds_of_each():
     from keyframe.llm import passages as p
     import numpy as np
